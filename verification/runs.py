@@ -28,8 +28,15 @@ _OBJECT = ["stmt_id", "side", "ord"]
 _VERDICT = ["stmt_id", "user_name", "op", "allowed", "message"]
 
 
+_schemas = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def derive(spark: SparkSession, sql: str, **inputs: DataFrame) -> DataFrame:

@@ -1,6 +1,10 @@
-"""Column expressions: what an object is, which access it needs, how results are worded."""
+"""Column expressions: what an object is, which access it needs, how results are worded.
 
-from functools import reduce
+Arguments are column names. The bodies are SQL text, which reads like the rules it states and
+reaches the JVM in one call.
+"""
+
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -8,51 +12,49 @@ from pyspark.sql import functions as F
 from wardline.functions import rules
 
 
-def _col(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def blank_list(value: Column) -> Column:
-    return F.coalesce(F.size(value), F.lit(0)) <= 0
+def any_of(name: str, values: Iterable[str]) -> str:
+    return f"{name} IN ({', '.join(map(quoted, values))})"
 
 
-def action_of(mode: str | Column = "save_mode") -> Column:
+def action_of(mode="save_mode") -> Column:
     """Action on the target of a write, from its save mode."""
-    mode = F.lower(_col(mode))
-    return F.when(mode == "append", "INSERT").when(mode == "overwrite", "INSERT_OVERWRITE").otherwise("OTHER")
+    return F.expr(f"CASE lower({mode}) WHEN 'append' THEN 'INSERT' WHEN 'overwrite' THEN 'INSERT_OVERWRITE' ELSE 'OTHER' END")
 
 
 def object_type(obj_type="obj_type", columns="columns", op="op") -> Column:
     """Resource type of a privilege object under an operation."""
-    kind = _col(obj_type)
-    return (
-        F.when(kind.isNull() | (kind == "DATABASE"), "DATABASE")
-        .when((kind == "TABLE_OR_VIEW") & ~blank_list(_col(columns)), "COLUMN")
-        .when((kind == "TABLE_OR_VIEW") & F.lower(_col(op)).contains("view"), "VIEW")
-        .when(kind == "TABLE_OR_VIEW", "TABLE")
-        .when(kind == "FUNCTION", "FUNCTION")
-        .when(kind == "DFS_URI", "URI")
-        .otherwise("NONE")
-    )
+    return F.expr(f"""
+        CASE WHEN {obj_type} IS NULL OR {obj_type} = 'DATABASE' THEN 'DATABASE'
+             WHEN {obj_type} = 'TABLE_OR_VIEW' THEN
+               CASE WHEN size({columns}) > 0 THEN 'COLUMN' WHEN contains(lower({op}), 'view') THEN 'VIEW' ELSE 'TABLE' END
+             WHEN {obj_type} = 'FUNCTION' THEN 'FUNCTION'
+             WHEN {obj_type} = 'DFS_URI' THEN 'URI'
+             ELSE 'NONE' END""")
 
 
 def access_type(
     op="op", action="action", obj_type="obj_type", resource_type="object_type", side="side", show_all=False
 ) -> Column:
     """Access an object needs. `show_all` lets column listings pass with any access on the table."""
-    op, on_input = _col(op), _col(side) == "in"
-    needed = F.when(op.isin(*rules.COLUMN_LISTING_OPS), "USE" if show_all else "SELECT")
-    for ops, needs, access_in, access_out in rules.access_rules():
-        applies = op.isin(*ops)
-        if needs:
-            applies = applies & (_col(obj_type) == needs)
-        access = F.lit(access_in) if access_in == access_out else F.when(on_input, access_in).otherwise(access_out)
-        needed = needed.when(applies, access)
-    return (
-        F.when(_col(resource_type) == "URI", F.when(on_input, "READ").otherwise("WRITE"))
-        .when(_col(action).isin("INSERT", "INSERT_OVERWRITE"), "UPDATE")
-        .otherwise(needed.otherwise("NONE"))
-    )
+
+    def branch(ops, needs, on_input, on_output):
+        on_type = f" AND {obj_type} = {quoted(needs)}" if needs else ""
+        by_side = f"IF({side} = 'in', {quoted(on_input)}, {quoted(on_output)})"
+        access = quoted(on_input) if on_input == on_output else by_side
+        return f"WHEN {any_of(op, ops)}{on_type} THEN {access}"
+
+    branches = "\n".join(branch(*rule) for rule in rules.access_rules())
+    return F.expr(f"""
+        CASE WHEN {resource_type} = 'URI' THEN IF({side} = 'in', 'READ', 'WRITE')
+             WHEN {action} IN ('INSERT', 'INSERT_OVERWRITE') THEN 'UPDATE'
+             WHEN {any_of(op, rules.COLUMN_LISTING_OPS)} THEN {"'USE'" if show_all else "'SELECT'"}
+             {branches}
+             ELSE 'NONE' END""")
 
 
 def show_all_columns(option: str | None) -> bool:
@@ -62,80 +64,62 @@ def show_all_columns(option: str | None) -> bool:
 
 def resource_keys(object_type="object_type", db="db", name="name", columns="columns") -> dict[str, Column]:
     """The four keys a request is matched on; all null for types that make no resource."""
-    kind = _col(object_type)
-    on_table = kind.isin("TABLE", "VIEW", "COLUMN")
+    on_table = f"{object_type} IN ('TABLE', 'VIEW', 'COLUMN')"
     return {
-        "database": F.when(on_table | (kind == "DATABASE"), F.coalesce(_col(db), F.lit("*"))).when(
-            kind == "FUNCTION", F.coalesce(_col(db), F.lit(""))
-        ),
-        "table": F.when(on_table, _col(name)),
-        "udf": F.when(kind == "FUNCTION", _col(name)),
-        "column": F.when(kind == "COLUMN", F.array_join(_col(columns), ",")),
+        "database": F.expr(f"""
+            CASE WHEN {on_table} OR {object_type} = 'DATABASE' THEN coalesce({db}, '*')
+                 WHEN {object_type} = 'FUNCTION' THEN coalesce({db}, '') END"""),
+        "table": F.expr(f"CASE WHEN {on_table} THEN {name} END"),
+        "udf": F.expr(f"CASE WHEN {object_type} = 'FUNCTION' THEN {name} END"),
+        "column": F.expr(f"CASE WHEN {object_type} = 'COLUMN' THEN array_join({columns}, ',') END"),
     }
 
 
 def access_token(access="access") -> Column:
     """The word that policies are matched on."""
-    access = _col(access)
-    return (
-        F.when(access == "USE", rules.ANY_TOKEN)
-        .when(access == "ADMIN", rules.ADMIN_TOKEN)
-        .otherwise(F.lower(access))
+    return F.expr(
+        f"CASE {access} WHEN 'USE' THEN '{rules.ANY_TOKEN}' WHEN 'ADMIN' THEN '{rules.ADMIN_TOKEN}' ELSE lower({access}) END"
     )
 
 
-def grant_token(access="access") -> Column:
-    """The same word on the side of a grant."""
-    access = F.lower(_col(access))
-    return F.when(access == "admin", rules.ADMIN_TOKEN).otherwise(access)
-
+def _denial(user: str, privilege: str, resource: str) -> Column:
+    text = "Permission denied: user [%s] does not have [%s] privilege on [%s]"
+    return F.expr(f"format_string('{text}', {user}, {privilege}, {resource})")
 
-def denial(user: Column, privilege: Column, resource: Column) -> Column:
-    return F.format_string("Permission denied: user [%s] does not have [%s] privilege on [%s]", user, privilege, resource)
 
-
-def resource_text(database="database", table="table", udf="udf", column="column") -> Column:
-    return F.concat_ws("/", _col(database), _col(table), _col(udf), _col(column))
+def denial_message(user="user_name", access="access", column="column") -> Column:
+    """Text of a denial; the resource is its keys, joined by slashes."""
+    return _denial(user, access, f"concat_ws('/', database, table, udf, `{column}`)")
 
 
-def denial_message(user="user_name", access="access", column="column") -> Column:
-    return denial(_col(user), _col(access), resource_text(column=column))
+def uri_denial_message(user="user_name", action="uri_action", path="path") -> Column:
+    return _denial(user, action, path)
 
 
 def unsupported_message(raw_name="raw_name") -> Column:
-    return F.format_string(
-        "User try access unsupport catalog, contact admin to get more info: %s !!!",
-        F.coalesce(_col(raw_name), F.lit("")),
-    )
+    text = "User try access unsupport catalog, contact admin to get more info: "
+    return F.expr(f"concat('{text}', coalesce({raw_name}, ''), ' !!!')")
 
 
 def guard_message(conf_key="conf_key") -> Column:
-    return F.format_string("All user not allow to set this property: %s !!!", _col(conf_key))
+    return F.expr(f"concat('All user not allow to set this property: ', {conf_key}, ' !!!')")
 
 
 def in_fs_scheme(path="path", schemes=rules.FILE_SCHEMES) -> Column:
     """Whether a path lies in one of the checked file systems."""
-    path = _col(path)
-    known = reduce(lambda a, b: a | b, [path.startswith(s.strip()) for s in schemes], F.lit(False))
-    return F.coalesce((path != "") & known, F.lit(False))
+    known = " OR ".join(f"startswith({path}, {quoted(s.strip())})" for s in schemes) or "false"
+    return F.expr(f"coalesce({path} <> '' AND ({known}), false)")
 
 
 def uri_action(op="op") -> Column:
     """What an operation does with a path it names."""
-    op = _col(op)
-    return F.when(op.isin(*rules.READ_OPS), "READ").when(op.isin(*rules.FULL_OPS), "ALL").otherwise("NONE")
-
-
-def uri_denial_message(user="user_name", action="uri_action", path="path") -> Column:
-    return denial(_col(user), _col(action), _col(path))
+    return F.expr(f"""
+        CASE WHEN {any_of(op, rules.READ_OPS)} THEN 'READ' WHEN {any_of(op, rules.FULL_OPS)} THEN 'ALL' ELSE 'NONE' END""")
 
 
 def type_ordinal(obj_type="obj_type") -> Column:
-    kind = _col(obj_type)
-    ordinal = F.when(kind == rules.OBJECT_TYPES[0], 0)
-    for number, name in enumerate(rules.OBJECT_TYPES[1:], start=1):
-        ordinal = ordinal.when(kind == name, number)
-    return ordinal
+    cases = " ".join(f"WHEN '{name}' THEN {number}" for number, name in enumerate(rules.OBJECT_TYPES))
+    return F.expr(f"CASE {obj_type} {cases} END")
 
 
 def object_sort_keys() -> list[Column]:
@@ -149,15 +133,10 @@ def object_sort_keys() -> list[Column]:
 
 def render_object(obj_type="obj_type", db="db", name="name", part_keys="part_keys", action="action") -> Column:
     """Text of an object, as shown to people."""
-    kind, db, action = _col(obj_type), _col(db), _col(action)
-    name = F.coalesce(_col(name), F.lit("null"))
-    qualified = F.concat(F.when(db.isNull(), "").otherwise(F.concat(db, F.lit("."))), name)
-    keys = F.coalesce(F.concat(F.lit("["), F.array_join(_col(part_keys), ", "), F.lit("]")), F.lit(""))
-    shown = (
-        F.when(kind == "DATABASE", F.coalesce(db, F.lit("null")))
-        .when(kind == "TABLE_OR_VIEW", F.concat(qualified, keys))
-        .when(kind == "FUNCTION", qualified)
-        .otherwise("")
-    )
-    suffix = F.when(action.isin("INSERT", "INSERT_OVERWRITE"), F.concat(F.lit(", action="), action)).otherwise("")
-    return F.concat(F.lit("Object [type="), kind, F.lit(", name="), shown, suffix, F.lit("]"))
+    qualified = f"concat(coalesce(concat({db}, '.'), ''), coalesce({name}, 'null'))"
+    return F.expr(f"""
+        concat('Object [type=', {obj_type}, ', name=',
+          CASE {obj_type} WHEN 'DATABASE' THEN coalesce({db}, 'null')
+            WHEN 'TABLE_OR_VIEW' THEN concat({qualified}, coalesce(concat('[', array_join({part_keys}, ', '), ']'), ''))
+            WHEN 'FUNCTION' THEN {qualified} ELSE '' END,
+          IF({action} IN ('INSERT', 'INSERT_OVERWRITE'), concat(', action=', {action}), ''), ']')""")

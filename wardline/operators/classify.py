@@ -5,19 +5,17 @@ from pyspark.sql import functions as F
 
 from wardline.functions.rules import command_rules
 
-_EXPLAINS = ("ExplainCommand", "StreamingExplainCommand")
-
-
 def unwrap_explain(stmts: DataFrame) -> DataFrame:
     """Adds `target_command`, the command whose rules count, and `objects_checked`.
 
     EXPLAIN stands for what it wraps, one level deep. Streaming EXPLAIN takes over the operation
     only, and a plain SHOW TABLES is not checked: its rows are filtered instead.
     """
-    command = F.coalesce("command", F.lit("Query"))
-    target = F.when(command.isin(*_EXPLAINS), F.coalesce("inner_command", F.lit("Query"))).otherwise(command)
-    checked = ~command.isin("StreamingExplainCommand", "ShowTablesCommand")
-    return stmts.withColumns({"target_command": target, "objects_checked": checked})
+    target = """
+        CASE WHEN command IN ('ExplainCommand', 'StreamingExplainCommand') THEN coalesce(inner_command, 'Query')
+             ELSE coalesce(command, 'Query') END"""
+    checked = "coalesce(command, 'Query') NOT IN ('StreamingExplainCommand', 'ShowTablesCommand')"
+    return stmts.withColumns({"target_command": F.expr(target), "objects_checked": F.expr(checked)})
 
 
 def classify_operation(stmts: DataFrame) -> DataFrame:
@@ -25,18 +23,14 @@ def classify_operation(stmts: DataFrame) -> DataFrame:
 
     The rule table has a fixed number of rows. Commands it does not know count as EXPLAIN.
     """
-    unwrapped = unwrap_explain(stmts)
     rules = command_rules(stmts.sparkSession)
-    flagged = (
-        F.when(F.col("flag") == "is_view", F.col("is_view"))
-        .when(F.col("flag") == "is_temp", F.col("is_temp"))
-        .when(F.col("flag") == "reads", F.col("conf_key").isNull() | ~F.coalesce("conf_has_value", F.lit(False)))
-    )
-    op = F.coalesce(F.when(flagged, F.col("flag_op")), F.col("rule_op"), F.lit("EXPLAIN"))
-    return (
-        unwrapped.join(F.broadcast(rules), "target_command", "left")
-        .withColumn("op", op)
-        .withColumn("shape", F.when(F.col("objects_checked"), F.coalesce("shape", F.lit("nothing"))).otherwise("nothing"))
-        .withColumn("reads", F.when(F.col("objects_checked"), F.col("reads")))
-        .drop("rule_op", "flag_op", "flag")
-    )
+    flag_set = """
+        CASE flag WHEN 'is_view' THEN is_view WHEN 'is_temp' THEN is_temp
+                  WHEN 'reads' THEN conf_key IS NULL OR NOT coalesce(conf_has_value, false) END"""
+    added = {
+        "op": F.expr(f"coalesce(CASE WHEN {flag_set} THEN flag_op END, rule_op, 'EXPLAIN')"),
+        "shape": F.expr("CASE WHEN objects_checked THEN coalesce(shape, 'nothing') ELSE 'nothing' END"),
+        "reads": F.expr("CASE WHEN objects_checked THEN reads END"),
+    }
+    classified = unwrap_explain(stmts).join(F.broadcast(rules), "target_command", "left").withColumns(added)
+    return classified.drop("rule_op", "flag_op", "flag")

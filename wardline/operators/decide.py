@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
-from wardline.functions.rules import ANY_TOKEN
+from wardline.functions.rules import ADMIN_TOKEN, ANY_TOKEN
 from wardline.operators.requests import fan_out_columns
 from wardline.operators.sizing import BROADCAST_BYTES, row_bytes, salted_join
 
@@ -25,13 +25,33 @@ _ASKING = ["q_user_name", "q_token", "q_level"]
 _QUESTION = [*_ASKING, "q1", "q2", "q3"]
 
 
-def _pattern(value: Column) -> tuple[Column, Column]:
-    """Text to compare with, and the length of the prefix that counts (-1: the whole name)."""
-    open_end = value.endswith("*")
-    return (
-        F.when(open_end, F.left(value, F.length(value) - 1)).otherwise(value),
-        F.when(open_end, F.length(value) - 1).otherwise(-1),
-    )
+# A pattern as the text to compare with, and the length of the prefix that counts (-1: the whole name).
+_TEXT = "IF(endswith({0}, '*'), left({0}, length({0}) - 1), {0}) AS {1}_text"
+_LENGTH = "IF(endswith({0}, '*'), length({0}) - 1, -1) AS {1}_length"
+
+# The facts a grant stands for: level, token, condition, and what its three keys are.
+_FACTS = """
+C  own  on_tables                                          db  tbl  col
+T  own  on_tables AND col_length = 0                       db  tbl  -
+D  own  on_tables AND col_length = 0 AND tbl_length = 0    db  -    -
+F  own  NOT on_tables                                      db  udf  -
+C  any  on_tables                                          db  tbl  col
+T  any  on_tables                                          db  tbl  -
+F  any  NOT on_tables                                      db  udf  -
+D  any  true                                               db  -    -
+D  any  true                                               all -    -
+"""
+
+
+def _fact(line: str) -> str:
+    level, token, *condition, first, second, third = line.split()
+    keys = []
+    for number, key in enumerate((first, second, third), 1):
+        fixed = {"-": "''", "all": "'*'"}.get(key)
+        text, length = (fixed, "-1") if fixed else (f"{key}_text", f"{key}_length")
+        keys.append(f"'k{number}', {text}, 'n{number}', {length}")
+    token = "token" if token == "own" else f"'{ANY_TOKEN}'"
+    return f"IF({' '.join(condition)}, named_struct('token', {token}, 'level', '{level}', {', '.join(keys)}), NULL)"
 
 
 def compile_grants(grants: DataFrame) -> DataFrame:
@@ -40,50 +60,31 @@ def compile_grants(grants: DataFrame) -> DataFrame:
     A fact has three keys (database; table or function; column), each a text `k` with a prefix
     length `n`. Unused keys are the exact empty text.
     """
-    udf = F.col("udf") if "udf" in grants.columns else F.lit(None).cast("string")
-    exact = lambda text: (F.lit(text), F.lit(-1))
-    own, db = X.grant_token(), _pattern(F.coalesce("db", F.lit("*")))
-    tbl, col, func = (_pattern(F.coalesce(c, F.lit("*"))) for c in (F.col("tbl"), F.col("col"), udf))
-    on_tables, whole_table, whole_db = udf.isNull(), col[1] == 0, (tbl[1] == 0) & (col[1] == 0)
-
-    def fact(keep, token, level, first, second, third):
-        keys = [part.alias(f"{n}{i}") for i, pair in enumerate((first, second, third), 1) for n, part in zip("kn", pair)]
-        return F.when(keep, F.struct(token.alias("token"), F.lit(level).alias("level"), *keys))
-
-    any_token, none = F.lit(ANY_TOKEN), exact("")
-    facts = [
-        fact(on_tables, own, "C", db, tbl, col),
-        fact(on_tables & whole_table, own, "T", db, tbl, none),
-        fact(on_tables & whole_db, own, "D", db, none, none),
-        fact(~on_tables, own, "F", db, func, none),
-        fact(on_tables, any_token, "C", db, tbl, col),
-        fact(on_tables, any_token, "T", db, tbl, none),
-        fact(~on_tables, any_token, "F", db, func, none),
-        fact(F.lit(True), any_token, "D", db, none, none),
-        fact(F.lit(True), any_token, "D", exact("*"), none, none),
-    ]
-    known = grants.where(F.col("user_name").isNotNull() & F.col("access").isNotNull())
-    return (
-        known.select("user_name", F.explode(F.filter(F.array(*facts), lambda f: f.isNotNull())).alias("fact"))
-        .select("user_name", "fact.*")
-        .distinct()
+    udf = "udf" if "udf" in grants.columns else "CAST(NULL AS STRING)"
+    patterns = {"db": "coalesce(db, '*')", "tbl": "coalesce(tbl, '*')", "col": "coalesce(col, '*')", "udf": udf}
+    known = grants.where("user_name IS NOT NULL AND access IS NOT NULL").selectExpr(
+        "user_name",
+        f"IF(lower(access) = 'admin', '{ADMIN_TOKEN}', lower(access)) AS token",
+        f"{udf} IS NULL AS on_tables",
+        *[form.format(sql, name) for name, sql in patterns.items() for form in (_TEXT, _LENGTH)],
     )
+    facts = ", ".join(map(_fact, _FACTS.strip().splitlines()))
+    return known.selectExpr("user_name", f"inline(array_compact(array({facts})))").distinct()
 
 
 def with_question(reqs: DataFrame) -> DataFrame:
     """Adds the question a request puts to the grants: who, with which token, on which level and names."""
-    kind = F.col("object_type")
     column = "column_name" if "column_name" in reqs.columns else "column"
-    level = F.when(kind == "DATABASE", "D").when(kind.isin("TABLE", "VIEW"), "T").when(kind == "COLUMN", "C")
-    return reqs.withColumns(
-        {
-            "q_user_name": F.col("user_name"),
-            "q_token": X.access_token(),
-            "q_level": level.when(kind == "FUNCTION", "F"),
-            "q1": F.col("database"),
-            "q2": F.coalesce("table", "udf", F.lit("")),
-            "q3": F.when(kind == "COLUMN", F.coalesce(column, F.lit(""))).otherwise(""),
-        }
+    return reqs.select(
+        "*",
+        F.expr("user_name AS q_user_name"),
+        X.access_token().alias("q_token"),
+        F.expr("""
+            CASE object_type WHEN 'DATABASE' THEN 'D' WHEN 'TABLE' THEN 'T' WHEN 'VIEW' THEN 'T'
+                             WHEN 'COLUMN' THEN 'C' WHEN 'FUNCTION' THEN 'F' END AS q_level"""),
+        F.expr("database AS q1"),
+        F.expr("coalesce(table, udf, '') AS q2"),
+        F.expr(f"IF(object_type = 'COLUMN', coalesce({column}, ''), '') AS q3"),
     )
 
 
@@ -92,26 +93,28 @@ class GrantSize(NamedTuple):
     tries: int
 
 
-def measure_facts(facts: DataFrame) -> GrantSize:
-    """Size of the facts, and the longest list of patterns any request would have to try in turn."""
-    fixed = F.struct("n1", "n2") == F.struct(F.lit(-1), F.lit(-1))
-    tried_in = F.when(~fixed, F.struct(F.lit("").alias("k1"), F.lit("").alias("k2"))).otherwise(F.struct("k1", "k2"))
-    lists = facts.select(
-        *_WHO, tried_in.alias("list"), row_bytes(facts).alias("bytes"),
-        (~fixed | (F.col("n3") != -1)).cast("long").alias("tried"),
-    )
-    total = (
-        lists.groupBy(*_WHO, "list")
-        .agg(F.sum("bytes").alias("bytes"), F.sum("tried").alias("tries"))
-        .agg(F.sum("bytes").alias("bytes"), F.max("tries").alias("tries"))
-        .first()
+def measure_grants(grants: DataFrame) -> GrantSize:
+    """Upper bounds from one aggregate: the bytes of all facts, and how many patterns a request may have to try.
+
+    Patterns for a database or a table are tried by user, those for a column by user and table.
+    """
+    by_table = "endswith(coalesce(db, '*'), '*') OR endswith(IF(udf IS NULL, coalesce(tbl, '*'), udf), '*')"
+    open_end = f"({by_table} OR (udf IS NULL AND endswith(coalesce(col, '*'), '*')))"
+    grants = grants if "udf" in grants.columns else grants.withColumn("udf", F.lit(None).cast("string"))
+    lists = grants.select(
+        "user_name",
+        F.expr(f"IF({by_table}, NULL, struct(db, tbl)) AS place"),
+        F.expr(f"CAST({open_end} AS BIGINT) AS tried"),
+        row_bytes(grants).alias("bytes"),
     )
-    return GrantSize(total["bytes"] or 0, total["tries"] or 0)
+    each = lists.groupBy("user_name", "place").agg(F.expr("sum(tried) AS tries"), F.expr("sum(bytes) AS bytes"))
+    total = each.selectExpr("sum(bytes) AS bytes", "max(tries) AS tries").first()
+    return GrantSize(len(_FACTS.strip().splitlines()) * (total["bytes"] or 0), (total["tries"] or 0) + 1)
 
 
-def broadcastable(facts: DataFrame, limit: int = BROADCAST_BYTES, tries: int = MAX_TRIES) -> bool:
-    """Whether facts are proven small enough to sit in every executor and be tried in turn."""
-    size = measure_facts(facts)
+def broadcastable(grants: DataFrame, limit: int = BROADCAST_BYTES, tries: int = MAX_TRIES) -> bool:
+    """Whether the grants are proven small enough to sit in every executor and be tried in turn."""
+    size = measure_grants(grants)
     return size.bytes <= limit and size.tries <= tries
 
 
@@ -166,10 +169,9 @@ def answer_by_shuffle(questions: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def match_grants(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
-    """`reqs` with `allowed`. The facts are measured first; both ways give the same answers."""
-    facts = compile_grants(grants)
-    answer = answer_by_broadcast if broadcastable(facts, **sizes) else answer_by_shuffle
-    return answer(with_question(reqs), facts).drop(*_QUESTION)
+    """`reqs` with `allowed`. The grants are measured first; both ways give the same answers."""
+    answer = answer_by_broadcast if broadcastable(grants, **sizes) else answer_by_shuffle
+    return answer(with_question(reqs), compile_grants(grants)).drop(*_QUESTION)
 
 
 def on_null(allowed="allowed", verdict: bool = True) -> Column:

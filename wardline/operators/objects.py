@@ -8,7 +8,7 @@ on relations that cannot be checked at all: they deny their statement.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.expressions import action_of, blank_list, unsupported_message
+from wardline.functions.expressions import action_of, unsupported_message
 from wardline.functions.rules import TABLE_SIZE_COLUMN, object_templates
 from wardline.operators.sizing import lookup
 
@@ -16,58 +16,53 @@ OBJECT_COLUMNS = ["stmt_id", "side", "ord", "obj_type", "db", "name", "part_keys
 CONTEXT = ["op", "user_name", "client_ip", "ts"]
 
 _RAW = ["stmt_id", "side", "ord", "obj_type", "db", "name", "listed", "columns_from", "action", "reason"]
-_NO_NAMES = "array<string>"
+_NO_NAMES = "CAST(array() AS array<string>)"
 
 
-def _no_names() -> Column:
-    return F.array().cast(_NO_NAMES)
-
-
-def resolved_columns(projected: Column, catalog_columns: Column) -> Column:
+def resolved_columns(projected="projected", catalog_columns="inv_columns") -> Column:
     """The projected names, or all columns of the table where none are projected."""
-    return F.when(blank_list(projected), F.coalesce(catalog_columns, _no_names())).otherwise(projected)
+    return F.expr(f"IF(size({projected}) > 0, {projected}, coalesce({catalog_columns}, {_NO_NAMES}))")
 
 
-def resolved_part_keys(projected: Column, part_cols: Column) -> Column:
+def resolved_part_keys(projected="projected", part_cols="part_cols") -> Column:
     """Partition columns in table order, restricted to the projected names if there are any."""
-    kept = F.filter(part_cols, lambda name: F.array_contains(projected, name))
-    return F.coalesce(F.when(blank_list(projected), part_cols).otherwise(kept), _no_names())
+    kept = f"filter({part_cols}, name -> array_contains({projected}, name))"
+    return F.expr(f"coalesce(IF(size({projected}) > 0, {kept}, {part_cols}), {_NO_NAMES})")
 
 
-def _with_inventory(df: DataFrame, inv: DataFrame) -> DataFrame:
-    catalog = inv.select(
-        F.col("db").alias("inv_db"), F.col("tbl").alias("inv_tbl"), F.col("columns").alias("inv_columns"), "part_cols"
-    )
-    keyed = df.withColumns({"inv_db": df["db"], "inv_tbl": df["tbl"]})
-    return lookup(keyed, catalog, ["inv_db", "inv_tbl"])
+def _catalog(inv: DataFrame) -> DataFrame:
+    return inv.selectExpr("db AS inv_db", "tbl AS inv_tbl", "columns AS inv_columns", "part_cols")
+
+
+def _with_catalog(rels: DataFrame, inv: DataFrame) -> DataFrame:
+    keyed = rels.selectExpr("*", "db AS inv_db", "tbl AS inv_tbl")
+    return lookup(keyed, _catalog(inv), ["inv_db", "inv_tbl"])
 
 
 def resolve_columns(rels: DataFrame, inv: DataFrame) -> DataFrame:
     """`rels` with the `columns` each relation needs."""
-    joined = _with_inventory(rels, inv)
-    return joined.select(*rels.columns, resolved_columns(F.col("projected"), F.col("inv_columns")).alias("columns"))
+    return _with_catalog(rels, inv).select(*rels.columns, resolved_columns().alias("columns"))
 
 
 def resolve_part_keys(rels: DataFrame, inv: DataFrame) -> DataFrame:
     """`rels` with the partition columns (`part_keys`) each relation needs."""
-    joined = _with_inventory(rels, inv)
-    return joined.select(*rels.columns, resolved_part_keys(F.col("projected"), F.col("part_cols")).alias("part_keys"))
+    return _with_catalog(rels, inv).select(*rels.columns, resolved_part_keys().alias("part_keys"))
 
 
 def split_connector_name(rels: DataFrame) -> DataFrame:
     """Adds `connector_db` and `connector_tbl` from names such as `prefix::db.table`; null if malformed."""
-    parts = F.split(F.get(F.split("raw_name", "::"), F.lit(1)), r"\.")
-    table = F.get(parts, F.lit(1))
-    return rels.withColumns(
-        {"connector_db": F.when(table.isNotNull(), F.get(parts, F.lit(0))), "connector_tbl": table}
+    parts = "split(get(split(raw_name, '::'), 1), '[.]')"
+    table = f"nullif(get({parts}, 1), '')"
+    return rels.selectExpr(
+        "*", f"IF({table} IS NOT NULL, get({parts}, 0), NULL) AS connector_db", f"{table} AS connector_tbl"
     )
 
 
 def flag_unsupported(rels: DataFrame) -> DataFrame:
     """Adds `reason`, the text of the denial, on relations that no catalog and no known connector covers."""
-    unknown = (F.col("kind") == "path") | ((F.col("kind") == "connector") & F.col("connector_tbl").isNull())
     named = rels if "connector_tbl" in rels.columns else split_connector_name(rels)
-    return named.withColumn("reason", F.when(unknown, unsupported_message())).select(*rels.columns, "reason")
+    unknown = F.expr("kind = 'path' OR (kind = 'connector' AND connector_tbl IS NULL)")
+    return named.select(*rels.columns, F.when(unknown, unsupported_message()).alias("reason"))
 
 
 def route_relations(rels: DataFrame, unresolved_without_db: bool = False) -> DataFrame:
@@ -76,24 +71,21 @@ def route_relations(rels: DataFrame, unresolved_without_db: bool = False) -> Dat
     An unresolved relation gives a table-level object if the log names its database. With
     `unresolved_without_db` such names never count, as for a checker that sees the bare name only.
     """
-    kind, projected = F.col("kind"), F.col("projected")
-    named = flag_unsupported(split_connector_name(rels))
-    is_connector, is_unresolved = kind == "connector", kind == "unresolved"
-    db = F.when(is_connector, F.col("connector_db")).otherwise(F.col("db"))
-    if unresolved_without_db:
-        db = F.when(~is_unresolved, db)
-    routed = named.where(kind.isin("catalog", "connector", "unresolved", "path")).select(
+    bare_name = "WHEN 'unresolved' THEN NULL" if unresolved_without_db else ""
+    routed = flag_unsupported(split_connector_name(rels)).selectExpr(
         "stmt_id",
         "ord",
-        F.lit("TABLE_OR_VIEW").alias("obj_type"),
-        F.when(F.col("reason").isNull(), db).alias("db"),
-        F.when(is_connector, F.col("connector_tbl")).otherwise(F.col("tbl")).alias("name"),
-        F.when(is_unresolved, _no_names()).otherwise(F.coalesce(projected, _no_names())).alias("listed"),
-        F.when(kind == "catalog", "catalog").when(is_connector, "connector").alias("columns_from"),
-        F.lit("OTHER").alias("action"),
+        "kind",
+        "'TABLE_OR_VIEW' AS obj_type",
+        f"CASE WHEN reason IS NULL THEN CASE kind WHEN 'connector' THEN connector_db {bare_name} ELSE db END END AS db",
+        "IF(kind = 'connector', connector_tbl, tbl) AS name",
+        f"IF(kind = 'unresolved', {_NO_NAMES}, coalesce(projected, {_NO_NAMES})) AS listed",
+        "CASE WHEN kind IN ('catalog', 'connector') THEN kind END AS columns_from",
+        "'OTHER' AS action",
         "reason",
     )
-    return routed.where(F.col("db").isNotNull() | F.col("reason").isNotNull())
+    known = "kind IN ('catalog', 'connector', 'unresolved', 'path') AND (db IS NOT NULL OR reason IS NOT NULL)"
+    return routed.where(known).drop("kind")
 
 
 def attach_schema(raw: DataFrame, inv: DataFrame) -> DataFrame:
@@ -101,18 +93,17 @@ def attach_schema(raw: DataFrame, inv: DataFrame) -> DataFrame:
 
     Only rows that need the catalog carry join keys, the others keep null ones.
     """
-    source = F.col("columns_from")
-    needs = source.isin("catalog", "connector", "schema")
-    catalog = inv.select(
-        F.col("db").alias("inv_db"), F.col("tbl").alias("inv_tbl"), F.col("columns").alias("inv_columns"), "part_cols"
-    )
-    keyed = raw.withColumns({"inv_db": F.when(needs, F.col("db")), "inv_tbl": F.when(needs, F.col("name"))})
-    joined = lookup(keyed, catalog, ["inv_db", "inv_tbl"])
-    columns = F.when(needs, resolved_columns(F.col("listed"), F.col("inv_columns"))).otherwise(F.col("listed"))
-    part_keys = F.when(source.isin("catalog", "schema"), resolved_part_keys(F.col("listed"), F.col("part_cols")))
-    return joined.withColumns({"columns": columns, "part_keys": F.coalesce(part_keys, _no_names())}).drop(
-        "inv_db", "inv_tbl", "inv_columns", "part_cols", "listed", "columns_from"
-    )
+    needs = "columns_from IN ('catalog', 'connector', 'schema')"
+    keyed = raw.selectExpr("*", f"IF({needs}, db, NULL) AS inv_db", f"IF({needs}, name, NULL) AS inv_tbl")
+    joined = lookup(keyed, _catalog(inv), ["inv_db", "inv_tbl"])
+    added = {
+        "columns": F.when(F.expr(needs), resolved_columns("listed")).otherwise(F.col("listed")),
+        "part_keys": F.when(F.expr("columns_from IN ('catalog', 'schema')"), resolved_part_keys("listed")).otherwise(
+            F.expr(_NO_NAMES)
+        ),
+    }
+    hints = ["inv_db", "inv_tbl", "inv_columns", "part_cols", "listed", "columns_from"]
+    return joined.withColumns(added).drop(*hints)
 
 
 def expand_query_objects(rels: DataFrame, inv: DataFrame, unresolved_without_db: bool = False) -> DataFrame:
@@ -121,46 +112,37 @@ def expand_query_objects(rels: DataFrame, inv: DataFrame, unresolved_without_db:
     return attach_schema(raw, inv).withColumn("side", F.lit("in")).select(*OBJECT_COLUMNS, "reason")
 
 
-def _raw_command_objects(classified: DataFrame) -> DataFrame:
+def _raw_command_objects(classified: DataFrame, keep: list[str]) -> DataFrame:
     templates = object_templates(classified.sparkSession)
-    source, condition = F.col("name_from"), F.col("condition")
-    holds = (
-        F.when(condition == "not_temp", ~F.coalesce("is_temp", F.lit(False)))
-        .when(condition == "not_local", ~F.coalesce("is_local", F.lit(False)))
-        .when(condition == "permanent_name", ~F.coalesce("is_view", F.lit(False)) | F.col("db").isNotNull())
-        .otherwise(True)
-    )
-    db = F.when(source.isin("new", "newdb"), F.col("new_db")).when(source == "path", F.col("path"))
-    name = (
-        F.when(source == "db", F.col("db"))
-        .when(source == "newdb", F.col("new_db"))
-        .when(source == "new", F.col("new_tbl"))
-        .when(source == "func", F.col("func"))
-        .when(source == "path", F.col("path"))
-        .otherwise(F.col("tbl"))
-    )
-    listed = (
-        F.when(F.col("columns_from") == "listed", F.coalesce("columns", _no_names()))
-        .when(F.col("columns_from") == "size", F.array(F.lit(TABLE_SIZE_COLUMN)))
-        .otherwise(_no_names())
-    )
+    holds = """
+        CASE condition WHEN 'not_temp' THEN NOT coalesce(is_temp, false)
+                       WHEN 'not_local' THEN NOT coalesce(is_local, false)
+                       WHEN 'permanent_name' THEN NOT coalesce(is_view, false) OR db IS NOT NULL
+                       ELSE true END"""
     expanded = classified.join(F.broadcast(templates), "shape").where(holds)
-    return expanded.withColumns(
-        {
-            "ord": F.col("pos"),
-            "object_db": db.otherwise(F.col("db")),
-            "name": name,
-            "listed": listed,
-            "action": F.when(condition == "by_mode", action_of()).otherwise("OTHER"),
-            "reason": F.lit(None).cast("string"),
-        }
-    ).where(F.col("object_db").isNotNull())
+    raw = expanded.select(
+        "stmt_id",
+        "side",
+        F.expr("pos AS ord"),
+        "obj_type",
+        F.expr("CASE WHEN name_from IN ('new', 'newdb') THEN new_db WHEN name_from = 'path' THEN path ELSE db END AS db"),
+        F.expr("""
+            CASE name_from WHEN 'db' THEN db WHEN 'newdb' THEN new_db WHEN 'new' THEN new_tbl
+                           WHEN 'func' THEN func WHEN 'path' THEN path ELSE tbl END AS name"""),
+        F.expr(f"""
+            CASE columns_from WHEN 'listed' THEN coalesce(columns, {_NO_NAMES})
+                              WHEN 'size' THEN array('{TABLE_SIZE_COLUMN}') ELSE {_NO_NAMES} END AS listed"""),
+        "columns_from",
+        F.when(F.expr("condition = 'by_mode'"), action_of()).otherwise("OTHER").alias("action"),
+        F.expr("CAST(NULL AS STRING) AS reason"),
+        *keep,
+    )
+    return raw.where("db IS NOT NULL")
 
 
 def expand_command_objects(classified: DataFrame, inv: DataFrame) -> DataFrame:
     """Objects that classified commands name themselves; the templates are a fixed table."""
-    raw = _raw_command_objects(classified).withColumn("db", F.col("object_db")).select(*_RAW)
-    return attach_schema(raw, inv).select(*OBJECT_COLUMNS)
+    return attach_schema(_raw_command_objects(classified, []), inv).select(OBJECT_COLUMNS)
 
 
 def build_objects(
@@ -180,9 +162,8 @@ def build_objects(
     def placed(df):
         return df if bucketed else df.repartition("stmt_id")
 
-    readers = classified.where(F.col("reads").isNotNull()).select("stmt_id", F.col("reads").alias("side"), *CONTEXT)
+    readers = classified.where("reads IS NOT NULL").select("stmt_id", F.expr("reads AS side"), *CONTEXT)
     queried = placed(route_relations(rels, unresolved_without_db)).join(placed(readers), "stmt_id")
-    commanded = _raw_command_objects(placed(classified.where(F.col("shape") != "nothing")))
-    commanded = commanded.withColumn("db", F.col("object_db"))
-    raw = queried.select(*_RAW, *CONTEXT).unionByName(commanded.select(*_RAW, *CONTEXT))
+    commanded = _raw_command_objects(placed(classified.where("shape <> 'nothing'")), CONTEXT)
+    raw = queried.select(*_RAW, *CONTEXT).unionByName(commanded)
     return attach_schema(raw, inv).select(*OBJECT_COLUMNS, "reason", *CONTEXT)

@@ -1,6 +1,6 @@
 """Access requests: what each statement asks for, once."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
@@ -8,16 +8,12 @@ from wardline.functions.rules import UNKNOWN_CLIENT
 
 RESOURCE = ["database", "table", "udf", "column"]
 ENVELOPE = ["user_name", "action", "client_ip", "cluster", "ts"]
+_OF_REQUEST = {"needed": "access", "object_type": "object_type", **{c: c for c in RESOURCE}}
 REQUEST_COLUMNS = ["stmt_id", "seq", "access", "object_type", *RESOURCE, "reason", *ENVELOPE]
 
-_SIDE_STEP = 1 << 32
-_REASON_STEP = 1 << 40
-_WHOLE_LISTING_SEQ = -1
-
-
-def request_order(side="side", ord="ord") -> Column:
-    """Position in a statement: inputs first, then outputs."""
-    return F.when(F.col(side) == "out", _SIDE_STEP).otherwise(0).cast("long") + F.col(ord)
+# Position in a statement: inputs first, then outputs. What denies outright comes before all requests.
+_POSITION = "IF(side = 'out', 4294967296L, 0L) + ord"
+_REJECTED_POSITION = "ord - 1099511627776L"
 
 
 def object_requests(objs: DataFrame, show_all: bool = False, cluster: str = "") -> DataFrame:
@@ -26,22 +22,18 @@ def object_requests(objs: DataFrame, show_all: bool = False, cluster: str = "")
     Rows with a `reason` pass through ahead of all requests.
     """
     typed = objs.withColumn("object_type", X.object_type())
-    needed = typed.withColumns({"access": X.access_type(show_all=show_all), **X.resource_keys()})
-    rejected = F.col("reason").isNotNull()
-    asks = F.col("database").isNotNull() & (F.col("access") != "NONE")
-    only_asking = {c: F.when(~rejected, F.col(c)) for c in ["access", "object_type", *RESOURCE]}
-    return (
-        needed.where(asks | rejected)
-        .withColumns(only_asking)
-        .withColumns(
-            {
-                "seq": request_order() - F.when(rejected, _REASON_STEP).otherwise(0),
-                "action": F.col("op"),
-                "client_ip": F.coalesce("client_ip", F.lit(UNKNOWN_CLIENT)),
-                "cluster": F.lit(cluster),
-            }
-        )
-        .select(REQUEST_COLUMNS)
+    needed = typed.withColumns({"needed": X.access_type(show_all=show_all), **X.resource_keys()})
+    asking = needed.where("reason IS NOT NULL OR (database IS NOT NULL AND needed <> 'NONE')")
+    return asking.selectExpr(
+        "stmt_id",
+        f"IF(reason IS NULL, {_POSITION}, {_REJECTED_POSITION}) AS seq",
+        *[f"CASE WHEN reason IS NULL THEN {c} END AS {n}" for c, n in _OF_REQUEST.items()],
+        "reason",
+        "user_name",
+        "op AS action",
+        f"coalesce(client_ip, {X.quoted(UNKNOWN_CLIENT)}) AS client_ip",
+        f"{X.quoted(cluster)} AS cluster",
+        "ts",
     )
 
 
@@ -56,19 +48,19 @@ def dedupe_requests(reqs: DataFrame) -> DataFrame:
 
 
 def whole_listing_requests(classified: DataFrame, cluster: str = "") -> DataFrame:
-    """Listing all databases asks for any access on database `*`."""
-    nothing = F.lit(None).cast("string")
-    return classified.where(F.col("op") == "SHOWDATABASES").select(
+    """Listing all databases asks for any access on database `*`, ahead of other requests."""
+    nothing = [f"CAST(NULL AS STRING) AS {c}" for c in ("table", "udf", "column", "reason")]
+    return classified.where("op = 'SHOWDATABASES'").selectExpr(
         "stmt_id",
-        F.lit(_WHOLE_LISTING_SEQ).cast("long").alias("seq"),
-        F.lit("USE").alias("access"),
-        F.lit("DATABASE").alias("object_type"),
-        F.lit("*").alias("database"),
-        *[nothing.alias(c) for c in ("table", "udf", "column", "reason")],
+        "-1L AS seq",
+        "'USE' AS access",
+        "'DATABASE' AS object_type",
+        "'*' AS database",
+        *nothing,
         "user_name",
-        F.col("op").alias("action"),
-        F.coalesce("client_ip", F.lit(UNKNOWN_CLIENT)).alias("client_ip"),
-        F.lit(cluster).alias("cluster"),
+        "op AS action",
+        f"coalesce(client_ip, {X.quoted(UNKNOWN_CLIENT)}) AS client_ip",
+        f"{X.quoted(cluster)} AS cluster",
         "ts",
     )
 
@@ -87,8 +79,7 @@ def fan_out_columns(reqs: DataFrame) -> DataFrame:
     Adds `column_name` and `col_pos`. The list stays in `column`, where messages show it. A request
     with one name stays as it is, and one with blank names only leaves nothing to check.
     """
-    several = F.coalesce(F.contains("column", F.lit(",")), F.lit(False))
-    names = F.when(several, F.split("column", ",")).otherwise(F.array("column"))
-    fanned = reqs.select("*", several.alias("several"), F.posexplode(names).alias("col_pos", "column_name"))
-    blank = ~F.col("column_name").rlike(r"[^\s]")
-    return fanned.where(~F.col("several") | ~blank).drop("several")
+    several = "coalesce(contains(column, ','), false)"
+    names = f"IF({several}, split(column, ','), array(column))"
+    fanned = reqs.selectExpr("*", f"posexplode({names}) AS (col_pos, column_name)")
+    return fanned.where(rf"NOT {several} OR column_name RLIKE r'[^\s]'")

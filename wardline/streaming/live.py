@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.decide import audit_rows, broadcastable, compile_grants, decide
+from wardline.operators.decide import audit_rows, broadcastable, decide
 from wardline.plans.governance import Governance
 from wardline.schemas import LIVE_STATEMENTS
 from wardline.sources.audit import write_audit
@@ -27,7 +27,7 @@ def authorize_stream(stream_reqs: DataFrame, grants: DataFrame, **sizes) -> Data
 
     The grants must fit a broadcast; `live_verdicts` has no such bound.
     """
-    if not broadcastable(compile_grants(grants), **sizes):
+    if not broadcastable(grants, **sizes):
         raise ValueError("too many grants for a stateless join; judge whole batches with live_verdicts")
     return decide(stream_reqs, grants, **sizes)
 
