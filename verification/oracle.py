@@ -188,7 +188,7 @@ SELECT * FROM (SELECT stmt_id, seq, user_name, op AS action, access, object_type
  FROM objects o JOIN ops s ON o.stmt_id = s.stmt_id WHERE o.reason IS NULL)
 ) WHERE "database" IS NOT NULL AND access <> 'NONE'
 UNION ALL
-SELECT stmt_id, -1, user_name, op, 'USE', 'DATABASE', '*', NULL, NULL, NULL, coalesce(client_ip, 'Error'), CAST(ts AS DATE) FROM ops WHERE op = 'SHOWDATABASES' """
+SELECT stmt_id, 0, user_name, op, 'USE', 'DATABASE', '*', NULL, NULL, NULL, coalesce(client_ip, 'Error'), CAST(ts AS DATE) FROM ops WHERE op = 'SHOWDATABASES' """
 
 REQUESTS = """
 SELECT * EXCLUDE (nth) FROM (SELECT *, row_number() OVER (PARTITION BY stmt_id, access, "database", "table", udf, "column" ORDER BY seq) AS nth FROM asked)
@@ -272,7 +272,7 @@ _MASK = "regexp_replace(regexp_replace(regexp_replace({c}, '[A-Z]', 'X', 'g'), '
 _URI = f"""
 SELECT stmt_id, user_name, op, path, uri_action, allowed,
  CASE WHEN NOT allowed THEN concat('Permission denied: user [', user_name, '] does not have [', uri_action, '] privilege on [', path, ']') END AS message
-FROM (SELECT p.*, CASE WHEN uri_action = 'NONE' THEN true
+FROM (SELECT p.*, CASE WHEN p.uri_action = 'NONE' THEN true
   WHEN m.n_matches > 0 THEN m.all_permit
   ELSE coalesce((SELECT arg_max(n.owner = p.user_name OR n.others_action = 'ALL' OR (p.uri_action = 'READ' AND n.others_action = 'READ'), length(n.path))
    FROM files n WHERE starts_with(p.path, concat(n.path, '/'))), false) END AS allowed

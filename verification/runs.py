@@ -9,7 +9,7 @@ from verification import recipes as R
 from wardline.functions import expressions as X
 from wardline.functions.masking import mask_columns
 from wardline.operators.classify import classify_operation
-from wardline.operators.decide import answer_by_broadcast, answer_by_shuffle, compile_grants, decide, with_question
+from wardline.operators.decide import answer_by_broadcast, answer_by_shuffle, compile_grants, denials, with_question
 from wardline.operators.display import rank_objects, show_objects
 from wardline.operators.guards import guard_settings, metadata_decisions, visible_tables
 from wardline.operators.objects import build_objects, expand_command_objects, expand_query_objects
@@ -161,7 +161,7 @@ def _objects(spark, sf_dir, *more):
     objs = build_objects(classify_operation(stmts), rels, inventory(spark))
     if more:
         objs = objs.join(stmts.select("stmt_id", *more), "stmt_id")
-    return objs.where(F.col("reason").isNull())
+    return objs.where("reason IS NULL AND name IS NOT NULL")
 
 
 def statement_objects(spark, sf_dir):
@@ -197,8 +197,8 @@ def decisions(spark, sf_dir):
 
 
 def denial_messages(spark, sf_dir):
-    decided = matrix(spark, sf_dir).decisions.where(F.col("reason").isNull() & ~F.col("allowed"))
-    return decided.select("stmt_id", "seq", "col_pos", "message")
+    denied = denials(matrix(spark, sf_dir).decisions.where(F.col("reason").isNull()))
+    return denied.select("stmt_id", "seq", "col_pos", "message")
 
 
 def statement_verdicts(spark, sf_dir):

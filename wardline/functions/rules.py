@@ -65,7 +65,7 @@ ShowTablesCommand                     SHOWTABLES                -
 ShowViewsCommand                      SHOWVIEWS                 -                 -        database_in      -
 TruncateTableCommand                  TRUNCATETABLE             -                 -        table_both       -
 Query                                 QUERY                     -                 -        nothing          in
-SHOWDATABASES                         SHOWDATABASES             -                 -        nothing          -
+SHOWDATABASES                         SHOWDATABASES             -                 -        all_databases    -
 SWITCHDATABASE                        SWITCHDATABASE            -                 -        database_in      -
 CACHE                                 CACHE                     -                 -        table_in         -
 STREAM                                STREAM                    -                 -        table_out        in
@@ -108,6 +108,7 @@ like            in   DATABASE       db    -       -
 like            in   TABLE_OR_VIEW  tbl   -       -
 like            out  DATABASE       newdb -       -
 like            out  TABLE_OR_VIEW  new   -       -
+all_databases   in   DATABASE       all   -       -
 load            in   DFS_URI        path  -       not_local
 load            out  TABLE_OR_VIEW  tbl   -       -
 """

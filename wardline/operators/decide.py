@@ -180,18 +180,21 @@ def on_null(allowed="allowed", verdict: bool = True) -> Column:
 
 
 def decide(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
-    """Requests per column with `allowed` and the `message` of a denial; a `reason` is one by itself."""
+    """Requests, one per column, with `allowed`. A relation that cannot be checked is not."""
     matched = match_grants(fan_out_columns(reqs), grants, **sizes)
-    allowed = F.col("reason").isNull() & on_null()
-    message = F.when(~F.col("allowed"), F.coalesce("reason", X.denial_message()))
-    return matched.withColumn("allowed", allowed).withColumn("message", message)
+    return matched.withColumn("allowed", F.col("reason").isNull() & on_null())
+
+
+def denials(decisions: DataFrame) -> DataFrame:
+    """The denied requests, with the `message` of each."""
+    denied = decisions.where(~F.col("allowed")).drop("allowed")
+    return denied.withColumn("message", F.coalesce("reason", X.denial_message()))
 
 
 def first_denials(decisions: DataFrame) -> DataFrame:
     """The first denial of each statement that has one; only denials are grouped."""
-    denied = decisions.where(~F.col("allowed"))
-    first = denied.groupBy("stmt_id").agg(F.min(F.struct("seq", "message")).alias("first"))
-    return first.select("stmt_id", F.col("first.seq").alias("denied_seq"), F.col("first.message").alias("message"))
+    first = denials(decisions).groupBy("stmt_id").agg(F.expr("min(struct(seq, message)) AS first"))
+    return first.selectExpr("stmt_id", "first.seq AS denied_seq", "first.message AS message")
 
 
 def statement_verdict(classified: DataFrame, decisions: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -125,9 +125,11 @@ def _raw_command_objects(classified: DataFrame, keep: list[str]) -> DataFrame:
         "side",
         F.expr("pos AS ord"),
         "obj_type",
-        F.expr("CASE WHEN name_from IN ('new', 'newdb') THEN new_db WHEN name_from = 'path' THEN path ELSE db END AS db"),
         F.expr("""
-            CASE name_from WHEN 'db' THEN db WHEN 'newdb' THEN new_db WHEN 'new' THEN new_tbl
+            CASE name_from WHEN 'new' THEN new_db WHEN 'newdb' THEN new_db WHEN 'path' THEN path
+                           WHEN 'all' THEN NULL ELSE db END AS db"""),
+        F.expr("""
+            CASE name_from WHEN 'all' THEN NULL WHEN 'db' THEN db WHEN 'newdb' THEN new_db WHEN 'new' THEN new_tbl
                            WHEN 'func' THEN func WHEN 'path' THEN path ELSE tbl END AS name"""),
         F.expr(f"""
             CASE columns_from WHEN 'listed' THEN coalesce(columns, {_NO_NAMES})
@@ -135,14 +137,16 @@ def _raw_command_objects(classified: DataFrame, keep: list[str]) -> DataFrame:
         "columns_from",
         F.when(F.expr("condition = 'by_mode'"), action_of()).otherwise("OTHER").alias("action"),
         F.expr("CAST(NULL AS STRING) AS reason"),
+        F.expr("name_from = 'all' AS all_databases"),
         *keep,
     )
-    return raw.where("db IS NOT NULL")
+    return raw.where("db IS NOT NULL OR all_databases").drop("all_databases")
 
 
 def expand_command_objects(classified: DataFrame, inv: DataFrame) -> DataFrame:
     """Objects that classified commands name themselves; the templates are a fixed table."""
-    return attach_schema(_raw_command_objects(classified, []), inv).select(OBJECT_COLUMNS)
+    named = _raw_command_objects(classified, []).where("db IS NOT NULL")
+    return attach_schema(named, inv).select(OBJECT_COLUMNS)
 
 
 def build_objects(
@@ -154,6 +158,8 @@ def build_objects(
 ) -> DataFrame:
     """All objects of statements, with the statement's operation, user, client and time on each row.
 
+    A listing of all databases, which names none, is a DATABASE object without a name.
+
     Both branches are partitioned by `stmt_id`, so the union keeps that partitioning and everything
     done per statement afterwards needs no further exchange. For tables bucketed by `stmt_id` pass
     `bucketed`, and their own layout is used.

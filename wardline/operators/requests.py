@@ -47,30 +47,9 @@ def dedupe_requests(reqs: DataFrame) -> DataFrame:
     return reqs.groupBy(*keys).agg(F.min("seq").alias("seq")).select(REQUEST_COLUMNS)
 
 
-def whole_listing_requests(classified: DataFrame, cluster: str = "") -> DataFrame:
-    """Listing all databases asks for any access on database `*`, ahead of other requests."""
-    nothing = [f"CAST(NULL AS STRING) AS {c}" for c in ("table", "udf", "column", "reason")]
-    return classified.where("op = 'SHOWDATABASES'").selectExpr(
-        "stmt_id",
-        "-1L AS seq",
-        "'USE' AS access",
-        "'DATABASE' AS object_type",
-        "'*' AS database",
-        *nothing,
-        "user_name",
-        "op AS action",
-        f"coalesce(client_ip, {X.quoted(UNKNOWN_CLIENT)}) AS client_ip",
-        f"{X.quoted(cluster)} AS cluster",
-        "ts",
-    )
-
-
-def build_requests(
-    classified: DataFrame, objs: DataFrame, show_all: bool = False, cluster: str = ""
-) -> DataFrame:
-    """All requests of statements. `build_objects` gives a listing of databases no inputs."""
-    asked = dedupe_requests(object_requests(objs, show_all, cluster))
-    return asked.unionByName(whole_listing_requests(classified, cluster))
+def build_requests(objs: DataFrame, show_all: bool = False, cluster: str = "") -> DataFrame:
+    """All requests of statements. The object without a name, a listing of all databases, asks for `*`."""
+    return dedupe_requests(object_requests(objs, show_all, cluster))
 
 
 def fan_out_columns(reqs: DataFrame) -> DataFrame:

@@ -33,9 +33,7 @@ class Governance:
         self.patterns = excluded_keys(excluded_settings)
         self.classified = classify_operation(stmts)
         self.objects = build_objects(self.classified, rels, inv, unresolved_without_db, bucketed)
-        self.requests = build_requests(
-            self.classified, self.objects, show_all_columns(show_columns_option), cluster
-        )
+        self.requests = build_requests(self.objects, show_all_columns(show_columns_option), cluster)
         self._decisions = None
 
     @property
