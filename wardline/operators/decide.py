@@ -69,7 +69,7 @@ def compile_grants(grants: DataFrame) -> DataFrame:
         *[form.format(sql, name) for name, sql in patterns.items() for form in (_TEXT, _LENGTH)],
     )
     facts = ", ".join(map(_fact, _FACTS.strip().splitlines()))
-    return known.selectExpr("user_name", f"inline(array_compact(array({facts})))").distinct()
+    return known.selectExpr("user_name", f"inline(array_compact(array({facts})))")
 
 
 def with_question(reqs: DataFrame) -> DataFrame:
@@ -154,7 +154,8 @@ def answer_by_shuffle(questions: DataFrame, facts: DataFrame) -> DataFrame:
     lengths its user's facts have and looked up as a whole; the answers then go back to the requests.
     Every join is salted, as one user or one question may hold much of the log.
     """
-    distinct = questions.select(*_QUESTION).where(F.col("q_level").isNotNull()).distinct()
+    facts = facts.distinct()
+    distinct = questions.select(*_QUESTION).where("q_level IS NOT NULL").distinct()
     lengths = facts.groupBy(*_WHO).agg(F.collect_set(F.struct("n1", "n2", "n3")).alias("cuts"))
     lengths = lengths.withColumnsRenamed(dict(zip(_WHO, _ASKING)))
     cut = salted_join(distinct, lengths, _ASKING).withColumn("cut", F.explode("cuts"))
