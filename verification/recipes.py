@@ -105,7 +105,7 @@ SELECT s.stmt_id, CAST(r.ord AS INT) AS ord,
  CASE WHEN (s.k + r.ord) % 17 <> 16 THEN 'tpch' END AS db, t.tbl,
  CASE WHEN (s.k + r.ord) % 19 = 18 THEN concat('bare.', t.tbl) WHEN (s.k + r.ord) % 19 = 17 THEN 'conn::bare' ELSE concat('conn::tpch.', t.tbl) END AS raw_name,
  CASE (s.k + r.ord) % 4 WHEN 0 THEN t.first_col WHEN 1 THEN concat(t.first_col, ',', t.second_col) WHEN 2 THEN concat(t.second_col, ', ,', t.first_col) ELSE '' END AS projected
-FROM statements s JOIN (VALUES (0),(1),(2)) AS r(ord) ON r.ord <= s.k % 4
+FROM statements s JOIN (VALUES (0,0),(1,0),(1,1),(2,0),(2,1),(2,2),(3,0),(3,1),(3,2)) AS r(m, ord) ON s.k % 4 = r.m
  JOIN {TABLES} ON (s.stmt_id + r.ord) % 8 = t.i"""
 
 # Grants of all shapes: prefixes in every key, functions, nulls, every access.

@@ -83,8 +83,9 @@ def access_token(access="access") -> Column:
 
 
 def _denial(user: str, privilege: str, resource: str) -> Column:
-    text = "Permission denied: user [%s] does not have [%s] privilege on [%s]"
-    return F.expr(f"format_string('{text}', {user}, {privilege}, {resource})")
+    return F.expr(f"""
+        concat('Permission denied: user [', coalesce({user}, 'null'), '] does not have [', {privilege},
+               '] privilege on [', {resource}, ']')""")
 
 
 def denial_message(user="user_name", access="access", column="column") -> Column:

@@ -8,7 +8,7 @@ on relations that cannot be checked at all: they deny their statement.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.functions.expressions import action_of, unsupported_message
+from wardline.functions.expressions import action_of, any_of, unsupported_message
 from wardline.functions.rules import TABLE_SIZE_COLUMN, object_templates
 from wardline.operators.sizing import lookup
 
@@ -51,10 +51,10 @@ def resolve_part_keys(rels: DataFrame, inv: DataFrame) -> DataFrame:
 
 def split_connector_name(rels: DataFrame) -> DataFrame:
     """Adds `connector_db` and `connector_tbl` from names such as `prefix::db.table`; null if malformed."""
-    parts = "split(get(split(raw_name, '::'), 1), '[.]')"
-    table = f"nullif(get({parts}, 1), '')"
+    name = "split_part(raw_name, '::', 2)"
+    table = f"nullif(split_part({name}, '.', 2), '')"
     return rels.selectExpr(
-        "*", f"IF({table} IS NOT NULL, get({parts}, 0), NULL) AS connector_db", f"{table} AS connector_tbl"
+        "*", f"IF({table} IS NOT NULL, split_part({name}, '.', 1), NULL) AS connector_db", f"{table} AS connector_tbl"
     )
 
 
@@ -71,21 +71,20 @@ def route_relations(rels: DataFrame, unresolved_without_db: bool = False) -> Dat
     An unresolved relation gives a table-level object if the log names its database. With
     `unresolved_without_db` such names never count, as for a checker that sees the bare name only.
     """
-    bare_name = "WHEN 'unresolved' THEN NULL" if unresolved_without_db else ""
-    routed = flag_unsupported(split_connector_name(rels)).selectExpr(
+    named_kinds = ["catalog"] if unresolved_without_db else ["catalog", "unresolved"]
+    # Stated on the columns of the log, so that it reaches the scan.
+    counts = f"kind IN ('connector', 'path') OR ({any_of('kind', named_kinds)} AND db IS NOT NULL)"
+    return flag_unsupported(split_connector_name(rels.where(counts))).selectExpr(
         "stmt_id",
         "ord",
-        "kind",
         "'TABLE_OR_VIEW' AS obj_type",
-        f"CASE WHEN reason IS NULL THEN CASE kind WHEN 'connector' THEN connector_db {bare_name} ELSE db END END AS db",
+        "CASE WHEN reason IS NULL THEN IF(kind = 'connector', connector_db, db) END AS db",
         "IF(kind = 'connector', connector_tbl, tbl) AS name",
         f"IF(kind = 'unresolved', {_NO_NAMES}, coalesce(projected, {_NO_NAMES})) AS listed",
         "CASE WHEN kind IN ('catalog', 'connector') THEN kind END AS columns_from",
         "'OTHER' AS action",
         "reason",
     )
-    known = "kind IN ('catalog', 'connector', 'unresolved', 'path') AND (db IS NOT NULL OR reason IS NOT NULL)"
-    return routed.where(known).drop("kind")
 
 
 def attach_schema(raw: DataFrame, inv: DataFrame) -> DataFrame:
