@@ -160,15 +160,13 @@ def build_objects(
     A listing of all databases, which names none, is a DATABASE object without a name.
 
     Both branches are partitioned by `stmt_id`, so the union keeps that partitioning and everything
-    done per statement afterwards needs no further exchange. For tables bucketed by `stmt_id` pass
+    done per statement afterwards needs no further exchange. The join brings its own exchanges, which
+    leaves AQE free to split the relations of a hot statement. For tables bucketed by `stmt_id` pass
     `bucketed`, and their own layout is used.
     """
-
-    def placed(df):
-        return df if bucketed else df.repartition("stmt_id")
-
     readers = classified.where("reads IS NOT NULL").select("stmt_id", F.expr("reads AS side"), *CONTEXT)
-    queried = placed(route_relations(rels, unresolved_without_db)).join(placed(readers), "stmt_id")
-    commanded = _raw_command_objects(placed(classified.where("shape <> 'nothing'")), CONTEXT)
+    queried = route_relations(rels, unresolved_without_db).join(readers, "stmt_id")
+    naming = classified.where("shape <> 'nothing'")
+    commanded = _raw_command_objects(naming if bucketed else naming.repartition("stmt_id"), CONTEXT)
     raw = queried.select(*_RAW, *CONTEXT).unionByName(commanded)
     return attach_schema(raw, inv).select(*OBJECT_COLUMNS, "reason", *CONTEXT)
