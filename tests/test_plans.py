@@ -47,6 +47,15 @@ def test_one_exchange_per_input_of_the_log(tables, log):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "BatchEvalPython" not in plan
 
 
+def test_audit_reads_the_log_once(tables, log):
+    audited = _governed(tables, log).audit
+    assert audited.count() > 0
+    audited.collect()
+    final = _plan(audited).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[stmt_id#\d+L,ord", final)) == 1
+    assert "ReusedExchange [stmt_id" in final and "Window" not in final
+
+
 def test_broadcast_answers_move_nothing(spark, tables):
     names = ("user_name", "access", "object_type", "database", "table", "udf", "column")
     reqs = spark.range(10).selectExpr("id", *[f"CAST(id AS STRING) AS {name}" for name in names])

@@ -8,7 +8,7 @@ inside the object is enough.
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
@@ -207,9 +207,11 @@ def statement_verdict(classified: DataFrame, decisions: DataFrame, keep: Sequenc
 def audit_rows(decisions: DataFrame) -> DataFrame:
     """Decisions that are recorded: up to the first denied request, all of its columns included.
 
-    Relations that cannot be checked end a statement before any decision is made.
+    Relations that cannot be checked end a statement before any decision is made: their position is
+    below zero. The first denial comes from an aggregate of denials and a join, so that no task has
+    to hold a whole statement. No other filter is put on the decisions: both sides of the join then
+    read the same exchanges of the log, which Spark makes once.
     """
-    denied_seq = F.min(F.when(~F.col("allowed"), F.col("seq"))).over(Window.partitionBy("stmt_id"))
-    cut = decisions.withColumn("denied_seq", denied_seq)
-    kept = cut.where(F.col("denied_seq").isNull() | (F.col("seq") <= F.col("denied_seq")))
-    return kept.where(F.col("reason").isNull()).drop("denied_seq", "reason")
+    denied = decisions.where(~F.col("allowed")).groupBy("stmt_id").agg(F.expr("min(seq) AS denied_seq"))
+    recorded = "denied_seq IS NULL OR (seq <= denied_seq AND denied_seq >= 0)"
+    return decisions.join(denied, "stmt_id", "left").where(recorded).drop("denied_seq", "reason")

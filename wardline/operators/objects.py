@@ -166,7 +166,7 @@ def build_objects(
     """
     readers = classified.where("reads IS NOT NULL").select("stmt_id", F.expr("reads AS side"), *CONTEXT)
     queried = route_relations(rels, unresolved_without_db).join(readers, "stmt_id")
-    naming = classified.where("shape <> 'nothing'")
+    naming = classified.where("shape <> 'nothing' AND stmt_id IS NOT NULL")
     commanded = _raw_command_objects(naming if bucketed else naming.repartition("stmt_id"), CONTEXT)
     raw = queried.select(*_RAW, *CONTEXT).unionByName(commanded)
     return attach_schema(raw, inv).select(*OBJECT_COLUMNS, "reason", *CONTEXT)

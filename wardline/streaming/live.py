@@ -70,14 +70,17 @@ def live_verdicts(
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        kept = batch.persist()
+        kept = [batch.persist()]
         try:
-            stmts, rels = split(kept)
+            stmts, rels = split(kept[0])
             governance = Governance(stmts, rels, inv, load_grants(spark), **settings)
+            # Verdicts and audit rows come from the same decisions.
+            kept.append(governance.decisions.persist())
             governance.verdicts.write.mode("overwrite").parquet(f"{verdict_path}/batch_id={batch_id}")
             if audit_path:
                 write_audit(governance.audit, audit_path, batch_id)
         finally:
-            kept.unpersist()
+            for df in kept:
+                df.unpersist()
 
     return _start(live, judge, checkpoint, interval)
