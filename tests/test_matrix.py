@@ -89,6 +89,7 @@ CASES = {
     "M58": ({"command": "Query"}, "QUERY", [READ]),
     "M58 null": ({"command": None}, "QUERY", [READ]),
     "X13 all": ({"command": "SHOWDATABASES"}, "SHOWDATABASES", ["USE *"]),
+    "X13 all streaming": ({"command": "StreamingExplainCommand", "inner_command": "SHOWDATABASES"}, "SHOWDATABASES", ["USE *"]),
     "X13 switch": ({"command": "SWITCHDATABASE"}, "SWITCHDATABASE", ["USE d"]),
     "X15 cache": ({"command": "CACHE"}, "CACHE", ["ADMIN d/t"]),
     "X15 map": ({"command": "DATA_MAP"}, "DATA_MAP", ["ADMIN d/t"]),

@@ -330,6 +330,7 @@ ORACLES = {
     "decisions": _query(MATRIX, f"SELECT {_REQUEST}, col_pos, column_name, allowed FROM decisions", "decisions"),
     "denial_messages": _query(MATRIX, "SELECT stmt_id, seq, col_pos, message FROM decisions WHERE NOT allowed", "decisions"),
     "statement_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
+    "shuffled_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
     "simple_verdicts": _query(SIMPLE, "SELECT * FROM verdicts", "verdicts"),
     "stream_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
     "audit_rows": _query(MATRIX, "SELECT * FROM audit", "audit"),

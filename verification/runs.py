@@ -205,6 +205,13 @@ def statement_verdicts(spark, sf_dir):
     return matrix(spark, sf_dir).verdicts.select(_VERDICT)
 
 
+def shuffled_verdicts(spark, sf_dir):
+    """The same with grants taken as too big for a broadcast."""
+    stmts, rels = matrix_log(spark, sf_dir)
+    judged = Governance(stmts, rels, inventory(spark), mixed_grants(spark, sf_dir), R.CONFIGURED_EXCLUDES, limit=0)
+    return judged.verdicts.select(_VERDICT)
+
+
 def simple_verdicts(spark, sf_dir):
     return simple(spark, sf_dir).verdicts.select(_VERDICT)
 
@@ -354,6 +361,7 @@ QUERIES = {
     "decisions": decisions,
     "denial_messages": denial_messages,
     "statement_verdicts": statement_verdicts,
+    "shuffled_verdicts": shuffled_verdicts,
     "simple_verdicts": simple_verdicts,
     "stream_verdicts": stream_verdicts,
     "audit_rows": audit_rows,

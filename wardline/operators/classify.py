@@ -21,7 +21,8 @@ def unwrap_explain(stmts: DataFrame) -> DataFrame:
 def classify_operation(stmts: DataFrame) -> DataFrame:
     """Adds `op`, and the `shape` and `reads` that say which objects the statement has.
 
-    The rule table has a fixed number of rows. Commands it does not know count as EXPLAIN.
+    The rule table has a fixed number of rows. Commands it does not know count as EXPLAIN. A listing of
+    all databases goes by the operation alone, so it keeps its shape where objects are not checked.
     """
     rules = command_rules(stmts.sparkSession)
     flag_set = """
@@ -29,7 +30,7 @@ def classify_operation(stmts: DataFrame) -> DataFrame:
                   WHEN 'reads' THEN conf_key IS NULL OR NOT coalesce(conf_has_value, false) END"""
     added = {
         "op": F.expr(f"coalesce(CASE WHEN {flag_set} THEN flag_op END, rule_op, 'EXPLAIN')"),
-        "shape": F.expr("CASE WHEN objects_checked THEN coalesce(shape, 'nothing') ELSE 'nothing' END"),
+        "shape": F.expr("IF(objects_checked OR shape = 'all_databases', coalesce(shape, 'nothing'), 'nothing')"),
         "reads": F.expr("CASE WHEN objects_checked THEN reads END"),
     }
     classified = unwrap_explain(stmts).join(F.broadcast(rules), "target_command", "left").withColumns(added)
