@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wardline.functions import expressions as X
 from wardline.functions.rules import FILE_SCHEMES
 from wardline.operators.sizing import salted_join
+from wardline.session import work_folder
 
 _GLOB = r"[*?\[\]{}]"
 
@@ -36,21 +37,26 @@ def _guarded_by(action: str) -> Column:
 _SUMMARY = ["read_lo", "read_hi", "all_lo", "all_hi"]
 
 
-def _summarize(rows, *keys) -> DataFrame:
-    return rows.groupBy(*keys).agg(
+def _summarize(rows: DataFrame, key: str, *more: Column) -> DataFrame:
+    return rows.groupBy(key).agg(
         F.min("read_lo").alias("read_lo"), F.max("read_hi").alias("read_hi"),
-        F.min("all_lo").alias("all_lo"), F.max("all_hi").alias("all_hi"),
+        F.min("all_lo").alias("all_lo"), F.max("all_hi").alias("all_hi"), *more,
     )
 
 
 def folder_summaries(file_status: DataFrame) -> DataFrame:
-    """One row per file and folder: `node`, and the least and greatest owner who guards a file below."""
+    """One row per file and folder: `node`, and the least and greatest owner who guards a file below.
+
+    A node that is listed itself also has its `own` summary.
+    """
     read, full = _guarded_by("READ"), _guarded_by("ALL")
     files = file_status.select(
         _strip(F.col("path")).alias("path"),
         read.alias("read_lo"), read.alias("read_hi"), full.alias("all_lo"), full.alias("all_hi"),
     )
-    return _summarize(files.select("*", F.explode(_ancestors(F.col("path"), True)).alias("node")), "node")
+    below = files.select("*", F.explode(_ancestors(F.col("path"), True)).alias("node"))
+    own = F.max(F.when(F.col("node") == F.col("path"), F.struct(*_SUMMARY))).alias("own")
+    return _summarize(below, "node", own)
 
 
 def _glob_regex(path: Column) -> Column:
@@ -104,28 +110,27 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     named = checked.withColumn("given", F.col("path")).withColumn("path", _strip(F.col("path")))
     nodes = folder_summaries(file_status)
 
-    wanted = named.where(F.col("uri_action") != "NONE").select("path").distinct()
-    is_glob = F.col("path").rlike(_GLOB)
-    literal, globs = wanted.where(~is_glob), wanted.where(is_glob)
-    by_name = literal.withColumn("node", F.col("path")).join(nodes, "node").select("path", *_SUMMARY)
-    matched = by_name.unionByName(_glob_summaries(globs, nodes))
-
-    unmatched = wanted.join(matched.select("path"), "path", "left_anti")
-    above = unmatched.select("path", F.explode(_ancestors(F.col("path"), False)).alias("node"))
-    files = file_status.select(_strip(F.col("path")).alias("node"), "owner", "others_action")
-    existing = files.select(
-        "node", _guarded_by("READ").alias("read_lo"), _guarded_by("READ").alias("read_hi"),
-        _guarded_by("ALL").alias("all_lo"), _guarded_by("ALL").alias("all_hi"),
-    )
-    nearest = salted_join(above, existing, ["node"]).groupBy("path").agg(
-        F.max_by(F.struct(*_SUMMARY), F.length("node")).alias("parent")
+    # The log names few paths many times. They are written once, so that the log is not read for each use.
+    folder = work_folder(paths.sparkSession, "paths")
+    named.where("uri_action <> 'NONE'").select("path").distinct().write.parquet(folder)
+    wanted = paths.sparkSession.read.schema("path string").parquet(folder)
+
+    upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), True)).alias("node"))
+    itself = F.col("node") == F.col("path")
+    found = salted_join(upwards, nodes, ["node"]).groupBy("path").agg(
+        F.max(F.when(itself, F.struct(*_SUMMARY))).alias("exact"),
+        F.max_by(F.col("own"), F.when(~itself & F.col("own").isNotNull(), F.length("node"))).alias("parent"),
+    )
+    globbed = _glob_summaries(wanted.where(F.col("path").rlike(_GLOB)), nodes)
+    globbed = globbed.select("path", F.struct(*_SUMMARY).alias("globbed"))
+    found = found.join(globbed, "path", "full").select(
+        "path", F.coalesce("globbed", "exact", "parent").alias("found")
     )
-    found = matched.unionByName(nearest.select("path", "parent.*")).withColumn("exists", F.lit(True))
 
-    answered = salted_join(named, found, ["path"], "left").withColumn("path", F.col("given"))
-    permitted = F.coalesce("exists", F.lit(False)) & _permits(F.col("user_name"), F.col("uri_action"))
+    answered = salted_join(named, found, ["path"], "left").select("*", "found.*").withColumn("path", F.col("given"))
+    permitted = F.col("found").isNotNull() & _permits(F.col("user_name"), F.col("uri_action"))
     return (
         answered.withColumn("allowed", (F.col("uri_action") == "NONE") | permitted)
         .withColumn("message", F.when(~F.col("allowed"), X.uri_denial_message()))
-        .drop("given", "exists", *_SUMMARY)
+        .drop("given", "found", *_SUMMARY)
     )
