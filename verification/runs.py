@@ -14,7 +14,7 @@ from wardline.operators.display import rank_objects, show_objects
 from wardline.operators.guards import guard_settings, metadata_decisions, visible_tables
 from wardline.operators.objects import build_objects, expand_command_objects, expand_query_objects
 from wardline.operators.paths import uri_access
-from wardline.operators.requests import RESOURCE, fan_out_columns
+from wardline.operators.requests import RESOURCE, fan_out_columns, with_access
 from wardline.plans.governance import Governance
 from wardline.schemas import RELATIONS, STATEMENTS
 from wardline.session import work_folder
@@ -174,11 +174,9 @@ def resource_types(spark, sf_dir):
 
 
 def access_types(spark, sf_dir):
-    typed = _objects(spark, sf_dir).withColumn("object_type", X.object_type())
-    show_all = X.show_all_columns("Show-All")
-    return typed.select(
-        *_OBJECT, X.access_type().alias("access"), X.access_type(show_all=show_all).alias("access_show_all")
-    )
+    plain = with_access(_objects(spark, sf_dir)).withColumnRenamed("needed", "access")
+    shown = with_access(plain, X.show_all_columns("Show-All"))
+    return shown.select(*_OBJECT, "access", F.col("needed").alias("access_show_all"))
 
 
 def deduped_requests(spark, sf_dir):

@@ -37,24 +37,13 @@ def object_type(obj_type="obj_type", columns="columns", op="op") -> Column:
              ELSE 'NONE' END""")
 
 
-def access_type(
-    op="op", action="action", obj_type="obj_type", resource_type="object_type", side="side", show_all=False
-) -> Column:
-    """Access an object needs. `show_all` lets column listings pass with any access on the table."""
-
-    def branch(ops, needs, on_input, on_output):
-        on_type = f" AND {obj_type} = {quoted(needs)}" if needs else ""
-        by_side = f"IF({side} = 'in', {quoted(on_input)}, {quoted(on_output)})"
-        access = quoted(on_input) if on_input == on_output else by_side
-        return f"WHEN {any_of(op, ops)}{on_type} THEN {access}"
-
-    branches = "\n".join(branch(*rule) for rule in rules.access_rules())
+def access_type(action="action", obj_type="obj_type", resource_type="object_type", side="side") -> Column:
+    """Access an object needs, next to the access rule of its operation (`needs`, `on_input`, `on_output`)."""
     return F.expr(f"""
         CASE WHEN {resource_type} = 'URI' THEN IF({side} = 'in', 'READ', 'WRITE')
              WHEN {action} IN ('INSERT', 'INSERT_OVERWRITE') THEN 'UPDATE'
-             WHEN {any_of(op, rules.COLUMN_LISTING_OPS)} THEN {"'USE'" if show_all else "'SELECT'"}
-             {branches}
-             ELSE 'NONE' END""")
+             WHEN on_input IS NULL OR needs <> {obj_type} THEN 'NONE'
+             ELSE IF({side} = 'in', on_input, on_output) END""")
 
 
 def show_all_columns(option: str | None) -> bool:

@@ -158,10 +158,6 @@ def _rows(text: str) -> list[list[str | None]]:
     return [[None if cell == "-" else cell for cell in line.split()] for line in text.strip().splitlines()]
 
 
-def access_rules() -> list[tuple[list[str], str | None, str, str]]:
-    return [(ops.split(","), needs, on_input, on_output) for ops, needs, on_input, on_output in _rows(ACCESS)]
-
-
 def values_table(spark: SparkSession, columns: list[str], rows: list[list[str | None]]) -> DataFrame:
     """A literal table of strings, known to the optimizer with its size."""
 
@@ -179,6 +175,17 @@ def command_rules(spark: SparkSession) -> DataFrame:
     )
 
 
+def access_rules(spark: SparkSession, show_all: bool = False) -> DataFrame:
+    """One row per operation that needs an access: rule_op, needs, on_input, on_output.
+
+    `show_all` lets column listings pass with any access on the table.
+    """
+    listing = "USE" if show_all else "SELECT"
+    rows = [[op, None, listing, listing] for op in COLUMN_LISTING_OPS]
+    rows += [[op, *rule] for ops, *rule in _rows(ACCESS) for op in ops.split(",")]
+    return values_table(spark, ["rule_op", "needs", "on_input", "on_output"], rows)
+
+
 def object_templates(spark: SparkSession) -> DataFrame:
     """One row per object of a shape: shape, side, pos, obj_type, name_from, columns_from, condition."""
     rows, seen = [], {}

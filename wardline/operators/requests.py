@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
-from wardline.functions.rules import UNKNOWN_CLIENT
+from wardline.functions.rules import UNKNOWN_CLIENT, access_rules
 
 RESOURCE = ["database", "table", "udf", "column"]
 ENVELOPE = ["user_name", "action", "client_ip", "cluster", "ts"]
@@ -16,13 +16,20 @@ _POSITION = "IF(side = 'out', 4294967296L, 0L) + ord"
 _REJECTED_POSITION = "ord - 1099511627776L"
 
 
+def with_access(objs: DataFrame, show_all: bool = False) -> DataFrame:
+    """Adds `object_type` and `needed`, the access each object needs; the rules are a fixed table."""
+    rules = access_rules(objs.sparkSession, show_all)
+    typed = objs.withColumn("object_type", X.object_type())
+    ruled = typed.join(F.broadcast(rules), typed["op"] == rules["rule_op"], "left")
+    return ruled.withColumn("needed", X.access_type()).drop("rule_op", "needs", "on_input", "on_output")
+
+
 def object_requests(objs: DataFrame, show_all: bool = False, cluster: str = "") -> DataFrame:
     """One request per object that makes a resource and needs an access; paths make none.
 
     Rows with a `reason` pass through ahead of all requests.
     """
-    typed = objs.withColumn("object_type", X.object_type())
-    needed = typed.withColumns({"needed": X.access_type(show_all=show_all), **X.resource_keys()})
+    needed = with_access(objs, show_all).withColumns(X.resource_keys())
     asking = needed.where("reason IS NOT NULL OR (database IS NOT NULL AND needed <> 'NONE')")
     return asking.selectExpr(
         "stmt_id",
