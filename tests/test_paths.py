@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+from wardline.operators import paths
 from wardline.operators.paths import uri_access
 
 ROOT = "hdfs://n/data"
@@ -56,8 +57,9 @@ PATHS = [
 OPS = {"LOAD": "READ", "QUERY": "ALL", "MSCK": "NONE"}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_paths_agree_with_the_rules(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(1, True), (2, True), (2, False)])
+def test_paths_agree_with_the_rules(spark, monkeypatch, seed, small):
+    monkeypatch.setattr(paths, "fits", lambda df: small)
     files = _files(random.Random(seed))
     asked = [(i, ROOT + p, op, u) for i, (p, op, u) in enumerate((p, op, u) for p in PATHS for op in OPS for u in ("u1", "u2", "u3"))]
     found = uri_access(
@@ -72,10 +74,10 @@ def test_paths_agree_with_the_rules(spark, seed):
 
 def test_denial_text_and_schemes(spark):
     asked = [("hdfs://n/x", "LOAD", "u"), ("s3://n/x", "LOAD", "u"), ("", "LOAD", "u"), (None, "LOAD", "u")]
-    paths = spark.createDataFrame(asked, "path string, op string, user_name string")
+    named = spark.createDataFrame(asked, "path string, op string, user_name string")
     files = spark.createDataFrame([], "path string, owner string, others_action string")
-    rows = uri_access(paths, files).collect()
+    rows = uri_access(named, files).collect()
     assert [(r.path, r.allowed, r.message) for r in rows] == [
         ("hdfs://n/x", False, "Permission denied: user [u] does not have [READ] privilege on [hdfs://n/x]")
     ]
-    assert [r.path for r in uri_access(paths, files, schemes=["s3:"]).collect()] == ["s3://n/x"]
+    assert [r.path for r in uri_access(named, files, schemes=["s3:"]).collect()] == ["s3://n/x"]

@@ -9,7 +9,7 @@ from verification import recipes as R
 from wardline.functions import expressions as X
 from wardline.functions.masking import mask_columns
 from wardline.operators.classify import classify_operation
-from wardline.operators.decide import answer_by_broadcast, answer_by_shuffle, compile_grants, denials, with_question
+from wardline.operators.decide import denials, match_grants
 from wardline.operators.display import rank_objects, show_objects
 from wardline.operators.guards import guard_settings, metadata_decisions, visible_tables
 from wardline.operators.objects import build_objects, expand_command_objects, expand_query_objects
@@ -306,7 +306,7 @@ def masked_customers(spark, sf_dir):
     return mask_columns(customers.withColumns(copies), kinds).drop("c_nationkey")
 
 
-def _bulk(answer, grants, spark, sf_dir):
+def _bulk(sizes, grants, spark, sf_dir):
     raw = derive(spark, R.BULK_REQUESTS, lineitem=table(spark, sf_dir, "lineitem"))
     nothing = F.lit(None).cast("string")
     reqs = raw.select(
@@ -314,10 +314,10 @@ def _bulk(answer, grants, spark, sf_dir):
         F.lit("COLUMN").alias("object_type"), F.col("db").alias("database"), F.col("tbl").alias("table"),
         nothing.alias("udf"), F.col("col").alias("column"),
     )
-    answered = answer(with_question(reqs), compile_grants(grants(spark, sf_dir)))
+    answered = match_grants(reqs, grants(spark, sf_dir), **sizes)
     return answered.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "user_name", F.col("table").alias("tbl"),
-        F.col("column").alias("col"), F.col("q_token").alias("access"), "allowed",
+        F.col("column").alias("col"), X.access_token().alias("access"), "allowed",
     )
 
 
@@ -372,8 +372,8 @@ QUERIES = {
     "object_order": object_order,
     "object_text": object_text,
     "masked_customers": masked_customers,
-    "bulk_decisions": partial(_bulk, answer_by_broadcast, plain_grants),
-    "bulk_decisions_shuffled": partial(_bulk, answer_by_shuffle, mixed_grants),
+    "bulk_decisions": partial(_bulk, {}, plain_grants),
+    "bulk_decisions_shuffled": partial(_bulk, {"limit": 0}, mixed_grants),
     "policy_snapshot": policy_snapshot,
     "log_round_trip": log_round_trip,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
 from wardline.functions.rules import FILE_SCHEMES
-from wardline.operators.sizing import salted_join
+from wardline.operators.sizing import fits, salted_join
 from wardline.session import work_folder
 
 _GLOB = r"[*?\[\]{}]"
@@ -44,10 +44,11 @@ def _summarize(rows: DataFrame, key: str, *more: Column) -> DataFrame:
     )
 
 
-def folder_summaries(file_status: DataFrame) -> DataFrame:
+def folder_summaries(file_status: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """One row per file and folder: `node`, and the least and greatest owner who guards a file below.
 
-    A node that is listed itself also has its `own` summary.
+    A node that is listed itself also has its `own` summary. `only` keeps the nodes it names: before
+    the files are grouped if it fits a broadcast, else afterwards, when every node is one row.
     """
     read, full = _guarded_by("READ"), _guarded_by("ALL")
     files = file_status.select(
@@ -55,8 +56,12 @@ def folder_summaries(file_status: DataFrame) -> DataFrame:
         read.alias("read_lo"), read.alias("read_hi"), full.alias("all_lo"), full.alias("all_hi"),
     )
     below = files.select("*", F.explode(_ancestors(F.col("path"), True)).alias("node"))
+    early = only is not None and fits(only)
+    if early:
+        below = below.join(F.broadcast(only), "node", "left_semi")
     own = F.max(F.when(F.col("node") == F.col("path"), F.struct(*_SUMMARY))).alias("own")
-    return _summarize(below, "node", own)
+    nodes = _summarize(below, "node", own)
+    return nodes if only is None or early else nodes.join(only, "node", "left_semi")
 
 
 def _glob_regex(path: Column) -> Column:
@@ -108,7 +113,6 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     """
     checked = paths.where(X.in_fs_scheme("path", schemes)).withColumn("uri_action", X.uri_action())
     named = checked.withColumn("given", F.col("path")).withColumn("path", _strip(F.col("path")))
-    nodes = folder_summaries(file_status)
 
     # The log names few paths many times. They are written once, so that the log is not read for each use.
     folder = work_folder(paths.sparkSession, "paths")
@@ -117,11 +121,13 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
 
     upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), True)).alias("node"))
     itself = F.col("node") == F.col("path")
-    found = salted_join(upwards, nodes, ["node"]).groupBy("path").agg(
+    # Many paths share their upper folders, so the nodes they meet are reduced to those first.
+    reached = folder_summaries(file_status, upwards.select("node").distinct())
+    found = salted_join(upwards, reached, ["node"]).groupBy("path").agg(
         F.max(F.when(itself, F.struct(*_SUMMARY))).alias("exact"),
         F.max_by(F.col("own"), F.when(~itself & F.col("own").isNotNull(), F.length("node"))).alias("parent"),
     )
-    globbed = _glob_summaries(wanted.where(F.col("path").rlike(_GLOB)), nodes)
+    globbed = _glob_summaries(wanted.where(F.col("path").rlike(_GLOB)), folder_summaries(file_status))
     globbed = globbed.select("path", F.struct(*_SUMMARY).alias("globbed"))
     found = found.join(globbed, "path", "full").select(
         "path", F.coalesce("globbed", "exact", "parent").alias("found")
