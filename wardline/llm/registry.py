@@ -1,10 +1,11 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, language_id, secret_scans, sharding, token_files, url_filters
+from wardline.llm import bpe, fingerprints, language_id, secret_scans, sharding, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
     "op2_sharding": sharding.op2_sharding,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_token_files": token_files.op6_token_files,
     "op7_language_id": language_id.op7_language_id,
     "op9_bpe": bpe.op9_bpe,
