@@ -1,6 +1,6 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, fingerprints, language_id, secret_scans, sharding, token_files, url_filters
+from wardline.llm import bpe, decontamination, fingerprints, language_id, secret_scans, sharding, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
@@ -8,8 +8,9 @@ QUERIES = {
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_token_files": token_files.op6_token_files,
     "op7_language_id": language_id.op7_language_id,
+    "op8_decontamination": decontamination.op8_decontamination,
     "op9_bpe": bpe.op9_bpe,
     "op10_url_filters": url_filters.op10_url_filters,
 }
 
-ORACLES = {"op10_url_filters": url_filters.ORACLE_SQL}
+ORACLES = {"op8_decontamination": decontamination.ORACLE_SQL, "op10_url_filters": url_filters.ORACLE_SQL}

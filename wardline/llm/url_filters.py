@@ -167,8 +167,8 @@ globs AS (
     WHEN regexp_full_match('.' || host || path || query, '[^/?]*\.ads\.(?s:.*)') THEN '*.ads.**'
     WHEN regexp_full_match('.' || host || path || query, '(?s:.*)/wp-login[^/?]*') THEN '**/wp-login*'
     WHEN regexp_full_match('.' || host || path || query, '(?s:.*)\?[^/?]*sessionid=(?s:.*)') THEN '**?*sessionid=**'
-    WHEN regexp_full_match('.' || host || path || query, '(?s:.*)\.exe') THEN '**.exe' END AS glob
+    WHEN regexp_full_match('.' || host || path || query, '(?s:.*)\.exe') THEN '**.exe' END AS pattern
   FROM judged)
-SELECT page_id, host, path, globs.rule, coalesce(placed.verdict, CASE WHEN glob IS NULL THEN 'allow' ELSE 'block' END) AS verdict, glob
+SELECT page_id, host, path, globs.rule, coalesce(placed.verdict, CASE WHEN pattern IS NULL THEN 'allow' ELSE 'block' END) AS verdict, pattern AS "glob"
 FROM globs LEFT JOIN placed ON placed.rule = globs.rule
 """
