@@ -1,10 +1,11 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, decontamination, fingerprints, language_id, secret_scans, sharding, token_files, url_filters
+from wardline.llm import bpe, decontamination, fingerprints, jaccard_join, language_id, secret_scans, sharding, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
     "op2_sharding": sharding.op2_sharding,
+    "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_token_files": token_files.op6_token_files,
     "op7_language_id": language_id.op7_language_id,
@@ -13,4 +14,8 @@ QUERIES = {
     "op10_url_filters": url_filters.op10_url_filters,
 }
 
-ORACLES = {"op8_decontamination": decontamination.ORACLE_SQL, "op10_url_filters": url_filters.ORACLE_SQL}
+ORACLES = {
+    "op4_jaccard_join": jaccard_join.ORACLE_SQL,
+    "op8_decontamination": decontamination.ORACLE_SQL,
+    "op10_url_filters": url_filters.ORACLE_SQL,
+}
