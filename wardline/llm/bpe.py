@@ -12,44 +12,112 @@ import mmap
 import os
 import tempfile
 from collections import Counter
+from itertools import chain
 
 import numpy as np
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.chunks import PATTERN, Cached, Vocabulary, chunks, load_vocabulary, pieces, tokenizer_path
-from wardline.llm.tasks import map_columns, read, struct_udf
+from wardline.llm.chunks import Cached, Vocabulary, chunks, load_vocabulary, pieces, pre_tokens, tokenizer_path
+from wardline.llm.tasks import map_columns, read, stored, struct_udf
 
 #: Words in the lexicon; also the most words that come to the driver.
-WORDS = 1 << 16
+WORDS = 1 << 17
+#: Bytes up to which a word is merged by looking over all its pairs.
+LONG = 100
 #: Different words a task counts before it hands its counts on.
 COUNTED = 200_000
+_NONE = 1 << 60
 
 
 def merge_word(raw: bytes, v: Vocabulary) -> list[int]:
     """Ids of one pre-token: the pair of least rank merges first, the leftmost of equal ones."""
-    ids = [v.bytes_[b] for b in raw]
+    if len(raw) > LONG:
+        return _merge_long(raw, v)
+    ids, get = [v.bytes_[b] for b in raw], v.merges.get
+    ranks = [get(left << 20 | right, _NONE) for left, right in zip(ids, ids[1:], strict=False)]
+    while ranks and (least := min(ranks)) != _NONE:
+        k = ranks.index(least)
+        ids[k : k + 2] = [least & 0xFFFFF]
+        del ranks[k]
+        if k:
+            ranks[k - 1] = get(ids[k - 1] << 20 | ids[k], _NONE)
+        if k < len(ranks):
+            ranks[k] = get(ids[k] << 20 | ids[k + 1], _NONE)
+    return ids
+
+
+def _merge_long(raw: bytes, v: Vocabulary) -> list[int]:
+    """The same with a heap, for words whose square is too long."""
+    ids, get = [v.bytes_[b] for b in raw], v.merges.get
     before, after = list(range(-1, len(ids) - 1)), list(range(1, len(ids) + 1))
-    heap = [(*rank, k) for k in range(len(ids) - 1) if (rank := v.merges.get((ids[k], ids[k + 1])))]
+    heap = [(m, k) for k in range(len(ids) - 1) if (m := get(ids[k] << 20 | ids[k + 1])) is not None]
     heapq.heapify(heap)
     while heap:
-        _, merged, k = heapq.heappop(heap)
+        merge, k = heapq.heappop(heap)
         right = after[k]
-        if ids[k] < 0 or right >= len(ids) or v.merges.get((ids[k], ids[right]), (0, -1))[1] != merged:
+        if ids[k] < 0 or right >= len(ids) or get(ids[k] << 20 | ids[right]) != merge:
             continue
-        ids[k], ids[right], after[k] = merged, -1, after[right]
+        ids[k], ids[right], after[k] = merge & 0xFFFFF, -1, after[right]
         if after[k] < len(ids):
             before[after[k]] = k
-            if rank := v.merges.get((merged, ids[after[k]])):
-                heapq.heappush(heap, (*rank, k))
-        if before[k] >= 0 and (rank := v.merges.get((ids[before[k]], merged))):
-            heapq.heappush(heap, (*rank, before[k]))
+            if (m := get(ids[k] << 20 | ids[after[k]])) is not None:
+                heapq.heappush(heap, (m, k))
+        if before[k] >= 0 and (m := get(ids[before[k]] << 20 | ids[k])) is not None:
+            heapq.heappush(heap, (m, before[k]))
     return [i for i in ids if i >= 0]
 
 
 def merge_chunk(chunk: str, v: Vocabulary) -> list[int]:
-    return [i for token in regex.findall(PATTERN, chunk) for i in merge_word(token.encode("utf-8", "surrogatepass"), v)]
+    return [i for token in pre_tokens(chunk) for i in merge_word(token.encode("utf-8", "surrogatepass"), v)]
+
+
+class Merger:
+    """Merges many words at a time: a row of ids for each word, one merge in every row in each round."""
+
+    WIDTH = 32
+
+    def __init__(self, v: Vocabulary):
+        self.v, self.pairs = v, np.array(sorted(v.merges), np.int64)
+        self.merge = np.array([v.merges[k] for k in self.pairs.tolist()], np.int64)
+        self.bytes_ = np.array(v.bytes_, np.int64)
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        want = left << 20 | right
+        k = np.minimum(np.searchsorted(self.pairs, want), len(self.pairs) - 1)
+        return np.where((left >= 0) & (right >= 0) & (self.pairs[k] == want), self.merge[k], _NONE)
+
+    def words(self, raw: list[bytes]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(raw)
+        short = [k for k, w in enumerate(raw) if 0 < len(w) <= self.WIDTH] if len(self.pairs) else []
+        for k in set(range(len(raw))).difference(short):
+            out[k] = merge_word(raw[k], self.v)
+        if not short:
+            return out
+        who, size = np.array(short), np.array([len(raw[k]) for k in short])
+        ids = np.full((len(short), int(size.max()) + 1), -1, np.int64)
+        ids[np.arange(ids.shape[1]) < size[:, None]] = self.bytes_[np.frombuffer(b"".join(raw[k] for k in short), np.uint8)]
+        ranks, place = self._rank(ids[:, :-1], ids[:, 1:]), np.arange(ids.shape[1])
+        while True:
+            at = ranks.argmin(axis=1)
+            merge = ranks[np.arange(len(ranks)), at]
+            done = merge == _NONE
+            for k, row, n in zip(who[done].tolist(), ids[done].tolist(), (ids[done] >= 0).sum(axis=1).tolist(), strict=True):
+                out[k] = row[:n]
+            if done.all():
+                return out
+            who, ids, ranks, at, merge = who[~done], ids[~done], ranks[~done], at[~done], merge[~done]
+            # What lies behind the merged pair moves up by one.
+            source = np.minimum(place + (place > at[:, None]), len(place) - 1)
+            ids = np.take_along_axis(ids, source, axis=1)
+            ids[:, -1] = -1
+            rows = np.arange(len(ids))
+            ids[rows, at] = merge & 0xFFFFF
+            ranks = np.take_along_axis(ranks, np.minimum(source[:, :-1], ranks.shape[1] - 1), axis=1)
+            ranks[:, -1] = _NONE
+            ranks[rows, at] = self._rank(ids[rows, at], ids[rows, at + 1])
+            inner = at > 0
+            ranks[rows[inner], at[inner] - 1] = self._rank(ids[rows[inner], at[inner] - 1], ids[rows[inner], at[inner]])
 
 
 class Lexicon:
@@ -60,8 +128,8 @@ class Lexicon:
     def __init__(self, buffer):
         sizes, at = np.frombuffer(buffer, np.int64, len(self.FIELDS)), 8 * len(self.FIELDS)
         for name, n in zip(self.FIELDS, sizes, strict=True):
-            setattr(self, name, np.frombuffer(buffer, np.int64, int(n), at))
-            at += 8 * int(n)
+            setattr(self, name, np.frombuffer(buffer, np.int32, int(n), at))
+            at += 4 * int(n)
 
     @staticmethod
     def compile(words: dict[bytes, list[int]]) -> bytes:
@@ -117,7 +185,7 @@ class Lexicon:
         outputs = [words[w] for w in order]
         at = np.concatenate(([0], np.cumsum([len(o) for o in outputs]))).astype(np.int64)
         arrays = [np.array([e[j] for e in edges], np.int64) for j in range(3)] + [ends, at, np.array([i for o in outputs for i in o], np.int64)]
-        return np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(a.tobytes() for a in arrays)
+        return np.array([len(a) for a in arrays], np.int64).tobytes() + b"".join(a.astype(np.int32).tobytes() for a in arrays)
 
     def find(self, words: list[bytes]) -> np.ndarray:
         """The number of each word, -1 if it is not here; all words walk at the same time."""
@@ -140,18 +208,21 @@ class Lexicon:
                 break
         return n
 
-    def output(self, number: int) -> list[int]:
-        return self.ids[self.at[number] : self.at[number + 1]].tolist()
+    def outputs(self, numbers: np.ndarray) -> list[list[int] | None]:
+        """The ids of each word by its number, None for -1."""
+        here = numbers[numbers >= 0]
+        begins, sizes = self.at[here].astype(np.int64), (self.at[here + 1] - self.at[here]).astype(np.int64)
+        ends = np.cumsum(sizes)
+        flat = self.ids[np.arange(sizes.sum()) + np.repeat(begins - ends + sizes, sizes)].tolist()
+        found = (flat[a:b] for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True))
+        return [next(found) if k else None for k in (numbers >= 0).tolist()]
 
 
 def mapped(compiled: bytes) -> Lexicon:
-    """The lexicon as a memory-mapped file in the task's temporary folder, shared by the tasks of a machine."""
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{hashlib.sha256(compiled).hexdigest()[:24]}")
-    if not os.path.exists(path):
-        with tempfile.NamedTemporaryFile(dir=tempfile.gettempdir(), delete=False) as f:
-            f.write(compiled)
-        os.replace(f.name, path)
-    with open(path, "rb") as f:
+    """The lexicon as a memory-mapped file, which leaves the temporary folder with the task that maps it."""
+    with tempfile.TemporaryFile() as f:
+        f.write(compiled)
+        f.flush()
         return Lexicon(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))
 
 
@@ -181,21 +252,39 @@ def word_counts(docs: DataFrame, text: str, added: dict[str, int]) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = WORDS) -> bytes:
-    """The `words` most frequent words of all texts, compiled. At most so many rows come to the driver.
+    """The most frequent words of all texts, at most `words`, compiled. Only these come to the driver.
 
-    Longer words than 64 characters are left to merging, which keeps the lexicon's size bounded.
+    They are all words from some count on (in steps of about 3 %), so that no order of ties matters.
+    Words of more than 64 characters are left to merging, which keeps the lexicon's size bounded.
     """
-    counted = word_counts(docs, text, vocabulary.added).where((F.col("n") > 1) & (F.length("word") <= 64))
-    top = counted.orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    counted = stored(word_counts(docs, text, vocabulary.added).where((F.col("n") > 1) & (F.length("word") <= 64)), "words")
+    step = F.floor(F.log("n") * 32).alias("step")
+    steps = {r["step"]: r["count"] for r in counted.groupBy(step).count().collect()}
+    total, least = 0, None
+    for k in sorted(steps, reverse=True):
+        total += steps[k]
+        if total > words:
+            break
+        least = k
+    top = counted.where(step >= least).select("word").collect() if least is not None else []
     return Lexicon.compile({r["word"].encode(): merge_chunk(r["word"], vocabulary) for r in top})
 
 
 def encoder(vocabulary: Vocabulary, compiled: bytes) -> Cached:
-    lexicon = mapped(compiled)
+    """Chunks by the lexicon; what it does not have is cut to pre-tokens, which it may have, or which are merged."""
+    lexicon, merger = mapped(compiled), Merger(vocabulary)
+
+    def look_up(words: list[str]) -> list[list[int] | None]:
+        return lexicon.outputs(lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]))
 
     def encode_new(new: list[str]) -> list[list[int]]:
-        numbers = lexicon.find([c.encode("utf-8", "surrogatepass") for c in new]).tolist()
-        return [lexicon.output(k) if k >= 0 else merge_chunk(c, vocabulary) for c, k in zip(new, numbers, strict=True)]
+        out = look_up(new)
+        cut = {c: pre_tokens(c) for c, ids in zip(new, out, strict=True) if ids is None}
+        tokens = list({t for ts in cut.values() for t in ts})
+        known = {t: ids for t, ids in zip(tokens, look_up(tokens), strict=True) if ids is not None}
+        unseen = [t for t in tokens if t not in known]
+        known.update(zip(unseen, merger.words([t.encode("utf-8", "surrogatepass") for t in unseen]), strict=True))
+        return [ids if ids is not None else [i for t in cut[c] for i in known[t]] for c, ids in zip(new, out, strict=True)]
 
     return Cached(encode_new, vocabulary.added)
 
@@ -210,15 +299,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str =
 
     def start():
         v, lexicon = shared.value
-        cached, tokens = encoder(v, lexicon), v.tokens
+        cached, tokens, decimal = encoder(v, lexicon), v.tokens, [str(i) for i in range(len(v.tokens))]
 
         def step(texts):
             n, hashes, decoded, all_ids = [], [], [], []
             for chunk_ids in cached.encode([t or "" for t in texts]):
-                ids = [i for c in chunk_ids for i in c]
+                ids = list(chain.from_iterable(chunk_ids))
                 n.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
-                back = b"".join([tokens[i] for i in ids]).decode("utf-8", "replace")
+                hashes.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
+                back = b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
                 decoded.append(hashlib.sha256(back.encode()).hexdigest())
                 if with_ids:
                     all_ids.append(np.array(ids, np.int32))

@@ -10,8 +10,6 @@ import regex
 
 #: How a byte-level BPE tokenizer of this kind splits a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: White space that is more than one blank between two words or one line end between two lines.
-_ODD = re.compile(r"[^\S\n\x20]|\x20\x20|\n[\n\x20]|\x20\n|\A\s|\s\Z")
 #: Entries a task keeps in a cache before it starts afresh.
 CACHED = 200_000
 
@@ -27,7 +25,8 @@ class Vocabulary(NamedTuple):
 
     text: str
     tokens: list[bytes]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    #: two neighbours (as left << 20 | right) to the rank of their merge and what it gives (as rank << 20 | id)
+    merges: dict[int, int]
     bytes_: list[int]
     added: dict[str, int]
 
@@ -51,17 +50,24 @@ def load_vocabulary(path: str) -> Vocabulary:
     merges = {}
     for rank, pair in enumerate(model["model"]["merges"]):
         left, right = pair.split(" ") if isinstance(pair, str) else pair
-        merges[vocab[left], vocab[right]] = rank, vocab[left + right]
+        merges[vocab[left] << 20 | vocab[right]] = rank << 20 | vocab[left + right]
     by_byte = {b: vocab[c] for c, b in letters.items()}
     return Vocabulary(text, tokens, merges, [by_byte[b] for b in range(256)], added)
 
 
+def _plain(text: str) -> bool:
+    """Whether all white space is one blank between two words or one line end between two lines."""
+    parts = text.split()
+    gaps = len(parts) - 1
+    return gaps >= 0 and len(text) == sum(map(len, parts)) + gaps and text.count(" ") + text.count("\n") == gaps
+
+
 def chunks(text: str) -> list[str]:
     """`text` in pieces that are encoded each on its own: words with the blank before them, and line ends.
 
     Texts with any other white space are cut by the full pattern.
     """
-    if _ODD.search(text):
+    if not _plain(text):
         return regex.findall(PATTERN, text)
     out: list[str] = []
     for k, line in enumerate(text.split("\n")):
@@ -70,7 +76,15 @@ def chunks(text: str) -> list[str]:
         first, *rest = line.split(" ")
         out.append(first)
         out += [" " + w for w in rest]
-    return out if text else []
+    return out
+
+
+def pre_tokens(chunk: str) -> list[str]:
+    """What the pattern finds in a chunk; the common form, letters and then some punctuation, without it."""
+    stem = chunk.rstrip(".,;:!?|*#$%&")
+    if stem.lstrip(" ").isalpha() and stem.count(" ") <= 1:
+        return [stem, chunk[len(stem) :]] if len(stem) < len(chunk) else [stem]
+    return regex.findall(PATTERN, chunk)
 
 
 def pieces(text: str, added: dict[str, int]) -> list[tuple[str, int | None]]:
