@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm.chunks import Cached, Vocabulary, chunks, load_vocabulary, pieces, pre_tokens, tokenizer_path
+from wardline.llm.chunks import Cached, Vocabulary, chunks, kept, load_vocabulary, pieces, pre_tokens, tokenizer_path
 from wardline.llm.tasks import map_columns, read, stored, struct_udf
 
 #: Words in the lexicon; also the most words that come to the driver.
@@ -299,7 +299,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str =
 
     def start():
         v, lexicon = shared.value
-        cached, tokens, decimal = encoder(v, lexicon), v.tokens, [str(i) for i in range(len(v.tokens))]
+        cached = kept(hashlib.sha256(lexicon).hexdigest(), lambda: encoder(v, lexicon))
+        tokens, decimal = v.tokens, [str(i) for i in range(len(v.tokens))]
 
         def step(texts):
             n, hashes, decoded, all_ids = [], [], [], []

@@ -10,8 +10,18 @@ import regex
 
 #: How a byte-level BPE tokenizer of this kind splits a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries a task keeps in a cache before it starts afresh.
-CACHED = 200_000
+#: Entries a Python worker keeps in a cache before it starts afresh.
+CACHED = 400_000
+
+_kept: dict[str, object] = {}
+
+
+def kept(name: str, make):
+    """What `make` gives, kept in a Python worker from task to task under a name that tells its contents."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,7 +41,7 @@ class Vocabulary(NamedTuple):
     added: dict[str, int]
 
 
-def _byte_letters() -> dict[str, int]:
+def byte_letters() -> dict[str, int]:
     """The letters by which byte-level tokenizers write the 256 bytes: printable ones as themselves, the rest from 256 on."""
     own = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in own]
@@ -40,7 +50,7 @@ def _byte_letters() -> dict[str, int]:
 
 def load_vocabulary(path: str) -> Vocabulary:
     text = Path(path).read_text(encoding="utf-8")
-    model, letters = json.loads(text), _byte_letters()
+    model, letters = json.loads(text), byte_letters()
     vocab, added = model["model"]["vocab"], {t["content"]: t["id"] for t in model["added_tokens"]}
     tokens = [b""] * (max([*vocab.values(), *added.values()]) + 1)
     for token, k in vocab.items():

@@ -10,8 +10,10 @@ A table of segments is written and read by Spark: any store that Spark reaches w
 are in order of (bucket, number), and documents lie in it in ascending order of their id.
 """
 
+import hashlib
 import struct
 import zlib
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -19,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardline.llm.chunks import Cached, load_vocabulary, tokenizer_path
+from wardline.llm.chunks import Cached, byte_letters, kept, load_vocabulary, pre_tokens, tokenizer_path
 from wardline.llm.tasks import map_columns, read, stored
 
 MAGIC, HEADER = b"RANS0001", struct.Struct("<8sIIIQQQ")
@@ -149,6 +151,23 @@ def read_segment(raw: bytes, only: int | None = None) -> Segment:
     return Segment(np.concatenate(out) if out else np.zeros(0, np.uint32), lengths)
 
 
+def library_encoder(source: str, added: dict[str, int]) -> Cached:
+    """Chunks by the tokenizers library: each pre-token that a worker has not met goes through its model."""
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_str(source).model
+    letters = {b: ord(c) for c, b in byte_letters().items()}
+
+    def encode_new(new: list[str]) -> list[list[int]]:
+        cut = [pre_tokens(c) for c in new]
+        known = {}
+        for token in {t for ts in cut for t in ts}:
+            known[token] = [t.id for t in model.tokenize(token.encode().decode("latin-1").translate(letters))]
+        return [known[ts[0]] if len(ts) == 1 else [i for t in ts for i in known[t]] for ts in cut]
+
+    return Cached(encode_new, added)
+
+
 def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` as segments: `bucket, number, before, n_tokens, keys, segment`.
 
@@ -162,11 +181,10 @@ def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str =
 
     def start():
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
         source, added = shared.value
-        tokenizer, bucket = Tokenizer.from_str(source), TaskContext.get().partitionId()
-        cached = Cached(lambda new: [e.ids for e in tokenizer.encode_batch(new, add_special_tokens=False)], added)
+        bucket = TaskContext.get().partitionId()
+        cached = kept(hashlib.sha256(source.encode()).hexdigest(), lambda: library_encoder(source, added))
         keys, arrays, seen = [], [], {"number": 0, "before": 0, "held": 0}
 
         def closed():
@@ -183,7 +201,7 @@ def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             rows = []
             for k, chunk_ids in zip(columns[0], cached.encode([t or "" for t in columns[1]]), strict=True):
                 keys.append(k)
-                arrays.append(np.array([*[i for c in chunk_ids for i in c], END], np.uint32))
+                arrays.append(np.fromiter(chain(chain.from_iterable(chunk_ids), (END,)), np.uint32))
                 seen["held"] += len(arrays[-1])
                 if seen["held"] >= SEGMENT:
                     rows.append(closed())
