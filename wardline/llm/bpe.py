@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardline.llm.chunks import Cached, Vocabulary, chunks, kept, load_vocabulary, pieces, pre_tokens, tokenizer_path
-from wardline.llm.tasks import map_columns, read, stored, struct_udf
+from wardline.llm.tasks import map_columns, most_frequent, read, stored, struct_udf
 
 #: Words in the lexicon; also the most words that come to the driver.
 WORDS = 1 << 17
@@ -254,19 +254,10 @@ def word_counts(docs: DataFrame, text: str, added: dict[str, int]) -> DataFrame:
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", words: int = WORDS) -> bytes:
     """The most frequent words of all texts, at most `words`, compiled. Only these come to the driver.
 
-    They are all words from some count on (in steps of about 3 %), so that no order of ties matters.
     Words of more than 64 characters are left to merging, which keeps the lexicon's size bounded.
     """
     counted = stored(word_counts(docs, text, vocabulary.added).where((F.col("n") > 1) & (F.length("word") <= 64)), "words")
-    step = F.floor(F.log("n") * 32).alias("step")
-    steps = {r["step"]: r["count"] for r in counted.groupBy(step).count().collect()}
-    total, least = 0, None
-    for k in sorted(steps, reverse=True):
-        total += steps[k]
-        if total > words:
-            break
-        least = k
-    top = counted.where(step >= least).select("word").collect() if least is not None else []
+    top = most_frequent(counted, words).select("word").collect()
     return Lexicon.compile({r["word"].encode(): merge_chunk(r["word"], vocabulary) for r in top})
 
 

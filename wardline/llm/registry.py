@@ -1,10 +1,11 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, decontamination, fingerprints, jaccard_join, language_id, secret_scans, sharding, token_files, url_filters
+from wardline.llm import bpe, decontamination, fingerprints, hidden_markov, jaccard_join, language_id, secret_scans, sharding, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
     "op2_sharding": sharding.op2_sharding,
+    "op3_hidden_markov": hidden_markov.op3_hidden_markov,
     "op4_jaccard_join": jaccard_join.op4_jaccard_join,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op6_token_files": token_files.op6_token_files,

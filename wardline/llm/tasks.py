@@ -96,6 +96,22 @@ def words(text: str | None) -> list[bytes]:
 WORDS_SQL = r"filter(split(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
+def most_frequent(counted: DataFrame, limit: int, n: str = "n") -> DataFrame:
+    """The rows of `counted` with the greatest `n`, at most `limit` of them.
+
+    These are all rows from some count on (in steps of about 3 %), so that no order of ties matters.
+    """
+    step = F.floor(F.log(n) * 32).alias("step")
+    steps = {r["step"]: r["count"] for r in counted.groupBy(step).count().collect()}
+    total, least = 0, None
+    for k in sorted(steps, reverse=True):
+        total += steps[k]
+        if total > limit:
+            break
+        least = k
+    return counted.where(step >= least) if least is not None else counted.where(F.lit(False))
+
+
 def residue(column: str, divisor: int):
     """crc32 of a column as text, modulo `divisor`; a null counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))), F.lit(divisor))
