@@ -200,7 +200,7 @@ def links_of(a: bytes, b: bytes) -> bool:
 def _proven(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs `a, b` of classes that are similar: first by parities, what remains by the sets."""
 
-    def sieve(test, width):
+    def sieve(test):
         def start():
             def step(columns):
                 kept = [r[:2] for r in zip(*columns, strict=True) if test(*r[2:])]
@@ -210,13 +210,16 @@ def _proven(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
         return start
 
-    def side(name, fields):
-        return sets.select(F.col("cls").alias(name), *[F.col(f).alias(f"{name}_{f}") for f in fields])
+    def laid(pairs, fields):
+        """The pairs with the fields of both ends; pairs are few numbers, so they move to the sets where they can."""
+        pairs = stored(pairs, "pairs")
+        ends = pairs.select(F.col("b").alias("cls")).distinct()
+        of_a = sets.join(_small(pairs), sets["cls"] == pairs["a"]).select("a", "b", *[F.col(f).alias(f"a_{f}") for f in fields])
+        of_b = sets.join(_small(ends), "cls", "left_semi").select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in fields])
+        return of_a.join(of_b, "b").select("a", "b", *[f"a_{f}" for f in fields], *[f"b_{f}" for f in fields])
 
-    first = pairs.join(side("a", ["n", "parity"]), "a").join(side("b", ["n", "parity"]), "b")
-    possible = map_columns(first.select("a", "b", "a_n", "a_parity", "b_n", "b_parity"), "a long, b long", sieve(may_link, 4))
-    whole = possible.join(side("a", ["items"]), "a").join(side("b", ["items"]), "b")
-    return map_columns(whole.select("a", "b", "a_items", "b_items"), "a long, b long", sieve(links_of, 2))
+    possible = map_columns(laid(pairs, ["n", "parity"]), "a long, b long", sieve(may_link))
+    return map_columns(laid(possible, ["items"]), "a long, b long", sieve(links_of))
 
 
 def components(edges: DataFrame) -> DataFrame:
