@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from wardline.llm.chunks import Cached, byte_letters, kept, load_vocabulary, pre_tokens, tokenizer_path
 from wardline.llm.tasks import map_columns, read, stored
 
-MAGIC, HEADER = b"RANS0001", struct.Struct("<8sIIIQQQ")
+MAGIC, HEADER, COUNTS = b"RANS0001", struct.Struct("<8sIIIQQQ"), struct.Struct("<QQQ")
 PRECISION = 18
 LANES = 256
 BLOCK = 1 << 15
@@ -105,7 +105,8 @@ def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     docs = zlib.compress(lengths.astype("<u8").tobytes(), 6)
     fixed = np.array([d[:3] for d in directory], "<u4").tobytes() + b"".join(d[3].astype("<u8").tobytes() for d in directory)
     body = struct.pack("<QQ", len(table), len(docs)) + table + docs + fixed + b"".join(w.astype("<u4").tobytes() for w in words)
-    return HEADER.pack(MAGIC, PRECISION, LANES, zlib.crc32(body), len(ids), len(lengths), len(directory)) + body
+    counts = len(ids), len(lengths), len(directory)
+    return HEADER.pack(MAGIC, PRECISION, LANES, zlib.crc32(COUNTS.pack(*counts) + body), *counts) + body
 
 
 class Segment(NamedTuple):
@@ -119,7 +120,7 @@ def read_segment(raw: bytes, only: int | None = None) -> Segment:
         raise DamagedSegment("too short")
     magic, precision, lanes, check, n_ids, n_docs, n_blocks = HEADER.unpack_from(raw)
     body = raw[HEADER.size :]
-    if magic != MAGIC or precision != PRECISION or lanes != LANES or zlib.crc32(body) != check:
+    if magic != MAGIC or precision != PRECISION or lanes != LANES or zlib.crc32(COUNTS.pack(n_ids, n_docs, n_blocks) + body) != check:
         raise DamagedSegment("wrong header or checksum")
     n_table, n_lengths = struct.unpack_from("<QQ", body)
     at = 16
