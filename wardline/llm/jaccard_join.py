@@ -24,12 +24,14 @@ from wardline.llm.tasks import map_columns, mix, read, stored, words
 SHINGLE = 5
 #: A set may be light up to this size.
 LIGHT = 64
-#: A list of more members, not all of one component, is split by a further key.
-LONG = 32
+#: A list that is not all of one component is split by a further key where its pairs would be more
+#: than so many times the rows of the split.
+LONG = 1.0
 #: Further keys that a list may be split by.
 SPLITS = 2
-#: Rows of a few numbers up to which a side is broadcast, by count. Beyond it, joins shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows of a few numbers up to which a side is broadcast, by count: for pairs and sets, and for keys
+#: (two numbers, some 64 MB). Beyond it, joins shuffle.
+BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 1_500_000
 
 _KNOWN_WORDS = 300_000
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -147,14 +149,15 @@ def _first_keys(classes: DataFrame, boundary: int) -> DataFrame:
     return of_light.unionByName(of_heavy)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    most = BROADCAST_ROWS if rows is None else rows
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
 def _members(keys: DataFrame) -> DataFrame:
     """`key, cls, center` of the keys that several classes have; the center is the least of them."""
     ends = keys.groupBy("key").agg(F.min("cls").alias("center"), F.max("cls").alias("last")).where("center < last").select("key", "center")
-    return keys.join(ends, "key").distinct()
+    return keys.join(_small(stored(ends, "keys"), BROADCAST_KEYS), "key").distinct()
 
 
 def _sets(classes: DataFrame, docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
@@ -237,11 +240,16 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("cls", "comp")
 
 
-def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """`key, cls, comp, size` of the lists whose classes are in several components."""
-    labelled = members.select("key", "cls").join(labels, "cls", "left").select("key", "cls", F.coalesce("comp", "cls").alias("comp"))
-    ends = labelled.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
-    return labelled.join(ends.select("key", "size"), "key")
+def _mixed(lists: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The rows of lists whose classes are in several components, with `comp`, and `split` where a list is long.
+
+    All members of a list may make a pair with all; split, each makes a row for each of its next keys.
+    """
+    named = lists.join(labelled, "cls")
+    ends = named.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), (F.count("*") * F.count("*") / 2 > LONG * F.sum(F.col("n") / 4 + 2)).alias("split")
+    )
+    return named.drop("n").join(ends.where("low < high").select("key", "split"), "key")
 
 
 def _across(mixed: DataFrame) -> DataFrame:
@@ -283,17 +291,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     edges = stored(_proven(star, sets), "links")
     labels = components(edges)
 
+    sizes = classes.join(_small(wanted), "cls", "left_semi").select("cls", "n").distinct()
+    labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
     lists = first.select("key", "cls", F.col("key").alias("base"), F.lit(None).cast("long").alias("last"))
     later = None
-    prefixes = classes.select("cls", "n", "light", "blocks").join(_small(wanted), "cls", "left_semi").dropDuplicates(["cls"])
     for depth in range(1, SPLITS + 2):
-        mixed = stored(lists.join(_mixed(lists, labels).select("key", "cls", "comp", "size"), ["key", "cls"]), "mixed")
-        short = mixed.where(F.col("size") <= LONG) if depth <= SPLITS else mixed
-        met = _across(short)
+        mixed = stored(_mixed(lists, labelled), "mixed")
+        met = _across(mixed.where(~F.col("split")) if depth <= SPLITS else mixed)
         later = met if later is None else later.unionByName(met)
-        if depth > SPLITS or (long := mixed.where(F.col("size") > LONG)).isEmpty():
+        if depth > SPLITS or (long := mixed.where("split").drop("comp", "split")).isEmpty():
             break
-        lists = stored(_split(long, prefixes, depth).distinct(), "split")
+        of_long = long.select("cls").distinct()
+        prefixes = classes.select("cls", "n", "light", "blocks").join(_small(of_long), "cls", "left_semi").dropDuplicates(["cls"])
+        lists = stored(_split(long, prefixes, depth), "split")
     later = later.distinct().join(star, ["a", "b"], "left_anti")
     more = stored(_proven(later, sets), "links")
     if not more.isEmpty():
