@@ -2,7 +2,7 @@
 
 import json
 import re
-from itertools import chain, islice
+from itertools import chain
 from pathlib import Path
 from typing import NamedTuple
 
@@ -106,19 +106,27 @@ def pieces(text: str, added: dict[str, int]) -> list[tuple[str, int | None]]:
 
 
 class Cached:
-    """`encode_new` (a list of chunks to a list of id lists) behind a bounded cache."""
+    """`encode_new` (a list of chunks to a list of id lists) behind a bounded cache.
+
+    The cache has two halves: when the younger one is full it becomes the older one, and what is asked
+    for again moves back to the younger, so that frequent chunks stay.
+    """
 
     def __init__(self, encode_new, added: dict[str, int]):
-        self.encode_new, self.added, self.known = encode_new, added, {}
+        self.encode_new, self.added, self.known, self.older = encode_new, added, {}, {}
 
     def encode(self, texts: list[str]) -> list[list[list[int]]]:
         """For each text the ids of each of its chunks."""
         cut = [[(chunks(p), special) for p, special in pieces(t, self.added)] for t in texts]
-        wanted = {c for text in cut for p, _ in text for c in p}
-        if len(self.known) > CACHED:
-            self.known = {}
-        known = self.known
-        new = iter([c for c in wanted if c not in known])
-        while block := list(islice(new, 20_000)):
+        if len(self.known) > CACHED // 2:
+            self.known, self.older = {}, self.known
+        known, older, new = self.known, self.older, []
+        for c in {c for text in cut for p, _ in text for c in p}.difference(known):
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+            else:
+                new.append(c)
+        for at in range(0, len(new), 20_000):
+            block = new[at : at + 20_000]
             known.update(zip(block, self.encode_new(block), strict=True))
         return [list(chain.from_iterable([*map(known.__getitem__, p), *([[special]] if special is not None else [])] for p, special in text)) for text in cut]
