@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.plans.governance import Governance
 from wardline.schemas import LIVE_STATEMENTS, STATEMENTS
-from wardline.sources.audit import write_audit
+from wardline.sources.audit import compact_audit, write_audit
 from wardline.sources.inventory import load_inventory, session_inventory
 from wardline.sources.logs import load_bucketed_log, load_log, save_bucketed_log, split_live, write_log
 from wardline.sources.policies import load_grants, snapshot_path
@@ -79,13 +79,20 @@ def test_audit_batches_are_idempotent(spark, tables, tmp_path):
     audited = _governance(tables, tables.statements({"command": "Query"}), tables.relations({})).audit
     path = str(tmp_path / "audit")
     for batch_id in (0, 0, 1):
-        write_audit(audited, path, batch_id)
+        write_audit(audited, path, batch_id, "one")
     assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 2), (1, 2)]
     appended = str(tmp_path / "appended")
     write_audit(audited, appended)
     write_audit(audited, appended)
     rows = spark.read.parquet(appended)
     assert rows.count() == 4 and [str(r.day) for r in rows.select("day").distinct().collect()] == ["2024-01-01"]
+    # Another run with the same batch id keeps what is there, and appended rows may lie beside both.
+    write_audit(audited, path, 0, "two")
+    write_audit(audited, path)
+    assert spark.read.parquet(path).count() == 8
+    compact_audit(spark, path, str(tmp_path / "compact"))
+    compact = spark.read.parquet(str(tmp_path / "compact"))
+    assert sorted(compact.select("run_id", "stmt_id").collect()) == sorted(spark.read.parquet(path).select("run_id", "stmt_id").collect())
 
 
 def _live(stmts, rels):
@@ -112,7 +119,7 @@ def test_live_log_reloads_policies_and_equals_the_batch(spark, tables, tmp_path)
 
     first = run()
     batch = Governance(stmts, rels, tables.inventory(), load_grants(spark, grants))
-    assert sorted(first.drop("batch_id").collect(), key=str) == sorted(batch.verdicts.collect(), key=str)
+    assert sorted(first.drop("run_id", "batch_id").collect(), key=str) == sorted(batch.verdicts.collect(), key=str)
     assert {r.stmt_id: r.allowed for r in first.collect()} == {0: True, 1: False, 2: False}
     assert spark.read.parquet(str(tmp_path / "audit")).count() == batch.audit.count() == 4
 
@@ -144,5 +151,26 @@ def test_stream_of_requests(spark, tables, tmp_path):
     query.awaitTermination()
     found = spark.read.parquet(str(tmp_path / "audit")).select("stmt_id", "column_name", "allowed").collect()
     assert sorted(map(tuple, found)) == [(0, "x", True), (0, "y", True), (1, "x", False), (1, "y", False)]
-    with pytest.raises(ValueError, match="live_verdicts"):
-        authorize_stream(stream, grants, limit=1)
+    # Another checkpoint on the same folder is another run; grants beyond the bound give the same decisions.
+    again = audit_stream(authorize_stream(stream, grants, limit=1), str(tmp_path / "audit"), str(tmp_path / "other"), interval=None)
+    again.awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "audit"))
+    assert rows.count() == 8 and rows.select("run_id").distinct().count() == 2
+    assert sorted(map(tuple, rows.select("stmt_id", "column_name", "allowed").distinct().collect())) == sorted(map(tuple, found))
+
+
+def test_live_log_reloads_the_inventory(spark, tables, tmp_path):
+    stmts, rels = tables.statements({"command": "Query"}), tables.relations({"tbl": "later", "projected": []})
+    _live(stmts, rels).coalesce(1).write.parquet(str(tmp_path / "live"))
+    seen = []
+
+    def catalog(session):
+        seen.append(1)
+        return tables.inventory({"db": "d", "tbl": "later", "columns": ["p", "q"], "part_cols": []})
+
+    query = live_verdicts(
+        read_live(spark, str(tmp_path / "live")), catalog, partial(load_grants, path=_snapshot(tmp_path, POLICY)),
+        str(tmp_path / "verdicts"), str(tmp_path / "checkpoint"), audit_path=str(tmp_path / "audit"), interval=None,
+    )
+    query.awaitTermination()
+    assert seen and {r.column_name for r in spark.read.parquet(str(tmp_path / "audit")).collect()} <= {"p", "q"}

@@ -1,26 +1,45 @@
-"""The audit table."""
+"""The audit table: folders `day=/run_id=/batch_id=`."""
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AUDIT_COLUMNS = [
     "stmt_id", "seq", "col_pos", "ts", "user_name", "client_ip", "cluster", "action", "access", "object_type",
     "database", "table", "udf", "column_name", "allowed",
 ]
+LAYOUT = ["day", "run_id", "batch_id"]
 
 
 def audit_table(audited: DataFrame) -> DataFrame:
     return audited.select(*AUDIT_COLUMNS, F.to_date("ts").alias("day"))
 
 
-def write_audit(audited: DataFrame, path: str, batch_id: int | None = None) -> None:
+def stream_run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint; Spark keeps it there from the first start on."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
+    return json.loads(lines[0][0])["id"]
+
+
+def write_audit(audited: DataFrame, path: str, batch_id: int = 0, run_id: str | None = None) -> None:
     """Adds audit rows below `path`, by day.
 
-    Rows are gathered by day before the write; AQE cuts a busy day into several files. With a batch
-    id the rows go to a folder of that batch, and writing the batch again replaces it.
+    A batch of a run replaces itself when it is written again, and nothing else: other runs and other
+    batches keep their rows. Without a run id the rows are a run of their own. Rows are gathered by
+    day before the write; AQE cuts a busy day into several files.
+    """
+    run = run_id or uuid.uuid4().hex
+    rows = audit_table(audited).hint("rebalance", "day").withColumns({"run_id": F.lit(run), "batch_id": F.lit(batch_id)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
+
+
+def compact_audit(spark: SparkSession, path: str, target: str) -> None:
+    """Writes the audit rows below `path` to a new table at `target` with few files a day.
+
+    Runs and batches become plain columns there. The source stays as it is; it may go when the new
+    table is in use.
     """
-    rows = audit_table(audited).hint("rebalance", "day")
-    if batch_id is None:
-        rows.write.mode("append").partitionBy("day").parquet(path)
-    else:
-        rows.write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+    rows = spark.read.parquet(path).hint("rebalance", "day")
+    rows.write.mode("errorifexists").partitionBy("day").parquet(target)

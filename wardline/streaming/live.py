@@ -5,10 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.decide import audit_rows, broadcastable, decide
+from wardline.operators.decide import audit_rows, decide
 from wardline.plans.governance import Governance
 from wardline.schemas import LIVE_STATEMENTS
-from wardline.sources.audit import write_audit
+from wardline.sources.audit import stream_run_id, write_audit
 from wardline.sources.logs import split_live
 
 POLL_INTERVAL = "10 seconds"
@@ -25,10 +25,8 @@ def read_live(spark: SparkSession, path: str, files_per_trigger: int | None = No
 def authorize_stream(stream_reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
     """Decisions on a stream of requests with fixed grants: a stateless stream-static join.
 
-    The grants must fit a broadcast; `live_verdicts` has no such bound.
+    Grants of any size will do: what is measured to be too big for a broadcast is joined by shuffle.
     """
-    if not broadcastable(grants, **sizes):
-        raise ValueError("too many grants for a stateless join; judge whole batches with live_verdicts")
     return decide(stream_reqs, grants, **sizes)
 
 
@@ -39,20 +37,20 @@ def _start(stream: DataFrame, handle, checkpoint: str, interval: str | None) ->
 
 
 def audit_stream(decisions: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL) -> StreamingQuery:
-    """Appends audit rows as they come. Each batch has its own folder, so a repeated one adds nothing.
+    """Adds audit rows as they come. A repeated batch replaces itself; another checkpoint is another run.
 
     The decisions of a statement must arrive together, as they do when its requests do.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        write_audit(audit_rows(batch), path, batch_id)
+        write_audit(audit_rows(batch), path, batch_id, stream_run_id(batch.sparkSession, checkpoint))
 
     return _start(decisions, record, checkpoint, interval)
 
 
 def live_verdicts(
     live: DataFrame,
-    inv: DataFrame,
+    inv: DataFrame | Callable[[SparkSession], DataFrame],
     load_grants: Callable[[SparkSession], DataFrame],
     verdict_path: str,
     checkpoint: str,
@@ -64,8 +62,9 @@ def live_verdicts(
     """Judges each statement of a live log once, writing verdicts and audit rows per batch.
 
     The grants are loaded again for every batch, so policy changes take effect within one interval
-    and a missing snapshot stops the query. Without an interval all available rows are judged and
-    the query ends.
+    and a missing snapshot stops the query. The inventory is too, if it is given as a loader; a
+    DataFrame is taken as it is. Verdicts and audit rows lie below the id of the run, which stays
+    with the checkpoint. Without an interval all available rows are judged and the query ends.
     """
 
     def judge(batch: DataFrame, batch_id: int) -> None:
@@ -73,12 +72,14 @@ def live_verdicts(
         kept = [batch.persist()]
         try:
             stmts, rels = split(kept[0])
-            governance = Governance(stmts, rels, inv, load_grants(spark), **settings)
+            catalog = inv(spark) if callable(inv) else inv
+            governance = Governance(stmts, rels, catalog, load_grants(spark), **settings)
+            run = stream_run_id(spark, checkpoint)
             # Verdicts and audit rows come from the same decisions.
             kept.append(governance.decisions.persist())
-            governance.verdicts.write.mode("overwrite").parquet(f"{verdict_path}/batch_id={batch_id}")
+            governance.verdicts.write.mode("overwrite").parquet(f"{verdict_path}/run_id={run}/batch_id={batch_id}")
             if audit_path:
-                write_audit(governance.audit, audit_path, batch_id)
+                write_audit(governance.audit, audit_path, batch_id, run)
         finally:
             for df in kept:
                 df.unpersist()
