@@ -81,3 +81,22 @@ def test_denial_text_and_schemes(spark):
         ("hdfs://n/x", False, "Permission denied: user [u] does not have [READ] privilege on [hdfs://n/x]")
     ]
     assert [r.path for r in uri_access(named, files, schemes=["s3:"]).collect()] == ["s3://n/x"]
+
+
+OPEN = ["/a/b/f", "/a/zz/q/f", "/a/q/f", "/a/z/f", "/q/a*b", "/q/axb", "/a/b,c)d", "/s/x^y", "/s/x]y", "/s/a-b", "/e/{k}"]
+
+
+@pytest.mark.parametrize(
+    ("path", "allowed"),
+    [
+        ("/a/[b", False), ("/a/{b", False), ("/a/b\\", False), ("/a/[]", False), ("/a/{b,[q}/f", False),
+        ("/a/{b,zz/q}/f", True), ("/a/{b,{q,z}}/f", True), ("/q/a\\*b", True), ("/a/b,c)*", True), ("/a/{b,none}/f", True),
+        ("/s/x[^a]y", True), ("/s/x[!\\]^]y", False), ("/s/x[\\]a]y", True), ("/s/x\\]y", True), ("/s/a[-]b", True), ("/e/\\{k\\}", True), ("/e/{k}", False),
+        ("/a/{none,other}/f", False), ("/a/[a-c]/f", True), ("/a/[!a-c]/f", True), ("/q/a?b", True), ("/a/?/f", True), ("/none/{a,b}", False),
+    ],
+)
+def test_globs(spark, path, allowed):
+    """Escapes, sets, nested braces and braces with slashes; one broken glob fails alone."""
+    files = spark.createDataFrame([(f"hdfs:{p}", "u", "ALL") for p in OPEN], "path string, owner string, others_action string")
+    paths = spark.createDataFrame([(f"hdfs:{path}", "LOAD", "v"), ("hdfs:/a/b/f", "LOAD", "v")], "path string, op string, user_name string")
+    assert [r.allowed for r in uri_access(paths, files).collect()][0:2].count(True) == allowed + 1

@@ -3,6 +3,10 @@
 Every file is summed up in each of its ancestor folders, so a path is answered by one equal-key
 lookup, however many files lie below it. A folder's summary has a fixed size: whether all files
 below permit an action to everybody, and else the one owner of all files that do not.
+
+Globs are `*`, `?`, `[ab]`, `[!a]`, `{a,b/c}` (also nested) and `\\x` for a sign x as itself. Braces are
+written out first; what is left of a path is translated sign by sign. A path that is no valid glob
+fails alone.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -10,10 +14,11 @@ from pyspark.sql import functions as F
 
 from wardline.functions import expressions as X
 from wardline.functions.rules import FILE_SCHEMES
-from wardline.operators.sizing import fits, salted_join
-from wardline.session import work_folder
+from wardline.operators.sizing import fits
 
-_GLOB = r"[*?\[\]{}]"
+# Signs that globs use. Where they are escaped they stand as letters of a private area meanwhile.
+_SIGNS = "\\*?[]{},!^-"
+_HIDDEN = "".join(chr(0xE000 + k) for k in range(len(_SIGNS)))
 
 
 def _strip(path: Column) -> Column:
@@ -37,65 +42,114 @@ def _guarded_by(action: str) -> Column:
 _SUMMARY = ["read_lo", "read_hi", "all_lo", "all_hi"]
 
 
-def _summarize(rows: DataFrame, key: str, *more: Column) -> DataFrame:
-    return rows.groupBy(key).agg(
+def _summarize(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    return rows.groupBy(*keys).agg(
         F.min("read_lo").alias("read_lo"), F.max("read_hi").alias("read_hi"),
         F.min("all_lo").alias("all_lo"), F.max("all_hi").alias("all_hi"), *more,
     )
 
 
+def _below(file_status: DataFrame) -> DataFrame:
+    """Each file at itself and at each folder above it (`node`), with who guards it."""
+    read, full = _guarded_by("READ"), _guarded_by("ALL")
+    files = file_status.select(
+        _strip(F.col("path")).alias("file"),
+        read.alias("read_lo"), read.alias("read_hi"), full.alias("all_lo"), full.alias("all_hi"),
+    )
+    return files.select("*", F.explode(_ancestors(F.col("file"), True)).alias("node"))
+
+
 def folder_summaries(file_status: DataFrame, only: DataFrame | None = None) -> DataFrame:
     """One row per file and folder: `node`, and the least and greatest owner who guards a file below.
 
     A node that is listed itself also has its `own` summary. `only` keeps the nodes it names: before
     the files are grouped if it fits a broadcast, else afterwards, when every node is one row.
     """
-    read, full = _guarded_by("READ"), _guarded_by("ALL")
-    files = file_status.select(
-        _strip(F.col("path")).alias("path"),
-        read.alias("read_lo"), read.alias("read_hi"), full.alias("all_lo"), full.alias("all_hi"),
-    )
-    below = files.select("*", F.explode(_ancestors(F.col("path"), True)).alias("node"))
+    below = _below(file_status)
     early = only is not None and fits(only)
     if early:
         below = below.join(F.broadcast(only), "node", "left_semi")
-    own = F.max(F.when(F.col("node") == F.col("path"), F.struct(*_SUMMARY))).alias("own")
-    nodes = _summarize(below, "node", own)
+    own = F.max(F.when(F.col("node") == F.col("file"), F.struct(*_SUMMARY))).alias("own")
+    nodes = _summarize(below, ["node"], own)
     return nodes if only is None or early else nodes.join(only, "node", "left_semi")
 
 
-def _glob_regex(path: Column) -> Column:
-    """A path with `*`, `?`, `[..]` and `{a,b}` as a regular expression over whole paths."""
-    text = F.regexp_replace(path, r"([.\\+()^$|])", r"\\$1")
-    for glob, regex in (
-        (r"\*", "[^/]*"), (r"\?", "[^/]"), (r"\[!", "[^"), (r"\{", "(?:"), (r"\}", ")"), (",(?=[^(]*\\))", "|"),
-    ):
-        text = F.regexp_replace(text, glob, regex)
-    return F.concat(F.lit(r"\A"), text, F.lit(r"\z"))
+def _hidden(path: Column) -> Column:
+    """`path` with escaped signs as private letters; null if an escape has no sign behind it."""
+    text = path
+    for sign, letter in zip(_SIGNS, _HIDDEN):
+        text = F.replace(text, F.lit("\\" + sign), F.lit(letter))
+    text = F.regexp_replace(text, r"\\(.)", "$1")
+    return F.when(~text.contains("\\"), text)
+
+
+def _shown(text: Column) -> Column:
+    return F.translate(text, _HIDDEN, _SIGNS)
+
+
+_GROUP = r"(?s)\A(.*?)\{([^{}]*)\}(.*)\z"
 
 
-def _glob_summaries(globs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Summaries of the nodes that each distinct glob matches.
+def _names(path: Column) -> Column:
+    """A path without braces for each combination of their parts, still with hidden signs; none if it is no valid glob."""
+    text = _hidden(path)
 
-    A glob matches only nodes of its own depth below the folder before its first special part, so
-    it meets those by equal keys and is compared with them alone.
+    def opened(done, _):
+        def one(name):
+            alternatives = F.split(F.regexp_extract(name, _GROUP, 2), ",", -1)
+            written = F.transform(alternatives, lambda part: F.concat(F.regexp_extract(name, _GROUP, 1), part, F.regexp_extract(name, _GROUP, 3)))
+            return F.when(name.rlike(_GROUP), written).otherwise(F.array(name))
+
+        return F.flatten(F.transform(done, one))
+
+    braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
+    written = F.when(braces > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(braces, F.lit(1))), F.array(text), opened)).otherwise(F.array(text))
+    is_valid = lambda name: ~name.contains("{") & name.rlike(r"(?s)\A(?:[^\[]|\[[^\[\]/]+\])*\z")
+    return F.when(text.isNotNull() & F.forall(written, is_valid), F.array_distinct(written))
+
+
+_SPECIAL = r"[*?\[]"
+
+
+def _glob_regex(name: Column) -> Column:
+    """A path with `*`, `?` and sets as a regular expression over whole paths, sign by sign."""
+
+    def one(sign):
+        inner = F.regexp_replace(_shown(F.regexp_replace(sign, r"(?s)\A\[[!^]?(.*)\]\z", "$1")), r"([\\\[\]&^])", r"\\$1")
+        negated = sign.rlike(r"\A\[[!^]")
+        return (
+            F.when(sign == "*", F.lit("[^/]*")).when(sign == "?", F.lit("[^/]"))
+            .when(F.length(sign) > 1, F.concat(F.when(negated, F.lit("[^/")).otherwise(F.lit("[")), inner, F.lit("]")))
+            .otherwise(F.concat(F.lit("\\Q"), _shown(sign), F.lit("\\E")))
+        )
+
+    signs = F.regexp_extract_all(name, F.lit(r"(?s)(\[[^\[\]]+\]|.)"), F.lit(1))
+    return F.concat(F.lit(r"\A"), F.array_join(F.transform(signs, one), ""), F.lit(r"\z"))
+
+
+def _glob_summaries(globs: DataFrame, file_status: DataFrame) -> DataFrame:
+    """Summaries of what each distinct glob (`path`, and `name` without braces) matches.
+
+    A glob matches only nodes of its own depth below the folder before its first special part. Nodes
+    elsewhere go before anything is grouped; the others meet the glob by equal keys.
     """
-    is_special = lambda part: part.rlike(_GLOB)
-    parts = F.split("path", "/")
-    literal = F.greatest(F.array_position(F.transform(parts, is_special), True) - 1, F.lit(0))
+    parts = F.split("name", "/")
+    literal = (F.array_position(F.transform(parts, lambda part: part.rlike(_SPECIAL)), True) - 1).cast("int")
     keyed = globs.select(
-        "path", F.array_join(F.slice(parts, F.lit(1), literal.cast("int")), "/").alias("parent"),
-        literal.cast("int").alias("parent_depth"), F.size(parts).alias("depth"), _glob_regex(F.col("path")).alias("regex"),
+        "path", _shown(F.array_join(F.slice(parts, F.lit(1), literal), "/")).alias("parent"),
+        literal.alias("parent_depth"), F.size(parts).alias("depth"), _glob_regex(F.col("name")).alias("regex"),
     )
+    # At most one row per depth of a path, each with at most as many cuts.
     wanted = keyed.select("parent_depth", "depth").distinct().groupBy("depth").agg(F.collect_set("parent_depth").alias("cuts"))
-    node_parts = F.split("node", "/")
-    # At most one row per depth of a path.
-    placed = nodes.withColumn("depth", F.size(node_parts)).join(F.broadcast(wanted), "depth")
-    placed = placed.withColumn("parent_depth", F.explode("cuts")).withColumn(
+    nodes = _below(file_status).withColumn("depth", F.size(F.split("node", "/"))).join(F.broadcast(wanted), "depth")
+    placed = nodes.withColumn("parent_depth", F.explode("cuts")).withColumn(
         "parent", F.array_join(F.slice(F.split("node", "/"), F.lit(1), F.col("parent_depth")), "/")
     )
-    met = salted_join(placed, keyed, ["parent", "parent_depth", "depth"]).where(F.expr("node RLIKE regex"))
-    return _summarize(met, "path")
+    place = ["parent", "parent_depth", "depth"]
+    parents = keyed.select(*place).distinct()
+    placed = placed.join(F.broadcast(parents) if fits(parents) else parents, place, "left_semi")
+    met = _summarize(placed, [*place, "node"]).join(keyed, place).where(F.expr("node RLIKE regex"))
+    return _summarize(met, ["path"])
 
 
 def _permits(user: Column, action: Column) -> Column:
@@ -108,32 +162,29 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     """Paths named by statements (`path, op, user_name`) with `uri_action`, `allowed` and `message`.
 
     Paths outside the checked schemes are left out. All existing files at or below every match must
-    be the user's own or permit the action. Where nothing matches, the nearest existing parent
-    must; where there is none either, the check has failed.
+    be the user's own or permit the action. Where nothing matches, the nearest listed parent must;
+    where there is none either, or the path is no valid glob, the check has failed. Folders exist as
+    parents only if the listing has a row for them.
     """
     checked = paths.where(X.in_fs_scheme("path", schemes)).withColumn("uri_action", X.uri_action())
     named = checked.withColumn("given", F.col("path")).withColumn("path", _strip(F.col("path")))
+    wanted = named.where("uri_action <> 'NONE'").select("path").distinct()
+    names = wanted.select("path", F.explode(_names(F.col("path"))).alias("name"))
+    special = F.col("name").rlike(_SPECIAL)
 
-    # The log names few paths many times. They are written once, so that the log is not read for each use.
-    folder = work_folder(paths.sparkSession, "paths")
-    named.where("uri_action <> 'NONE'").select("path").distinct().write.parquet(folder)
-    wanted = paths.sparkSession.read.schema("path string").parquet(folder)
-
-    upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), True)).alias("node"))
-    itself = F.col("node") == F.col("path")
+    literal = names.where(~special).select("path", _strip(_shown(F.col("name"))).alias("node"))
+    # Parents are those of the path as it is written.
+    upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), False)).alias("node"))
     # Many paths share their upper folders, so the nodes they meet are reduced to those first.
-    reached = folder_summaries(file_status, upwards.select("node").distinct())
-    found = salted_join(upwards, reached, ["node"]).groupBy("path").agg(
-        F.max(F.when(itself, F.struct(*_SUMMARY))).alias("exact"),
-        F.max_by(F.col("own"), F.when(~itself & F.col("own").isNotNull(), F.length("node"))).alias("parent"),
-    )
-    globbed = _glob_summaries(wanted.where(F.col("path").rlike(_GLOB)), folder_summaries(file_status))
-    globbed = globbed.select("path", F.struct(*_SUMMARY).alias("globbed"))
-    found = found.join(globbed, "path", "full").select(
-        "path", F.coalesce("globbed", "exact", "parent").alias("found")
-    )
-
-    answered = salted_join(named, found, ["path"], "left").select("*", "found.*").withColumn("path", F.col("given"))
+    reached = folder_summaries(file_status, literal.select("node").unionByName(upwards.select("node")).distinct())
+    exact = literal.join(reached, "node").select("path", *_SUMMARY)
+    listed = reached.where(F.col("own").isNotNull()).select("node", "own")
+    parents = upwards.join(listed, "node").groupBy("path").agg(F.max_by("own", F.length("node")).alias("parent"))
+    matches = exact.unionByName(_glob_summaries(names.where(special), file_status))
+    matches = _summarize(matches, ["path"]).select("path", F.struct(*_SUMMARY).alias("matched"))
+    found = matches.join(parents, "path", "full").select("path", F.coalesce("matched", "parent").alias("found"))
+
+    answered = named.join(found, "path", "left").select("*", "found.*").withColumn("path", F.col("given"))
     permitted = F.col("found").isNotNull() & _permits(F.col("user_name"), F.col("uri_action"))
     return (
         answered.withColumn("allowed", (F.col("uri_action") == "NONE") | permitted)
