@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from wardline.operators.decide import answer_by_broadcast, compile_grants, with_question
+from wardline.operators.decide import answer_by_broadcast, compile_grants, decide, with_question
+from wardline.operators.guards import visible_tables
 from wardline.operators.objects import route_relations
+from wardline.operators.paths import uri_access
 from wardline.operators.sizing import fits, lookup, planned_bytes
 from wardline.plans.governance import Governance
 
@@ -92,7 +94,7 @@ def test_a_hot_statement_is_split_and_stays_whole(spark, tables, log):
     assert len(wanted) == 3000 and {r.allowed for r in wanted} == {True, False}
 
 
-def test_lookup_broadcasts_what_fits_and_salts_the_rest(spark):
+def test_lookup_broadcasts_what_fits_and_shuffles_the_rest(spark):
     big = spark.range(1000).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS v")
     small = spark.range(300).selectExpr("id AS k", "repeat('x', 100) AS w")
     assert fits(small, 10**6) and not fits(small, 10**4)
@@ -100,3 +102,43 @@ def test_lookup_broadcasts_what_fits_and_salts_the_rest(spark):
     rows = [sorted(map(tuple, df.select("k", "v", "w").collect()), key=str) for df in both]
     assert rows[0] == rows[1] and rows[2] == rows[3] and len(rows[0]) == 1000 and len(rows[2]) == 534
     assert planned_bytes(small) > 0
+
+
+def test_a_small_planned_size_is_no_proof(spark, tmp_path):
+    """Files that compress well and rows that explode are measured."""
+    spark.range(20_000).selectExpr("id AS k", "repeat('x', 1000) AS w").write.parquet(str(tmp_path / "files"))
+    files = spark.read.parquet(str(tmp_path / "files"))
+    assert planned_bytes(files) < 10**6 and not fits(files, 8 * 10**6) and fits(files, 10**8)
+    exploded = spark.range(1).selectExpr("explode(sequence(1, 100000)) AS k")
+    assert not fits(exploded, 8 * 10**5) and fits(exploded, 10**7)
+    joined = lookup(spark.range(10).selectExpr("id AS k"), files, ["k"], "left", 8 * 10**6)
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_checks_without_a_result(tables):
+    reqs = tables.spark.createDataFrame(
+        [(0, "ann", "READ", "URI"), (1, "ann", "SELECT", "TABLE")], "stmt_id long, user_name string, access string, object_type string"
+    ).selectExpr("*", "'d' AS database", "'t' AS table", "CAST(NULL AS STRING) AS udf", "CAST(NULL AS STRING) AS column", "CAST(NULL AS STRING) AS reason", "0 AS seq")
+    grants = tables.grants({"db": "d", "tbl": "x", "access": "select"})
+    for limit in (10**6, 0):
+        for null_allows in (True, False):
+            found = {r.stmt_id: r.allowed for r in decide(reqs, grants, null_allows, limit=limit).collect()}
+            assert found == {0: null_allows, 1: False}
+
+
+def test_asked_listings_come_in_first(spark, tables):
+    inv = tables.inventory({"db": "a", "tbl": "t"}, {"db": "b", "tbl": "t"}, {"db": "b", "tbl": "u"}, {"db": "b", "tbl": "t"})
+    grants = tables.grants({"db": "*", "tbl": "*", "access": "select"}, {"user_name": "bob", "db": "b", "tbl": "t*", "access": "drop"})
+    asked = spark.createDataFrame([("ann", "b"), ("bob", "b"), ("bob", "a"), ("eve", "b"), ("ann", None), ("ann", "b")], "user_name string, db string")
+    shown = visible_tables(inv, grants, asked)
+    assert sorted(map(tuple, shown.collect())) == [("ann", "b", "t"), ("ann", "b", "u"), ("bob", "b", "t")]
+    everything = visible_tables(inv, grants, asked.select("user_name"))
+    assert sorted(map(tuple, everything.collect())) == [("ann", "a", "t"), ("ann", "b", "t"), ("ann", "b", "u"), ("bob", "b", "t")]
+
+
+def test_paths_are_one_lazy_plan(spark):
+    """No job is run for the log and nothing is written while the plan is built."""
+    files = spark.createDataFrame([("hdfs:/a/b/f", "u", "ALL")], "path string, owner string, others_action string")
+    paths = spark.createDataFrame([("hdfs:/a/*/f", "LOAD", "u")], "path string, op string, user_name string")
+    found = uri_access(paths, files)
+    assert "InsertIntoHadoopFsRelationCommand" not in _plan(found) and [r.allowed for r in found.collect()] == [True]

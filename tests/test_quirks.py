@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from wardline.functions.expressions import access_type
 from wardline.operators.classify import classify_operation
 from wardline.operators.decide import decide, denials, on_null
 from wardline.operators.guards import excluded_keys, guard_settings, metadata_decisions
@@ -137,9 +138,9 @@ def test_connector_names(tables):
 
 def test_relations_without_database_are_not_checked(tables):
     rels = tables.relations({"db": None}, {"kind": "unresolved"}, {"kind": "unresolved", "db": None}, {"kind": "local"})
-    objs = expand_query_objects(rels, tables.inventory())
+    assert expand_query_objects(rels, tables.inventory()).count() == 0
+    objs = expand_query_objects(rels, tables.inventory(), unresolved_with_db=True)
     assert [(o.ord, o.name, o.columns) for o in objs.collect()] == [(1, "s", [])]
-    assert expand_query_objects(rels, tables.inventory(), unresolved_without_db=True).count() == 0
 
 
 def test_audit_ends_with_the_first_denied_request(governed):
@@ -197,3 +198,10 @@ def test_decide_keeps_every_request(governed, tables):
     asked = governed([{"command": "Query"}], [{"projected": ["x", "y"]}, {"kind": "path", "raw_name": "p"}]).requests
     decided = decide(asked, tables.grants(ALL))
     assert decided.groupBy("allowed").agg(F.count("*")).count() == 2 and decided.count() == 3
+
+
+def test_uris_are_read_on_one_side_and_written_on_the_other(spark):
+    objs = spark.createDataFrame([("in",), ("out",)], "side string").selectExpr(
+        "side", "'OTHER' AS action", "'DFS_URI' AS obj_type", "'URI' AS object_type", "'NONE' AS needs", "CAST(NULL AS STRING) AS on_input", "CAST(NULL AS STRING) AS on_output"
+    )
+    assert {r.side: r.access for r in objs.select("side", access_type().alias("access")).collect()} == {"in": "READ", "out": "WRITE"}

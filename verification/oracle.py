@@ -78,11 +78,11 @@ SELECT stmt_id, ord, reason, db, name, columns, part_keys FROM (
    THEN concat('User try access unsupport catalog, contact admin to get more info: ', r.raw_name, ' !!!') END AS reason,
   CASE WHEN r.kind = 'connector' THEN split_part(split_part(r.raw_name, '::', 2), '.', 1) ELSE r.db END AS db,
   CASE WHEN r.kind = 'connector' THEN split_part(split_part(r.raw_name, '::', 2), '.', 2) ELSE r.tbl END AS name,
-  CASE WHEN r.kind = 'unresolved' THEN '' WHEN r.projected <> '' THEN r.projected
+  CASE WHEN r.projected <> '' THEN r.projected
    ELSE coalesce((SELECT max(i.cols) FROM inv i WHERE i.tbl = r.tbl AND (r.kind = 'connector' OR i.db = r.db)), '') END AS columns,
   CASE WHEN r.kind <> 'catalog' THEN '' ELSE coalesce((SELECT max(i.parts) FROM inv i WHERE i.db = r.db AND i.tbl = r.tbl
    AND (r.projected = '' OR list_contains(string_split(r.projected, ','), i.parts))), '') END AS part_keys
- FROM relations r WHERE r.kind IN ('catalog', 'connector', 'unresolved', 'path')
+ FROM relations r WHERE r.kind IN ('catalog', 'connector', 'path')
 ) WHERE reason IS NOT NULL OR db IS NOT NULL"""
 
 _ONE_TABLE = """AlterTableAddPartitionCommand RepairTableCommand AlterTableDropPartitionCommand AlterTableRenamePartitionCommand
@@ -291,6 +291,10 @@ SELECT DISTINCT u.user_name, i.db, i.tbl FROM (SELECT DISTINCT db, tbl FROM list
  JOIN grants g ON g.udf IS NULL AND {_pm('g.db', 'i.db')} AND {_pm("coalesce(g.tbl, '*')", 'i.tbl')}
  JOIN (SELECT DISTINCT user_name FROM statements WHERE command = 'ShowTablesCommand') u ON u.user_name = g.user_name"""
 
+_LISTED = f"""
+SELECT DISTINCT a.user_name, i.db, i.tbl FROM asked a JOIN (SELECT DISTINCT db, tbl FROM listing WHERE tbl IS NOT NULL) i ON i.db = a.db
+ JOIN grants g ON g.user_name = a.user_name AND g.udf IS NULL AND {_pm('g.db', 'i.db')} AND {_pm("coalesce(g.tbl, '*')", 'i.tbl')}"""
+
 _METADATA = f"""
 SELECT stmt_id, side, ord, obj_type, user_name, coalesce({allowed('r', 'column_name')}, false) AND obj_type IN ('DATABASE', 'TABLE_OR_VIEW') AS allowed
 FROM (SELECT o.*, s.user_name, 'USE' AS access, CAST(NULL AS VARCHAR) AS udf, CAST(NULL AS VARCHAR) AS column_name,
@@ -315,6 +319,8 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, user_name, tbl, col, toke
 FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, user_name, tbl, col, access AS token, acc AS access, 'COLUMN' AS object_type,
  db AS "database", tbl AS "table", CAST(NULL AS VARCHAR) AS udf, col AS column_name FROM reqs) r"""
 
+_LATER = [(name, _PLAIN_GRANTS if name == "grants" else sql) for name, sql in MATRIX]
+
 ORACLES = {
     "denied_selects": _query(SIMPLE, "SELECT v.stmt_id, v.user_name, v.message FROM verdicts v JOIN statements s ON s.stmt_id = v.stmt_id WHERE s.command = 'Query' AND NOT v.allowed", "verdicts"),
     "op_classification": _query(MATRIX, "SELECT stmt_id, command, cmd AS target_command, checked AS objects_checked, op FROM ops", "ops"),
@@ -336,8 +342,11 @@ ORACLES = {
     "audit_rows": _query(MATRIX, "SELECT * FROM audit", "audit"),
     "audit_sink": _query(MATRIX, "SELECT day, user_name, action, allowed, count(*) AS n FROM audit GROUP BY day, user_name, action, allowed", "audit"),
     "stream_audit": _query(MATRIX, "SELECT * FROM audit", "audit"),
+    "stream_policy_change": f"SELECT * FROM ({_query(MATRIX, 'SELECT * FROM verdicts', 'verdicts')}) WHERE stmt_id % 2 = 0 UNION ALL SELECT * FROM ({_query(_LATER, 'SELECT * FROM verdicts', 'verdicts')}) WHERE stmt_id % 2 = 1",
+    "stream_requests": _query(MATRIX, "SELECT *, '' AS cluster FROM audit", "audit"),
     "uri_access": _with(("files", R.FILES), ("paths", _PATHS_CHECKED)) + _URI,
     "visible_tables": _with(("statements", R.STATEMENTS), ("listing", R.LISTING), ("grants", R.MIXED_GRANTS)) + _VISIBLE,
+    "show_tables_listings": _with(("statements", R.STATEMENTS), ("listing", R.LISTING), ("grants", R.MIXED_GRANTS), ("asked", R.ASKED_LISTINGS)) + _LISTED,
     "settings_guard": _with(("statements", R.STATEMENTS), ("settings", R.SETTINGS)) + f" SELECT stmt_id, user_name, conf_key, NOT ({_EXCLUDED}) AS allowed, CASE WHEN {_EXCLUDED} THEN {_GUARD} END AS message FROM settings",
     "metadata_decisions": _query(MATRIX, _METADATA, "objects"),
     "object_order": _query(MATRIX, _OBJECT_RANK, "objects"),

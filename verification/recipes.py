@@ -128,6 +128,10 @@ SELECT CASE p_size % 3 WHEN 0 THEN 'tpch' WHEN 1 THEN 'tpcds' ELSE 'sales' END A
  CASE WHEN p_partkey % 10 <> 9 THEN concat(CASE p_size % 4 WHEN 0 THEN 'part_' WHEN 1 THEN 'ordering_' WHEN 2 THEN 'na' ELSE 'x' END, CAST(p_partkey AS STRING)) END AS tbl
 FROM part"""
 
+# Who asks for the tables of which database.
+ASKED_LISTINGS = """
+SELECT user_name, CASE k % 3 WHEN 0 THEN 'tpch' WHEN 1 THEN 'sales' ELSE 'none' END AS db FROM statements WHERE command = 'ShowTablesCommand'"""
+
 # Existing files: for each supplier one below the folder of a table, some tables with a file of that very name.
 FILES = f"""
 SELECT concat('hdfs://nn/data/tpch/', t.tbl, '/day=', CAST(s.s_nationkey AS STRING), '/part-', CAST(s.s_suppkey AS STRING)) AS path,

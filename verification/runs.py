@@ -19,9 +19,10 @@ from wardline.plans.governance import Governance
 from wardline.schemas import RELATIONS, STATEMENTS
 from wardline.session import work_folder
 from wardline.sources.audit import write_audit
+from wardline.sources.inventory import load_inventory
 from wardline.sources.logs import load_log, write_log
 from wardline.sources.policies import load_grants, snapshot_path, write_snapshot
-from wardline.streaming.live import live_verdicts
+from wardline.streaming.live import audit_stream, authorize_stream, live_verdicts
 
 _REQUEST = ["stmt_id", "seq", "access", "object_type", *RESOURCE]
 _OBJECT = ["stmt_id", "side", "ord"]
@@ -261,6 +262,37 @@ def stream_audit(spark, sf_dir):
     return spark.read.parquet(_run_stream(spark, sf_dir)[1]).select(*_AUDITED, "day")
 
 
+def stream_policy_change(spark, sf_dir):
+    """A live log in two batches, with other grants from the second one on."""
+    folder, events = work_folder(spark, "change"), table(spark, sf_dir, "events")
+    snapshot = snapshot_path(folder, "wardline", "spark")
+    for half, grants in enumerate((mixed_grants, plain_grants)):
+        write_snapshot(grants(spark, sf_dir), snapshot)
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{folder}/log")
+        query = live_verdicts(
+            spark.readStream.schema(events.schema).parquet(f"{folder}/log"),
+            inventory,
+            partial(load_grants, path=snapshot),
+            f"{folder}/verdicts",
+            f"{folder}/checkpoint",
+            interval=None,
+            split=lambda batch: matrix_log(batch.sparkSession, sf_dir, events=batch),
+            excluded_settings=R.CONFIGURED_EXCLUDES,
+        )
+        query.awaitTermination()
+    return spark.read.parquet(f"{folder}/verdicts").select(_VERDICT)
+
+
+def stream_requests(spark, sf_dir):
+    """Requests as a stream, decided with fixed grants and recorded as they come."""
+    folder, judged = work_folder(spark, "requests"), matrix(spark, sf_dir)
+    judged.requests.write.parquet(f"{folder}/requests")
+    stream = spark.readStream.schema(judged.requests.schema).parquet(f"{folder}/requests")
+    decided = authorize_stream(stream, mixed_grants(spark, sf_dir))
+    audit_stream(decided, f"{folder}/audit", f"{folder}/checkpoint", interval=None).awaitTermination()
+    return spark.read.parquet(f"{folder}/audit").select(*_AUDITED, "cluster", "day")
+
+
 def checked_paths(spark, sf_dir):
     files = derive(
         spark, R.FILES, supplier=table(spark, sf_dir, "supplier"), nation=table(spark, sf_dir, "nation")
@@ -273,7 +305,20 @@ def listed_tables(spark, sf_dir):
     stmts, _ = simple_log(spark, sf_dir)
     asking = stmts.where(F.col("command") == "ShowTablesCommand")
     listing = derive(spark, R.LISTING, part=table(spark, sf_dir, "part"))
-    return visible_tables(listing, mixed_grants(spark, sf_dir), asking)
+    return visible_tables(listing, mixed_grants(spark, sf_dir), asking.select("user_name"))
+
+
+def show_tables_listings(spark, sf_dir):
+    """What SHOW TABLES shows: the tables of the database each user asks about."""
+    stmts = derive(spark, R.STATEMENTS, events=table(spark, sf_dir, "events"))
+    asked = derive(spark, R.ASKED_LISTINGS, statements=stmts)
+    stmts = statement_log(asked.withColumns({"command": F.lit("ShowTablesCommand"), "stmt_id": F.lit(0).cast("long"), "ts": F.lit(None).cast("timestamp"), "tbl": F.lit(None).cast("string")}))
+    listing = derive(spark, R.LISTING, part=table(spark, sf_dir, "part"))
+    columns = {c: F.array().cast("array<string>") for c in ("columns", "part_cols")}
+    path = work_folder(spark, "inventory")
+    listing.withColumns(columns).write.parquet(path)
+    relations = spark.createDataFrame([], RELATIONS)
+    return Governance(stmts, relations, load_inventory(spark, path), mixed_grants(spark, sf_dir)).listings
 
 
 def settings_guard(spark, sf_dir):
@@ -365,8 +410,11 @@ QUERIES = {
     "audit_rows": audit_rows,
     "audit_sink": audit_sink,
     "stream_audit": stream_audit,
+    "stream_policy_change": stream_policy_change,
+    "stream_requests": stream_requests,
     "uri_access": checked_paths,
     "visible_tables": listed_tables,
+    "show_tables_listings": show_tables_listings,
     "settings_guard": settings_guard,
     "metadata_decisions": metadata_checks,
     "object_order": object_order,

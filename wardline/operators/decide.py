@@ -6,6 +6,7 @@ inside the object is enough.
 """
 
 from collections.abc import Sequence
+from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from wardline.functions import expressions as X
 from wardline.functions.rules import ADMIN_TOKEN, ANY_TOKEN
 from wardline.operators.requests import fan_out_columns
-from wardline.operators.sizing import BROADCAST_BYTES, row_bytes, salted_join
+from wardline.operators.sizing import BROADCAST_BYTES, row_bytes
 
 # How many patterns may be tried one after the other for one request in the broadcast plan.
 MAX_TRIES = 256
@@ -124,9 +125,12 @@ def _held(number: int) -> Column:
     return F.when(length < 0, wanted == text).otherwise(wanted.startswith(text))
 
 
-def answer_by_broadcast(questions: DataFrame, facts: DataFrame) -> DataFrame:
+def answer_by_broadcast(questions: DataFrame, facts: DataFrame, hint: bool = True) -> DataFrame:
     """Adds `allowed` by hash lookups in broadcast facts; the questions are not moved.
 
+    Without the hint the same lookups are joins on equal keys that Spark may shuffle, for streams with
+    facts of any size.
+
     Facts on exact names are found by name, facts on an exact table by table, and only those with a
     pattern for database or table are tried in turn.
     """
@@ -135,7 +139,7 @@ def answer_by_broadcast(questions: DataFrame, facts: DataFrame) -> DataFrame:
     fixed_table, fixed_column = (F.col("n1") == -1) & (F.col("n2") == -1), F.col("n3") == -1
 
     def some(part, *conditions):
-        found = F.broadcast(part)
+        found = F.broadcast(part) if hint else part
         for condition in [*who, *conditions]:
             found = found.where(condition)
         return found.exists()
@@ -152,27 +156,32 @@ def answer_by_shuffle(questions: DataFrame, facts: DataFrame) -> DataFrame:
 
     Requests collapse to distinct questions first. A question is cut to each combination of prefix
     lengths its user's facts have and looked up as a whole; the answers then go back to the requests.
-    Every join is salted, as one user or one question may hold much of the log.
+    Hot users and questions are left to AQE, which splits what is measured to be large.
     """
     facts = facts.distinct()
     distinct = questions.select(*_QUESTION).where("q_level IS NOT NULL").distinct()
-    lengths = facts.groupBy(*_WHO).agg(F.collect_set(F.struct("n1", "n2", "n3")).alias("cuts"))
-    lengths = lengths.withColumnsRenamed(dict(zip(_WHO, _ASKING)))
-    cut = salted_join(distinct, lengths, _ASKING).withColumn("cut", F.explode("cuts"))
+    lengths = facts.select(*_WHO, "n1", "n2", "n3").distinct().withColumnsRenamed(dict(zip(_WHO, _ASKING)))
+    cut = distinct.join(lengths, _ASKING)
     for i in (1, 2, 3):
-        value, n = F.col(f"q{i}"), F.col(f"cut.n{i}")
-        part = F.when(n < 0, value).when(F.length(value) >= n, F.left(value, n))
-        cut = cut.withColumns({f"k{i}": part, f"n{i}": n})
+        value, n = F.col(f"q{i}"), F.col(f"n{i}")
+        cut = cut.withColumn(f"k{i}", F.when(n < 0, value).when(F.length(value) >= n, F.left(value, n)))
     known = facts.withColumnsRenamed(dict(zip(_WHO, _ASKING)))
-    held = salted_join(cut.drop("cuts", "cut"), known, known.columns, "left_semi").select(*_QUESTION).distinct()
-    answered = salted_join(questions, held.withColumn("allowed", F.lit(True)), _QUESTION, "left")
+    held = cut.join(known, known.columns, "left_semi").select(*_QUESTION).distinct()
+    answered = questions.join(held.withColumn("allowed", F.lit(True)), _QUESTION, "left")
     return answered.withColumn("allowed", F.coalesce("allowed", F.lit(False)))
 
 
 def match_grants(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
-    """`reqs` with `allowed`. The grants are measured first; both ways give the same answers."""
-    answer = answer_by_broadcast if broadcastable(grants, **sizes) else answer_by_shuffle
-    return answer(with_question(reqs), compile_grants(grants)).drop(*_QUESTION)
+    """`reqs` with `allowed`, null where the request has no level to be asked on (a check without a result).
+
+    The grants are measured first; both ways give the same answers.
+    """
+    if broadcastable(grants, **sizes):
+        answer = answer_by_broadcast
+    else:
+        answer = partial(answer_by_broadcast, hint=False) if reqs.isStreaming else answer_by_shuffle
+    answered = answer(with_question(reqs), compile_grants(grants))
+    return answered.withColumn("allowed", F.when(F.col("q_level").isNotNull(), F.col("allowed"))).drop(*_QUESTION)
 
 
 def on_null(allowed="allowed", verdict: bool = True) -> Column:
@@ -180,10 +189,14 @@ def on_null(allowed="allowed", verdict: bool = True) -> Column:
     return F.coalesce(F.col(allowed), F.lit(verdict))
 
 
-def decide(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
-    """Requests, one per column, with `allowed`. A relation that cannot be checked is not."""
+def decide(reqs: DataFrame, grants: DataFrame, null_allows: bool = True, **sizes) -> DataFrame:
+    """Requests, one per column, with `allowed`. A relation that cannot be checked is not.
+
+    `null_allows` says what a check without a result means: a request on a kind of object that no
+    grant can speak of.
+    """
     matched = match_grants(fan_out_columns(reqs), grants, **sizes)
-    return matched.withColumn("allowed", F.col("reason").isNull() & on_null())
+    return matched.withColumn("allowed", F.col("reason").isNull() & on_null(verdict=null_allows))
 
 
 def denials(decisions: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from wardline.functions import expressions as X
 from wardline.functions.rules import ALWAYS_EXCLUDED_KEYS, ANY_TOKEN, METADATA_ACTION, UNKNOWN_CLIENT
 from wardline.operators.decide import compile_grants, match_grants
-from wardline.operators.sizing import salted_join
 
 
 def excluded_keys(configured: Iterable[str] = ()) -> list[str]:
@@ -42,22 +41,36 @@ def _name_cuts(name: Column, prefix: str) -> Column:
     return F.concat(F.array(exact), prefixes)
 
 
-def visible_tables(inv: DataFrame, grants: DataFrame, users: DataFrame) -> DataFrame:
+def visible_tables(inv: DataFrame, grants: DataFrame, asked: DataFrame) -> DataFrame:
     """The listing each user gets to see: `user_name, db, tbl` of tables with any grant on or in them.
 
-    Names meet patterns by equal keys: first the databases with the database patterns that occur,
-    then the tables of a database with the table patterns that occur below those.
+    `asked` has the users and, in a column `db`, the databases they ask about; without such a column
+    they ask about all. What is asked comes in first: users and databases meet the database patterns
+    of the users' grants by equal keys, and only tables of databases that are left are looked at.
+    Patterns for all tables of a database meet no table before the result is made.
     """
     facts = compile_grants(grants).where((F.col("token") == ANY_TOKEN) & (F.col("level") == "T"))
-    facts = facts.join(users.select("user_name").distinct(), "user_name", "left_semi")
+    facts = facts.join(asked.select("user_name").distinct(), "user_name", "left_semi")
+    facts = facts.select("user_name", "k1", "n1", "k2", "n2").distinct()
     listed = inv.select("db", "tbl").where(F.col("tbl").isNotNull()).distinct()
+    if "db" in asked.columns:
+        listed = listed.join(asked.select("db").distinct(), "db", "left_semi")
 
     schemas = listed.select("db").distinct().select("db", F.inline(_name_cuts(F.col("db"), "1")))
     schemas = schemas.join(facts.select("k1", "n1").distinct(), ["k1", "n1"], "left_semi")
-    tables = salted_join(listed, schemas, ["db"])
-    tables = tables.select("db", "tbl", "k1", "n1", F.inline(_name_cuts(F.col("tbl"), "2")))
-    holders = facts.select("user_name", "k1", "n1", "k2", "n2")
-    return salted_join(tables, holders, ["k1", "n1", "k2", "n2"]).select("user_name", "db", "tbl").distinct()
+    if "db" in asked.columns:
+        pairs = asked.select("user_name", "db").distinct().join(schemas, "db")
+        held = pairs.join(facts, ["user_name", "k1", "n1"])
+    else:
+        held = schemas.join(facts, ["k1", "n1"])
+    held = held.select("user_name", "db", "k2", "n2").distinct()
+
+    everything = held.where(F.col("n2") == 0).select("user_name", "db")
+    some = held.where(F.col("n2") != 0).join(everything, ["user_name", "db"], "left_anti")
+    tables = listed.select("db", "tbl", F.inline(_name_cuts(F.col("tbl"), "2")))
+    tables = tables.join(some.select("db", "k2", "n2").distinct(), ["db", "k2", "n2"], "left_semi")
+    by_pattern = tables.join(some, ["db", "k2", "n2"]).select("user_name", "db", "tbl").distinct()
+    return listed.join(everything, "db").select("user_name", "db", "tbl").unionByName(by_pattern)
 
 
 def metadata_decisions(objs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:

@@ -65,13 +65,13 @@ def flag_unsupported(rels: DataFrame) -> DataFrame:
     return named.select(*rels.columns, F.when(unknown, unsupported_message()).alias("reason"))
 
 
-def route_relations(rels: DataFrame, unresolved_without_db: bool = False) -> DataFrame:
+def route_relations(rels: DataFrame, unresolved_with_db: bool = False) -> DataFrame:
     """Raw objects of relations, by kind; other kinds give none.
 
-    An unresolved relation gives a table-level object if the log names its database. With
-    `unresolved_without_db` such names never count, as for a checker that sees the bare name only.
+    An unresolved relation gives none, as the checker sees its bare name only. With the stricter
+    `unresolved_with_db` it gives a table-level object if the log names its database.
     """
-    named_kinds = ["catalog"] if unresolved_without_db else ["catalog", "unresolved"]
+    named_kinds = ["catalog", "unresolved"] if unresolved_with_db else ["catalog"]
     # Stated on the columns of the log, so that it reaches the scan.
     counts = f"kind IN ('connector', 'path') OR ({any_of('kind', named_kinds)} AND db IS NOT NULL)"
     return flag_unsupported(split_connector_name(rels.where(counts))).selectExpr(
@@ -105,9 +105,9 @@ def attach_schema(raw: DataFrame, inv: DataFrame) -> DataFrame:
     return joined.withColumns(added).drop(*hints)
 
 
-def expand_query_objects(rels: DataFrame, inv: DataFrame, unresolved_without_db: bool = False) -> DataFrame:
+def expand_query_objects(rels: DataFrame, inv: DataFrame, unresolved_with_db: bool = False) -> DataFrame:
     """Objects of relations, on the input side; rows with a `reason` are denials, not objects."""
-    raw = route_relations(rels, unresolved_without_db)
+    raw = route_relations(rels, unresolved_with_db)
     return attach_schema(raw, inv).withColumn("side", F.lit("in")).select(*OBJECT_COLUMNS, "reason")
 
 
@@ -152,7 +152,7 @@ def build_objects(
     classified: DataFrame,
     rels: DataFrame,
     inv: DataFrame,
-    unresolved_without_db: bool = False,
+    unresolved_with_db: bool = False,
     bucketed: bool = False,
 ) -> DataFrame:
     """All objects of statements, with the statement's operation, user, client and time on each row.
@@ -165,7 +165,7 @@ def build_objects(
     `bucketed`, and their own layout is used.
     """
     readers = classified.where("reads IS NOT NULL").select("stmt_id", F.expr("reads AS side"), *CONTEXT)
-    queried = route_relations(rels, unresolved_without_db).join(readers, "stmt_id")
+    queried = route_relations(rels, unresolved_with_db).join(readers, "stmt_id")
     naming = classified.where("shape <> 'nothing' AND stmt_id IS NOT NULL")
     commanded = _raw_command_objects(naming if bucketed else naming.repartition("stmt_id"), CONTEXT)
     raw = queried.select(*_RAW, *CONTEXT).unionByName(commanded)

@@ -1,17 +1,22 @@
-"""Joins with a table that is small today: broadcast behind a measured size, salted beyond it."""
+"""Joins with a table that is small today: broadcast behind a measured size, shuffled beyond it."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 
 # Counted on top of the text of a row: the fixed part of a row in a hashed relation.
 _ROW_OVERHEAD = 64
 
 
+def is_literal(df: DataFrame) -> bool:
+    """Whether the rows of `df` stand in its plan, so that its planned size is its size."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return plan.getClass().getSimpleName() == "LocalRelation"
+
+
 def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's own estimate of the size of `df`; runs no job."""
+    """Catalyst's own estimate of the size of `df`; runs no job. For files it is their compressed size."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
@@ -23,35 +28,19 @@ def row_bytes(df: DataFrame):
 def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether `df` is proven to be at most `limit` bytes.
 
-    A small planned size, known from literal rows or files, is proof enough. Otherwise the rows are
-    measured by one distributed aggregate that brings back a single number.
+    The planned size counts for literal rows only. All else is measured by one distributed aggregate
+    that brings back a single number: files may be compressed and rows exploded.
     """
-    if planned_bytes(df) <= limit // 8:
+    if is_literal(df) and planned_bytes(df) <= limit // 8:
         return True
     measured = df.select(F.sum(row_bytes(df)).alias("bytes")).first()["bytes"]
     return (measured or 0) <= limit
 
 
-def salted(big: DataFrame, small: DataFrame, salts: int = SALTS) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a `salt` column, so that rows of one hot key spread over `salts` partitions.
+def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`big` joined with `small` on equal names: a broadcast if `small` is proven to fit, else a shuffle.
 
-    The salt of a big row is the number of its input partition: any salt meets every small row, and
-    unlike a random one it is the same when a lost task runs again.
+    A shuffled join leaves hot keys to AQE, which splits them by their measured size; nothing is copied
+    for keys that are not hot.
     """
-    return (
-        big.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts))),
-        small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))),
-    )
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """`big` joined with `small` on equal names, where few values of `on` may hold most big rows."""
-    big, small = salted(big, small, salts)
-    return big.join(small, [*on, "salt"], how).drop("salt")
-
-
-def lookup(big: DataFrame, small: DataFrame, on: list[str], how: str = "left", limit: int = BROADCAST_BYTES) -> DataFrame:
-    """`big` joined with `small` on equal names: a broadcast if `small` is proven to fit, else salted."""
-    if fits(small, limit):
-        return big.join(F.broadcast(small), on, how)
-    return salted_join(big, small, on, how)
+    return big.join(F.broadcast(small) if fits(small, limit) else small, on, how)

@@ -25,21 +25,22 @@ class Governance:
         excluded_settings: Iterable[str] = (),
         show_columns_option: str = "NONE",
         cluster: str = "",
-        unresolved_without_db: bool = False,
+        unresolved_with_db: bool = False,
         bucketed: bool = False,
+        null_allows: bool = True,
         **sizes,
     ):
-        self.inv, self.grants, self.sizes = inv, grants, sizes
+        self.inv, self.grants, self.null_allows, self.sizes = inv, grants, null_allows, sizes
         self.patterns = excluded_keys(excluded_settings)
         self.classified = classify_operation(stmts)
-        self.objects = build_objects(self.classified, rels, inv, unresolved_without_db, bucketed)
+        self.objects = build_objects(self.classified, rels, inv, unresolved_with_db, bucketed)
         self.requests = build_requests(self.objects, show_all_columns(show_columns_option), cluster)
         self._decisions = None
 
     @property
     def decisions(self) -> DataFrame:
         if self._decisions is None:
-            self._decisions = decide(self.requests, self.grants, **self.sizes)
+            self._decisions = decide(self.requests, self.grants, self.null_allows, **self.sizes)
         return self._decisions
 
     @property
@@ -62,8 +63,6 @@ class Governance:
 
     @property
     def listings(self) -> DataFrame:
-        """What SHOW TABLES shows to each user who asks."""
+        """What SHOW TABLES shows to each user of the database asked about."""
         asking = self.classified.where(F.col("command") == "ShowTablesCommand")
-        shown = visible_tables(self.inv, self.grants, asking)
-        asked = asking.select("user_name", "db").distinct()
-        return shown.join(asked, ["user_name", "db"], "left_semi")
+        return visible_tables(self.inv, self.grants, asking.select("user_name", "db"))

@@ -1,6 +1,5 @@
 """Session settings the plans rely on, and the shared folder for written intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -23,13 +22,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name below the shared folder of `spark.checkpoint.dir`.
+    """A new folder name below the shared folder of `spark.checkpoint.dir`, else below the warehouse.
 
-    Without that setting only a local session may go on, in a folder of this machine.
+    Both are reached by the driver and all executors; no folder of one machine is ever used.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="wardline-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
