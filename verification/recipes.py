@@ -58,7 +58,8 @@ SELECT db, tbl, cols, parts FROM (VALUES
  ('tpch','lineitem','l_orderkey,l_partkey,l_suppkey,l_linenumber,l_quantity,l_extendedprice,l_discount,l_tax,l_returnflag,l_linestatus,l_shipdate','l_shipdate'),
  ('tpch','events','event_id,ts,user_id,event_type,value,props','')) AS v(db, tbl, cols, parts)"""
 
-# Every command class of the rule matrix, two that no rule names, and the operation names that a log may carry.
+# Every command class of the rule matrix, two that no rule names, and the operation names that a log may carry
+# (fixed values).
 MATRIX_COMMANDS = """
 AlterDatabasePropertiesCommand AlterDatabaseSetLocationCommand AlterTableAddColumnsCommand AlterTableAddPartitionCommand
 AlterTableChangeColumnCommand AlterTableDropPartitionCommand AlterTableRenameCommand AlterTableRenamePartitionCommand

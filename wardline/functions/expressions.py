@@ -86,6 +86,9 @@ def uri_denial_message(user="user_name", action="uri_action", path="path") -> Co
     return _denial(user, action, path)
 
 
+# The texts of both messages below are fixed values.
+
+
 def unsupported_message(raw_name="raw_name") -> Column:
     text = "User try access unsupport catalog, contact admin to get more info: "
     return F.expr(f"concat('{text}', coalesce({raw_name}, ''), ' !!!')")
