@@ -161,7 +161,7 @@ def _members(keys: DataFrame) -> DataFrame:
 
 
 def _sets(classes: DataFrame, docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """`cls, n, parity, items`: the sets of the wanted classes, and the parities of how many shingles fall to each of some 4n places."""
+    """`cls, n, parity, items`: the sets of the wanted classes, and the parities of how many shingles fall to each of some 3n places."""
 
     def start():
         hashes = _Hashes()
@@ -170,7 +170,7 @@ def _sets(classes: DataFrame, docs: DataFrame, key: str, text: str, wanted: Data
             out = []
             for cls, x in zip(*columns, strict=True):
                 s = shingle_set(x, hashes)
-                places = 1 << max(6, (4 * len(s)).bit_length())
+                places = 1 << max(6, (2 * len(s)).bit_length())
                 odd = np.bincount((s >> np.uint64(9)).astype(np.int64) & (places - 1), minlength=places).astype(np.uint8) & 1
                 out.append((cls, len(s), np.packbits(odd).tobytes(), s.tobytes()))
             return list(zip(*out, strict=True))
@@ -249,14 +249,18 @@ def _mixed(lists: DataFrame, labelled: DataFrame) -> DataFrame:
     ends = named.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), (F.count("*") * F.count("*") / 2 > LONG * F.sum(F.col("n") / 4 + 2)).alias("split")
     )
-    return named.drop("n").join(ends.where("low < high").select("key", "split"), "key")
+    return named.join(ends.where("low < high").select("key", "split"), "key")
+
+
+#: Sizes of sets with a similarity of 0.8 or more.
+_SIZES = "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"
 
 
 def _across(mixed: DataFrame) -> DataFrame:
-    """The pairs of classes of a list that are in different components."""
-    a = mixed.select("key", F.col("cls").alias("a"), F.col("comp").alias("a_comp"))
-    b = mixed.select("key", F.col("cls").alias("b"), F.col("comp").alias("b_comp"))
-    return a.join(b, "key").where("a < b AND a_comp <> b_comp").select("a", "b").distinct()
+    """The pairs of classes of a list that are in different components and of sizes that may link."""
+    a = mixed.select("key", F.col("cls").alias("a"), F.col("comp").alias("a_comp"), F.col("n").alias("a_n"))
+    b = mixed.select("key", F.col("cls").alias("b"), F.col("comp").alias("b_comp"), F.col("n").alias("b_n"))
+    return a.join(b, "key").where(f"a < b AND a_comp <> b_comp AND {_SIZES}").select("a", "b").distinct()
 
 
 def _split(long: DataFrame, prefixes: DataFrame, depth: int) -> DataFrame:
@@ -285,13 +289,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     classes = stored(class_rows(docs, key, text), "classes")
     boundary = choose_boundary(classes)
     first = stored(_members(_first_keys(classes, boundary)), "members")
-    star = stored(first.where("cls <> center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct(), "star")
     wanted = first.select("cls").distinct()
+    sizes = stored(classes.join(_small(wanted), "cls", "left_semi").select("cls", "n").distinct(), "sizes")
+    star = first.where("cls <> center").select(F.col("center").alias("a"), F.col("cls").alias("b")).distinct()
+    for end in ("a", "b"):
+        star = star.join(_small(sizes.select(F.col("cls").alias(end), F.col("n").alias(f"{end}_n"))), end)
+    star = stored(star.where(_SIZES).select("a", "b"), "star")
     sets = stored(_sets(classes, docs, key, text, wanted), "sets")
     edges = stored(_proven(star, sets), "links")
     labels = components(edges)
 
-    sizes = classes.join(_small(wanted), "cls", "left_semi").select("cls", "n").distinct()
     labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
     lists = first.select("key", "cls", F.col("key").alias("base"), F.lit(None).cast("long").alias("last"))
     later = None
@@ -299,7 +306,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         mixed = stored(_mixed(lists, labelled), "mixed")
         met = _across(mixed.where(~F.col("split")) if depth <= SPLITS else mixed)
         later = met if later is None else later.unionByName(met)
-        if depth > SPLITS or (long := mixed.where("split").drop("comp", "split")).isEmpty():
+        if depth > SPLITS or (long := mixed.where("split").drop("comp", "split", "n")).isEmpty():
             break
         of_long = long.select("cls").distinct()
         prefixes = classes.select("cls", "n", "light", "blocks").join(_small(of_long), "cls", "left_semi").dropDuplicates(["cls"])
