@@ -93,6 +93,32 @@ def test_keys_of_similar_sets_meet():
             assert len(firsts[0] & firsts[1]) >= min(2, both)
 
 
+@pytest.mark.parametrize("n", [4, 5, 6])
+def test_tiny_sets_in_long_lists(spark, monkeypatch, n):
+    """Sets of n and n + 1 shingles link by one base each, though all lists are split and blocks are preferred."""
+    monkeypatch.setattr(jaccard_join, "LONG", 0.0)
+    monkeypatch.setattr(jaccard_join, "choose_boundary", lambda classes: 1)
+    base = prose(40 + n, n + 4)
+    rows = [(k, f"{base} edit{k}") for k in range(1, 31)] + [(40, base)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
+    assert got == brute_components(rows) and {c for _, c in got.values()} == {1}
+
+
+def test_enough_common_blocks_to_split():
+    """Two similar sets above TINY have a level whose equal blocks, or else shingles, last for all splits."""
+    for a in range(1, 300):
+        for b in range(a, 5 * a // 4 + 1):
+            apart = (a + b) // 9
+            apart -= (a + b - apart) % 2  # the difference is even or odd as the sum is
+            if apart < b - a or apart == 0:
+                continue
+            if b <= jaccard_join.TINY:
+                assert (a + b - apart) // 2 >= 2 + jaccard_join.SPLITS
+                continue
+            levels = [{n.bit_length() - 1, (5 * n // 4).bit_length() - 1} for n in (a, b)]
+            assert max(3 * (1 << level) // 4 - apart for level in levels[0] & levels[1]) >= 1 + jaccard_join.SPLITS
+
+
 def test_parities_never_refuse_a_link():
     r = np.random.default_rng(6)
     for n in (5, 30, 31, 32, 33, 400):

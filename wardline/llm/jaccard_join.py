@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from wardline.llm.tasks import map_columns, mix, read, stored, words
 
 SHINGLE = 5
-#: A set may be light up to this size.
-LIGHT = 64
+#: A set may be light up to this size, and is always light up to TINY: smaller sets have too few
+#: blocks for 1 + SPLITS common ones, but four common shingles.
+LIGHT, TINY = 64, 7
 #: A list that is not all of one component is split by a further key where its pairs would be more
 #: than so many times the rows of the split.
 LONG = 1.0
@@ -73,7 +74,8 @@ def block_lists(s: np.ndarray) -> list[list[int]]:
 
     Two similar sets of the sizes a and b differ in at most (a + b) / 9 shingles, hence in n / 4 at
     most for a set of n, and in no more blocks. Both rank their blocks by fullness, then by hash, so
-    the first n / 4 + 1 have one in common, and the first n / 4 + k have k.
+    the first n / 4 + 1 have one in common, and the first n / 4 + k have k, as long as so many are
+    equal at all: above TINY that is 1 + SPLITS at least.
     """
     n, out = len(s), []
     for level in sorted({n.bit_length() - 1, (5 * n // 4).bit_length() - 1}):
@@ -133,11 +135,12 @@ def choose_boundary(classes: DataFrame) -> int:
         pairs = sum(rows * (p := n - least_overlap(n) + 2) * (p - 1) / 2 for n, (rows, _) in sizes.items() if n <= limit)
         return pairs + sum(keys * length for n, (_, keys) in sizes.items() if n > 0.8 * limit)
 
-    return min(range(1, LIGHT + 1), key=cost)
+    return min(range(TINY, LIGHT + 1), key=cost)
 
 
 def _first_keys(classes: DataFrame, boundary: int) -> DataFrame:
-    """`key, cls, split` of all classes: pairs of light sets, blocks of heavy ones and of those that may be similar to one."""
+    """`key, cls` of all classes: pairs of light sets, blocks of heavy ones and of those that may be similar to one."""
+    boundary = max(boundary, TINY)
     light = F.expr(
         "flatten(transform(slice(light, 1, n - CAST(ceil(0.8 * n) AS INT) + 2), (x, i) -> "
         "transform(slice(light, i + 2, greatest(n - CAST(ceil(0.8 * n) AS INT) + 1 - i, 0)), y -> x ^ y)))"
