@@ -1,6 +1,7 @@
 """Joins, lookups and files against brute force."""
 
 import hashlib
+import itertools
 import random
 import zlib
 
@@ -261,6 +262,49 @@ def test_contaminated(spark, monkeypatch, rows):
     assert got == {(1, 0, 40, 40, 50), (2, 1, 40, 40 - sum(k % 9 == 4 for k in range(40)), 1), (3, 2, 20, 20, -20), (4, 6, 7, 7, 1), (5, 3, 40, 40, 0)}
 
 
+def replaced(n):
+    """All ways to replace as many of n words as the rule allows."""
+    return itertools.combinations(range(n), n - -(-decontamination.AGREE * n // 100))
+
+
+def test_no_passage_without_a_seed():
+    """Wherever the replaced words of a stretch lie, a mask fits between them."""
+    assert list(decontamination.MASKS) == list(range(decontamination.LEAST_WORDS, decontamination.STRETCH + 1))
+    for n, masks in decontamination.MASKS.items():
+        assert len({len(m) for m in masks}) == 1
+        for gone in replaced(n):
+            assert any(all(c == "0" or at + k not in gone for k, c in enumerate(m)) for m in masks for at in range(n - len(m) + 1)), (n, gone)
+
+
+def brute_contaminated(docs, items):
+    """The rule at every place of every item on every document."""
+    out = set()
+    for (d, x), (i, y) in itertools.product(docs, items):
+        w, v = x.lower().split(), y.lower().split()
+        need, found = min(decontamination.STRETCH, len(v)), []
+        for place in range(-len(v) + 1, len(w)):
+            equal = [v[j] == w[j + place] for j in range(max(-place, 0), min(len(v), len(w) - place))]
+            if len(v) >= decontamination.LEAST_WORDS and any(100 * sum(equal[k : k + need]) >= decontamination.AGREE * need for k in range(len(equal) - need + 1)):
+                found.append((-sum(equal), len(equal), place))
+        if found:
+            agree, n, place = min(found)
+            out.add((d, i, n, -agree, place))
+    return out
+
+
+def test_all_replaced_words(spark):
+    """Items of 5 to 18 words with all patterns of replaced words within the rule, and some beyond it."""
+    items = [(n, prose(80 + n, n, 10**6)) for n in (5, 7, 9, 10, 11, 13, 15, 18)]
+    texts = []
+    for n, item in items:
+        gone = list(replaced(min(n, 13))) + [(0, *g) for g in itertools.combinations(range(1, n), 3 if n >= 13 else 2)][::5]
+        texts += ["before " + " ".join("other" if k in g else w for k, w in enumerate(item.split())) + " after" for g in gone]
+    docs = list(enumerate(texts))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.n_words, r.n_equal, r.place) for r in decontamination.contaminated(documents(spark, docs), bench).collect()}
+    assert got == brute_contaminated(docs, items) and len(got) < len(docs)
+
+
 def test_pipeline(spark, tmp_path):
     """The stages one after the other by brute force."""
     item, secret = prose(70, 40), "token=0123456789abcdef0123456789abcdef"

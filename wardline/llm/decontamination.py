@@ -1,7 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed is a window of words of which a fixed mask ignores some, so a replaced word at an ignored
-place does not hide a copied passage. Seeds of the benchmark and of the documents are joined by
+place does not hide a copied passage; there are masks enough that none within the rule is hidden. Seeds of the benchmark and of the documents are joined by
 their hashes. Each hit says how a document and an item would lie on each other; there the words
 are compared, and the document counts as contaminated if a stretch of the item agrees but for a few
 words. All of it is built-in expressions.
@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from wardline.llm.tasks import read, stored
 
-#: Which of ten words in a row a seed looks at. Two masks miss few passages with replaced words.
-MASKS = ("1101101011", "1110010111")
-SPAN = 10
+#: Which words in a row a seed looks at, for stretches of each length. Wherever the words lie that AGREE
+#: lets differ (two from ten words on, below that one), a mask fits between them; a test tries all.
+MASKS = {
+    5: ("1101", "1011"), 6: ("11101", "10111"), 7: ("111011", "101111", "111101"), 8: ("111101", "110111"), 9: ("1111101", "1101111"),
+    10: ("10011101", "11010011", "11101001"), 11: ("1110011", "1101011"), 12: ("10110111", "11101011", "11100111"), 13: ("11110011", "11010111"),
+}
 #: A shorter item is looked for as a whole, from so many words on; still shorter ones are no passages.
 LEAST_WORDS = 5
 #: So many words in a row (or the whole of a shorter item) must agree to so many parts of 100.
@@ -56,16 +59,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     asked = benchmark.select(F.col(item).alias("item"), F.expr(_WORDS.format(f"`{item_text}`")).alias("item_words"))
     asked = stored(asked.where(F.size("item_words") >= LEAST_WORDS), "benchmark")
-    short = [r[0] for r in asked.where(F.size("item_words") < SPAN).select(F.size("item_words")).distinct().collect()]
+    asked_stretch = F.least(F.lit(STRETCH), F.size("item_words"))
+    stretches = sorted(r[0] for r in asked.select(asked_stretch).distinct().collect())
 
     rows = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("row"), F.col(key).alias("key"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     own = rows.select("row", F.expr(_WORDS.format("text")).alias("w"))
     hits = None
-    for masks in (MASKS, *(("1" * n,) for n in sorted(short))):
-        span = len(masks[0])
-        of_items = asked.select("item", F.col("item_words").alias("w")).where(F.size("w") >= SPAN if span == SPAN else F.size("w") == span)
-        known = _small(_seeds(of_items, masks, "item").withColumnRenamed("pos", "item_pos"))
-        met = _seeds(own, masks, "row").join(known, "seed").select("row", "item", (F.col("pos") - F.col("item_pos")).alias("place"))
+    for n in stretches or [STRETCH]:
+        of_items = asked.where(asked_stretch == n).select("item", F.col("item_words").alias("w"))
+        known = _small(_seeds(of_items, MASKS[n], "item").withColumnRenamed("pos", "item_pos"))
+        met = _seeds(own, MASKS[n], "row").join(known, "seed").select("row", "item", (F.col("pos") - F.col("item_pos")).alias("place"))
         hits = met if hits is None else hits.unionByName(met)
     hits = stored(hits.distinct(), "hits")
 
@@ -76,7 +79,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     # Words of the item from its first to its last that lies on the document, compared place by place.
     laid = laid.withColumn("low", F.greatest(-F.col("place"), F.lit(0))).withColumn("high", F.least(F.size("item_words"), F.size("words") - F.col("place")))
     laid = laid.withColumn("equal", F.expr("transform(sequence(low, high - 1), j -> IF(item_words[j] = words[j + place], 1, 0))"))
-    laid = laid.withColumn("stretch", F.least(F.lit(STRETCH), F.size("item_words"))).where(F.size("equal") >= F.col("stretch"))
+    laid = laid.withColumn("stretch", asked_stretch).where(F.size("equal") >= F.col("stretch"))
     enough = "100 * aggregate(slice(equal, j, stretch), 0, (a, e) -> a + e) >= {0} * stretch"
     laid = laid.where(F.expr(f"exists(sequence(1, size(equal) - stretch + 1), j -> {enough.format(AGREE)})"))
     counted = laid.select("row", "key", "item", F.size("equal").alias("n_words"), F.expr("aggregate(equal, 0, (a, e) -> a + e)").alias("n_equal"), "place")
@@ -99,17 +102,19 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    # These masks find less than the operator; where results differ, the operator's are right.
+    masks, span = ("1101101011", "1110010111"), 10
     words = r"list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '')"
     seed = lambda mask: "concat_ws(' ', '" + mask + "', " + ", ".join(f"w[i + {k + 1}]" for k, c in enumerate(mask) if c == "1") + ")"
-    places = lambda table, id_, mask: f"SELECT {id_}, i AS pos, {seed(mask)} AS seed FROM (SELECT {id_}, w, unnest(range(0, len(w) - {SPAN} + 1)) AS i FROM {table} WHERE len(w) >= {SPAN})"
+    places = lambda table, id_, mask: f"SELECT {id_}, i AS pos, {seed(mask)} AS seed FROM (SELECT {id_}, w, unnest(range(0, len(w) - {span} + 1)) AS i FROM {table} WHERE len(w) >= {span})"
     return f"""
 WITH docs AS (SELECT doc_id, {words} AS w FROM documents WHERE text IS NOT NULL),
 items AS (SELECT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) >= {LEAST_WORDS}),
-item_seeds AS ({" UNION ALL ".join(places("items", "item_id", m) for m in MASKS)}),
-doc_seeds AS ({" UNION ALL ".join(places("docs", "doc_id", m) for m in MASKS)}),
+item_seeds AS ({" UNION ALL ".join(places("items", "item_id", m) for m in masks)}),
+doc_seeds AS ({" UNION ALL ".join(places("docs", "doc_id", m) for m in masks)}),
 short AS (
   SELECT doc_id, item_id, i AS place FROM (SELECT doc_id, w AS dw, unnest(range(0, len(w))) AS i FROM docs), items
-  WHERE len(items.w) < {SPAN} AND dw[i + 1 : i + len(items.w)] = items.w),
+  WHERE len(items.w) < {span} AND dw[i + 1 : i + len(items.w)] = items.w),
 hits AS (
   SELECT DISTINCT doc_id, item_id, d.pos - b.pos AS place FROM doc_seeds d JOIN item_seeds b USING (seed) UNION SELECT * FROM short),
 laid AS (
