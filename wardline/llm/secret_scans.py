@@ -2,14 +2,18 @@
 
 Strong spans (`assign`, `access`, `hex`) are reported as they are. A long random-looking token, an
 account name or an endpoint alone says little; such weak candidates are reported only if a part of
-a complementary role lies within reach in the same scope (a block of lines between empty ones).
+a complementary role lies within reach in the same scope (a block of lines between empty ones). One
+part is not taken twice: a token in the path of a URL is not complemented by a URL, nor one that is
+an account name by that name.
 Parts and candidates meet by an interval join: both are dealt to windows of a document, what a
-window holds of each role is summed up before, so no pair of parts is ever formed.
+window holds is bounded by its width, so only few parts are ever held together.
 """
 
 import hashlib
 import re
 from bisect import bisect_right
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +35,10 @@ _WEAK = (
     ("weak_endpoint", "endpoint", re.compile(r"(?:jdbc:[a-z]+|https?|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s\"'<>]{4,}")),
 )
 _ROLE = {"assign": "secret", "access": "identifier", "hex": "secret"}
-#: Which roles support a weak candidate: a secret wants a name or a place, those want a secret.
-_SUPPORT = {"secret": ("identifier", "endpoint"), "identifier": ("secret",), "endpoint": ("secret",)}
-_ROLES = ("secret", "identifier", "endpoint")
+#: Which roles support a weak candidate: a secret wants a name or a place, those want a secret. A
+#: token in a URL behind its userinfo (`path`) is a part of a place, so it wants a name.
+_SUPPORT = {"secret": ("identifier", "endpoint"), "path": ("identifier",), "identifier": ("secret", "path"), "endpoint": ("secret",)}
+_USERINFO = re.compile(r"[^/]*//[^/?#]*@")
 _BREAK = re.compile(r"\n[\x20\t\r]*\n")
 
 
@@ -55,10 +60,15 @@ def weak_spans(text: str, strong: list[tuple[int, str, int]]) -> list[tuple[int,
     reach, most = [], 0
     for s in strong:
         reach.append(most := max(most, s[2]))
+    # Of each URL its start, the end of its userinfo (or its start) and its end.
+    urls = [(m.start(), m.start() + (len(u[0]) if (u := _USERINFO.match(m[0])) else 0), m.end()) for m in _WEAK[2][2].finditer(text)]
     out = []
     for kind, role, form in _WEAK:
         for m in form.finditer(text):
             start, end = m.span(m.lastindex or 0)
+            if kind == "weak_secret":
+                k = bisect_right(urls, end - 1, key=lambda u: u[0])
+                role = "path" if k and urls[k - 1][2] > start and end > urls[k - 1][1] else "secret"  # noqa: PLW2901
             at = bisect_right(starts, end - 1)
             if (at == 0 or reach[at - 1] <= start) and (kind != "weak_secret" or _mixed(text[start:end])):
                 out.append((start, kind, end, role))
@@ -117,28 +127,19 @@ def find_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     there are. Other columns of `docs` are not looked at. Two shuffles, of spans and counts only.
     """
     parts = parts_of(docs, key, text)
-    support = F.lit(False)
-    seen = [
-        c
-        for r in _ROLES
-        for c in (
-            F.min(F.when((F.col("role") == r) & ~F.col("asks"), F.col("start"))).alias(f"{r}_from"),
-            F.max(F.when((F.col("role") == r) & ~F.col("asks"), F.col("stop"))).alias(f"{r}_to"),
-        )
-    ]
     # A window is REACH code points wide and spans of one kind don't overlap, so these lists are short.
     met = parts.groupBy("id", "digest", "win").agg(
         F.first("fixed", ignorenulls=True).alias("fixed"), F.sum(F.col("win").isNull().cast("long")).alias("copies"),
-        F.collect_set(F.when(F.col("asks"), F.struct("start", "kind", F.col("stop").alias("end"), "role"))).alias("asking"), *seen,
+        F.collect_set(F.when(F.col("asks"), F.struct("start", "kind", F.col("stop").alias("end"), "role"))).alias("asking"),
+        F.collect_set(F.when(~F.col("asks"), F.struct("role", "start", F.col("stop").alias("end")))).alias("parts"),
     )
 
     def supported(x):
-        found = support
-        for role, by in _SUPPORT.items():
-            for r in by:
-                near = (F.col(f"{r}_from") < x["end"] + REACH) & (F.col(f"{r}_to") > x["start"] - REACH)
-                found = found | ((x["role"] == role) & F.coalesce(near, F.lit(False)))
-        return found
+        near = lambda p: (p["start"] < x["end"] + REACH) & (p["end"] > x["start"] - REACH)
+        wanted = lambda p: reduce(or_, ((x["role"] == role) & p["role"].isin(*by) for role, by in _SUPPORT.items()))
+        # An account name may look random itself. A secret that overlaps a place stands in its userinfo.
+        other = lambda p: (x["role"] == "endpoint") | (p["role"] == "endpoint") | (p["start"] >= x["end"]) | (p["end"] <= x["start"])
+        return F.exists("parts", lambda p: wanted(p) & near(p) & other(p))
 
     linked = F.transform(F.filter("asking", supported), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
     whole = met.select("id", "digest", "fixed", "copies", linked.alias("linked")).groupBy("id", "digest").agg(
