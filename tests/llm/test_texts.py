@@ -142,3 +142,23 @@ def test_forward_recursion_is_exact():
     assert np.isclose(before, hidden_markov.log_likelihoods(rows, model).sum(), rtol=1e-4)
     after = hidden_markov.Model(*map(hidden_markov._normal, (starts, moves, counts)))
     assert hidden_markov.log_likelihoods(rows, after).sum() >= before
+
+
+def test_training_takes_all_words_until_it_settles(spark):
+    import numpy as np
+
+    # A long text, and a language of one text in a hundred.
+    rows = [(k, prose(k % 20, 60)) for k in range(200)] + [(300, prose(5, 1300)), (301, "uno dos tres " * 20), (302, "uno dos tres " * 9)]
+    docs = documents(spark, rows)
+    counts = hidden_markov.word_counts(docs, "text")
+    known, model = hidden_markov.train(docs, "text", counts)
+    share = hidden_markov._normal(known.n_class + 0.01)
+    made = hidden_markov.training_sequences(docs, "text", spark.sparkContext.broadcast(known)).cache()
+    held = [(r["first"], np.frombuffer(r["classes"], "<u2").astype(np.int64)) for r in made.collect()]
+    starts, moves, emits, like = hidden_markov.expected_counts([h[1] for h in held], [h[0] for h in held], model)
+    words = sum(len(x.split()) + 1 for _, x in rows)
+    assert np.allclose([starts.sum(), emits.sum(), moves.sum()], [len(rows), words, words - len(rows)], rtol=1e-4)
+    after, before = hidden_markov.baum_welch(made, model, share)
+    assert np.isclose(before, like, rtol=1e-5)
+    gain = hidden_markov.baum_welch(made, after, share)[1] - before
+    assert gain <= 1.1 * hidden_markov.SETTLED * abs(before)

@@ -6,8 +6,8 @@ whole training text, so the model gives every text a probability, however many w
 
     P(text) = P(classes of the words and the end | model) * product of P(word | class)
 
-The model starts from a fit on a bounded sample; then every pass of Baum-Welch runs over the
-whole training text, its expected counts are made in each partition and added up. The likelihood of
+The model starts from random states; every pass of Baum-Welch runs over the whole training text, its
+expected counts are made in each partition and added up, until the likelihood settles. The likelihood of
 a sequence comes exactly from the forward recursion, scaled in each step.
 """
 
@@ -26,8 +26,10 @@ STATES = 8
 OWN_CLASSES, TAILS = 8192, 2048
 #: Words whose counts tasks have at hand; the rest are looked up by a join.
 AT_HAND = 1 << 17
-#: Words in a training sequence (longer texts are several), sequences of the first fit, its rounds, and passes over all.
-WINDOW, SAMPLE, SAMPLE_ROUNDS, PASSES = 512, 1200, 25, 3
+#: Words in a training sequence (longer texts are several).
+WINDOW = 512
+#: The likelihood has settled if a pass raises its logarithm by at most this part.
+SETTLED = 1e-4
 #: Words whose forward recursion runs at the same time, and different words counted before they are handed on.
 TOGETHER, COUNTED = 600_000, 200_000
 
@@ -116,7 +118,8 @@ def model_of(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.nd
 def expected_counts(rows: list[np.ndarray], firsts: list[bool], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch: expected starts, moves and emissions of sequences of classes, and their log likelihood.
 
-    A sequence that continues a text starts as states are spread overall.
+    A sequence that continues a text starts as states are spread overall, and with the last word of
+    the one before: that word is counted there, the move from it here.
     """
     order = np.argsort([-len(r) for r in rows], kind="stable")
     size = np.array([len(rows[k]) for k in order])
@@ -148,27 +151,21 @@ def expected_counts(rows: list[np.ndarray], firsts: list[bool], model: Model) ->
             beta[:a] = onward @ move.T
     starts += gamma[0][first].sum(axis=0)
     inside = np.arange(steps)[:, None] < size
+    inside[0] &= first
     flat, weight = seen[inside], gamma[inside].astype(np.float64)
     for k in range(states):
         counts[k] = np.bincount(flat, weight[:, k], model.emit.shape[1])
     return starts, moves * model.move, counts, float(np.log10(scale[inside].astype(np.float64)).sum())
 
 
-def _first_model(sample: list[np.ndarray], firsts: list[bool], share: np.ndarray) -> Model:
-    """A fit on the sample, from a random state for each sequence."""
-    random = np.random.default_rng(_SEED)
-    emit = random.random((STATES, len(share))) * share
-    for row in sample:
-        emit[random.integers(STATES)] += np.bincount(row, minlength=len(share))
-    model = model_of(np.ones(STATES), np.ones((STATES, STATES)) + 40 * np.eye(STATES), emit, share)
-    for _ in range(SAMPLE_ROUNDS if sample else 0):
-        starts, moves, counts, _ = expected_counts(sample, firsts, model)
-        model = model_of(starts, moves, counts, share)
-    return model
+def _first_model(share: np.ndarray) -> Model:
+    """Random states: each prefers classes of its own, however large the corpus is."""
+    emit = np.random.default_rng(_SEED).random((STATES, len(share))) * share
+    return model_of(np.ones(STATES), np.ones((STATES, STATES)) + 40 * np.eye(STATES), emit * len(share), share)
 
 
 def training_sequences(docs: DataFrame, text: str, known) -> DataFrame:
-    """`first, classes` (16-bit numbers): the texts in windows of WINDOW words."""
+    """`first, classes` (16-bit numbers): the texts in windows of WINDOW words, behind the last word of the window before."""
 
     def start():
         w = known.value
@@ -177,7 +174,7 @@ def training_sequences(docs: DataFrame, text: str, known) -> DataFrame:
             out = []
             for x in columns[0]:
                 ids = class_ids(words(x), w).astype("<u2")
-                out += [(at == 0, ids[at : at + WINDOW].tobytes()) for at in range(0, len(ids), WINDOW)]
+                out += [(at == 0, ids[max(at - 1, 0) : at + WINDOW].tobytes()) for at in range(0, len(ids), WINDOW)]
             return list(zip(*out, strict=True)) if out else None
 
         return step
@@ -185,8 +182,11 @@ def training_sequences(docs: DataFrame, text: str, known) -> DataFrame:
     return map_columns(docs.select(F.col(text)), "first boolean, classes binary", start)
 
 
-def baum_welch(sequences: DataFrame, model: Model, share: np.ndarray) -> Model:
-    """One pass over all sequences: counts made in each partition, added up by Spark, a bounded table to the driver."""
+def baum_welch(sequences: DataFrame, model: Model, share: np.ndarray) -> tuple[Model, float]:
+    """One pass over all sequences: counts made in each partition, added up by Spark, a bounded table to the driver.
+
+    Returns the next model and the log likelihood under the given one.
+    """
     shared = sequences.sparkSession.sparkContext.broadcast(model)
     n_class = len(share)
 
@@ -195,7 +195,7 @@ def baum_welch(sequences: DataFrame, model: Model, share: np.ndarray) -> Model:
 
         def flush():
             if held:
-                made = expected_counts([np.frombuffer(c, "<u2").astype(np.int64) for _, c in held], [f for f, _ in held], shared.value)[:3]
+                made = expected_counts([np.frombuffer(c, "<u2").astype(np.int64) for _, c in held], [f for f, _ in held], shared.value)
                 sums[:] = [a + b for a, b in zip(sums, made, strict=True)] if sums else made
                 held.clear()
 
@@ -208,18 +208,18 @@ def baum_welch(sequences: DataFrame, model: Model, share: np.ndarray) -> Model:
             flush()
             if not sums:
                 return None
-            flat = np.concatenate([x.ravel() for x in sums])
+            flat = np.concatenate([np.ravel(x) for x in sums])
             at = np.flatnonzero(flat)
             return at.tolist(), flat[at].tolist()
 
         return step
 
     counted = map_columns(sequences, "cell int, n double", start, finish=True).groupBy("cell").agg(F.sum("n").alias("n"))
-    flat = np.zeros(STATES + STATES * STATES + STATES * n_class)
+    flat = np.zeros(STATES + STATES * STATES + STATES * n_class + 1)
     for r in counted.collect():
         flat[r["cell"]] = r["n"]
-    starts, moves, emits = np.split(flat, [STATES, STATES + STATES * STATES])
-    return model_of(starts, moves.reshape(STATES, STATES), emits.reshape(STATES, n_class), share)
+    starts, moves, emits = np.split(flat[:-1], [STATES, STATES + STATES * STATES])
+    return model_of(starts, moves.reshape(STATES, STATES), emits.reshape(STATES, n_class), share), float(flat[-1])
 
 
 def train(docs: DataFrame, text: str, counts: DataFrame) -> tuple[Words, Model]:
@@ -227,10 +227,12 @@ def train(docs: DataFrame, text: str, counts: DataFrame) -> tuple[Words, Model]:
     shared = docs.sparkSession.sparkContext.broadcast(known)
     sequences = stored(training_sequences(docs, text, shared), "sequences")
     share = _normal(known.n_class + 0.01)
-    chosen = sequences.orderBy(F.crc32("classes"), "classes").limit(SAMPLE).collect()
-    model = _first_model([np.frombuffer(r["classes"], "<u2").astype(np.int64) for r in chosen], [r["first"] for r in chosen], share)
-    for _ in range(PASSES):
-        model = baum_welch(sequences, model, share)
+    model, before = baum_welch(sequences, _first_model(share), share)
+    while True:
+        model, like = baum_welch(sequences, model, share)
+        if not like - before > SETTLED * abs(like):
+            break
+        before = like
     return known, model
 
 
