@@ -1,6 +1,6 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, decontamination, fingerprints, hidden_markov, jaccard_join, language_id, secret_scans, sharding, token_alignment, token_files, url_filters
+from wardline.llm import bpe, decontamination, fingerprints, hard_negatives, hidden_markov, jaccard_join, language_id, secret_scans, sharding, token_alignment, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_decontamination": decontamination.op8_decontamination,
     "op9_bpe": bpe.op9_bpe,
     "op10_url_filters": url_filters.op10_url_filters,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_token_alignment": token_alignment.op12_token_alignment,
 }
 
@@ -20,4 +21,5 @@ ORACLES = {
     "op4_jaccard_join": jaccard_join.ORACLE_SQL,
     "op8_decontamination": decontamination.ORACLE_SQL,
     "op10_url_filters": url_filters.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
 }
