@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,3 +30,10 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to a new folder below the shared one and read again: cuts the lineage, and fixes what a rerun could change."""
+    folder = work_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
