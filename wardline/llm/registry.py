@@ -1,6 +1,6 @@
 """The queries of this folder, and the DuckDB counterparts of those that SQL can express."""
 
-from wardline.llm import bpe, decontamination, fingerprints, hard_negatives, hidden_markov, jaccard_join, language_id, secret_scans, sharding, token_alignment, token_files, url_filters
+from wardline.llm import bpe, decontamination, fingerprints, hard_negatives, hidden_markov, jaccard_join, language_id, mixing, secret_scans, sharding, token_alignment, token_files, url_filters
 
 QUERIES = {
     "op1_secret_scans": secret_scans.op1_secret_scans,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_url_filters": url_filters.op10_url_filters,
     "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     "op12_token_alignment": token_alignment.op12_token_alignment,
+    "op13_mixing": mixing.op13_mixing,
 }
 
 ORACLES = {
