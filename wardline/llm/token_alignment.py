@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from wardline.llm.chunks import load_vocabulary, tokenizer_path
+from wardline.llm.chunks import kept, load_vocabulary, tokenizer_path
 from wardline.llm.tasks import map_columns, most_frequent, read, stored
 
-#: Aligned words that a task keeps before it starts afresh (some 350 bytes each).
+#: Aligned words that a Python worker keeps before it starts afresh (some 350 bytes each).
 CACHED = 250_000
 #: Links of a group up to which they are formed one by one.
 LARGE = 256
@@ -238,9 +238,11 @@ def align(docs: DataFrame, file_a: str, model_b: str, key: str = "doc_id", text:
         model = f.read()
     vocabulary = load_vocabulary(file_a)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.text, vocabulary.tokens, model))
+    name = hashlib.sha256(vocabulary.text.encode() + model).hexdigest()
 
     def start():
-        aligner = Aligner(Ends(*shared.value))
+        # Words that a task has aligned serve the next task of its worker.
+        aligner = kept(f"aligner {name}", lambda: Aligner(Ends(*shared.value)))
 
         def step(columns):
             ids, texts = columns
