@@ -201,7 +201,7 @@ def plain_taken(rows, target, size, place, block, seed):
     """Words of one source that the mix takes, word by word. `rows`: (key, size)."""
     stream = [key for key, n in sorted(rows, key=lambda r: _bucket(r[0], seed)) for _ in range(n)]
     blocks = [stream[at : at + block] for at in range(0, len(stream), block)]
-    wanted, taken, turn = round(target), Counter(), 0
+    wanted, taken, turn = math.floor(target + 0.5), Counter(), 0
     while wanted > 0:
         order = sorted(range(len(blocks)), key=lambda b: swapped(b, len(blocks), seed, Long(place), Long(turn)))
         for b in order:
@@ -265,7 +265,7 @@ def test_mix_of_many_sources_and_odd_rows(spark, monkeypatch, tmp_path):
     odd = documents(spark, odd_texts(), more=True)
     rows = mixing.mix(odd).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(r[0]) for r in odd_texts())
-    assert sum(d.words for r in rows for d in r.draws) == round(1.5 * sum(r.size for r in rows))
+    assert sum(d.words for r in rows for d in r.draws) == math.floor(1.5 * sum(r.size for r in rows) + 0.5)
     assert mixing.mix(documents(spark, [])).collect() == []
     wordless = mixing.mix(documents(spark, [(1, None), (2, " ")])).collect()
     assert [(r.size, r.target, r.draws) for r in wordless] == [(0, 0.0, [])] * 2
@@ -273,7 +273,7 @@ def test_mix_of_many_sources_and_odd_rows(spark, monkeypatch, tmp_path):
     mixing.write_mix(unique, str(tmp_path / "mix"), block=16, shards=4)
     written = spark.read.parquet(str(tmp_path / "mix")).collect()
     assert {r.shard for r in written} == {0, 1, 2, 3} and all(len(r.text.split()) == r.words for r in written)
-    assert sum(r.words for r in written) == round(1.5 * sum(50 + k for k in range(30)))
+    assert sum(r.words for r in written) == math.floor(1.5 * sum(50 + k for k in range(30)) + 0.5)
 
 
 def test_hypergeometric_draws(spark):
