@@ -139,3 +139,56 @@ def test_more_grants_never_deny(spark, tables):
     )
     assert all(many[i] for i, allowed in few.items() if allowed)
     assert sum(many.values()) > sum(few.values())
+
+
+def _many_patterns(rng, count):
+    """Grants of one user, nearly all of them patterns, below one database and many tables."""
+    rows = [{"user_name": "ann", "db": rng.choice(["d", "d*", "e"]), "tbl": f"t{k}*", "col": rng.choice(["*", "a*", "b", None]), "access": "select"} for k in range(count)]
+    return rows + [{"user_name": "ann", "db": "d", "tbl": "x*", "col": f"c{k}*", "access": "select"} for k in range(50)]
+
+
+def _asked_tables(rng, count):
+    names = [f"t{rng.randrange(count * 2)}{rng.choice(['', '_x'])}" for _ in range(300)] + ["x1", "y"]
+    return [(k, "ann", "SELECT", rng.choice(["TABLE", "COLUMN"]), rng.choice(["d", "dd", "e", "f"]), t, None, rng.choice(["a", "ab", "b", "c7", "c700"])) for k, t in enumerate(names)]
+
+
+def _by_prefixes(grants, requests):
+    """Who is allowed what, by looking up the grants of each prefix of the table."""
+    by_table = {}
+    for g in grants:
+        by_table.setdefault(g["tbl"][:-1], []).append(g)
+    return {r[0]: any(_covers(g, r) for n in range(len(r[5]) + 1) for g in by_table.get(r[5][:n], [])) for r in requests}
+
+
+def test_ten_thousand_patterns_of_one_user(spark, tables):
+    rng = random.Random(21)
+    grants, requests = _many_patterns(rng, 10_000), _asked_tables(rng, 10_000)
+    wanted = _by_prefixes(grants, requests)
+    assert 50 < sum(wanted.values()) < 250
+    reqs, held = spark.createDataFrame(requests, REQUESTS), tables.grants(*grants)
+    assert not broadcastable(held)
+    assert dict(match_grants(reqs, held).select("id", "allowed").collect()) == wanted
+
+
+def test_the_walk_meets_only_children_of_nodes_it_reached(spark, tables):
+    """What a join of the walk puts out does not grow with the patterns a user has elsewhere."""
+    requests = spark.createDataFrame([(0, "ann", "SELECT", "COLUMN", "d", "t5_x", None, "a")], REQUESTS)
+    most = []
+    for count in (100, 3000):
+        grants = tables.grants(*[{"db": "d", "tbl": f"t{k}*", "col": "a*", "access": "select"} for k in range(count)], *[{"db": f"e{k}*", "tbl": f"{'u' * (k % 40)}*", "access": "select"} for k in range(count)])
+        answered = match_grants(requests, grants, limit=0)
+        assert [r.allowed for r in answered.collect()] == [True]
+        nodes, rows = [answered._jdf.queryExecution().executedPlan()], []
+        while nodes:
+            node = nodes.pop()
+            if hasattr(node, "finalPhysicalPlan") and "AdaptiveSparkPlan" in node.getClass().getSimpleName():
+                nodes.append(node.finalPhysicalPlan())
+                continue
+            children, metrics = node.children(), node.metrics()
+            nodes += [children.apply(k) for k in range(children.size())]
+            if "QueryStage" in node.getClass().getSimpleName():
+                nodes.append(node.plan())
+            if "Join" in node.getClass().getSimpleName() and metrics.contains("numOutputRows"):
+                rows.append(metrics.apply("numOutputRows").value())
+        most.append(max(rows))
+    assert most[0] == most[1] <= 10

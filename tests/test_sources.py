@@ -174,3 +174,17 @@ def test_live_log_reloads_the_inventory(spark, tables, tmp_path):
     )
     query.awaitTermination()
     assert seen and {r.column_name for r in spark.read.parquet(str(tmp_path / "audit")).collect()} <= {"p", "q"}
+
+
+def test_a_stream_with_many_patterns_is_judged_by_batches(spark, tables, tmp_path):
+    stmts, rels = tables.statements(*[{"command": "Query"}] * 40), tables.relations(*[{"stmt_id": k, "tbl": f"t{k * 500}_x", "projected": ["a"]} for k in range(40)])
+    requests = _governance(tables, stmts, rels).requests
+    requests.write.parquet(str(tmp_path / "requests"))
+    stream = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "requests"))
+    grants = tables.grants(*[{"db": "d", "tbl": f"t{k}_*", "access": "select"} for k in range(10_000)])
+    with pytest.raises(ValueError, match="audit_stream"):
+        authorize_stream(stream, grants)
+    query = audit_stream(stream, str(tmp_path / "audit"), str(tmp_path / "checkpoint"), interval=None, load_grants=lambda session: grants)
+    query.awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "audit")).select("stmt_id", "allowed").collect()
+    assert sorted(map(tuple, found)) == [(k, k * 500 < 10_000) for k in range(40)]

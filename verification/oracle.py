@@ -321,6 +321,14 @@ FROM (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, user_name, tbl, col
 
 _LATER = [(name, _PLAIN_GRANTS if name == "grants" else sql) for name, sql in MATRIX]
 
+# A grant stands in a version unless their numbers add up to a multiple of three; a statement falls under the last version that began by then.
+_AS_OF = [("versions", R.VERSIONS), ("under", "SELECT s.stmt_id, v.ver FROM statements s ASOF LEFT JOIN versions v ON s.ts >= v.valid_from")]
+_AT_THE_TIME = DECISIONS.replace("FROM fanned r", "FROM (SELECT f.*, u.ver FROM fanned f JOIN under u ON u.stmt_id = f.stmt_id) r").replace(
+    "FROM grants g WHERE ", "FROM grants g WHERE (g.gid + r.ver) % 3 <> 0 AND "
+)
+_HISTORIC = [(name, R.NUMBERED_GRANTS if name == "grants" else sql) for name, sql in MATRIX] + _AS_OF
+_HISTORIC_STEPS = [(name, _AT_THE_TIME if name == "decisions" else sql) for name, sql in _STEPS[:-1]]
+
 ORACLES = {
     "denied_selects": _query(SIMPLE, "SELECT v.stmt_id, v.user_name, v.message FROM verdicts v JOIN statements s ON s.stmt_id = v.stmt_id WHERE s.command = 'Query' AND NOT v.allowed", "verdicts"),
     "op_classification": _query(MATRIX, "SELECT stmt_id, command, cmd AS target_command, checked AS objects_checked, op FROM ops", "ops"),
@@ -338,6 +346,7 @@ ORACLES = {
     "statement_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
     "shuffled_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
     "simple_verdicts": _query(SIMPLE, "SELECT * FROM verdicts", "verdicts"),
+    "verdicts_as_of": _with(*_HISTORIC, *_HISTORIC_STEPS) + " SELECT * FROM verdicts",
     "stream_verdicts": _query(MATRIX, "SELECT * FROM verdicts", "verdicts"),
     "audit_rows": _query(MATRIX, "SELECT * FROM audit", "audit"),
     "audit_sink": _query(MATRIX, "SELECT day, user_name, action, allowed, count(*) AS n FROM audit GROUP BY day, user_name, action, allowed", "audit"),

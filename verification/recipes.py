@@ -158,3 +158,14 @@ SELECT e.event_id AS stmt_id, concat('u', CAST(e.user_id % 20 AS STRING)) AS use
   WHEN 6 THEN concat('s3://data/', t.tbl)
   ELSE concat('hdfs://nn/data/tpch/', t.tbl, '/extra') END AS path
 FROM events e JOIN {TABLES} ON e.user_id % 8 = t.i"""
+
+
+# Times at which policies change: those of some events, so that a statement may fall on a change.
+VERSIONS = "SELECT CAST(floor(event_id / 499) AS BIGINT) AS ver, ts AS valid_from FROM events WHERE event_id % 499 = 5"
+
+# Grants with a number that says in which versions they stand: not in every third.
+NUMBERED_GRANTS = f"""
+SELECT *, CAST(substr(user_name, 2) AS BIGINT) + length(concat_ws('/', db, tbl, col, udf, access)) AS gid FROM ({MIXED_GRANTS}) m"""
+SNAPSHOTS = """
+SELECT g.user_name, g.db, g.tbl, g.col, g.udf, g.access, v.valid_from
+FROM versions v JOIN (VALUES (0,1),(0,2),(1,0),(1,1),(2,0),(2,2)) AS h(m, r) ON v.ver % 3 = h.m JOIN grants g ON g.gid % 3 = h.r"""

@@ -21,7 +21,7 @@ from wardline.session import work_folder
 from wardline.sources.audit import write_audit
 from wardline.sources.inventory import load_inventory
 from wardline.sources.logs import load_log, write_log
-from wardline.sources.policies import load_grants, snapshot_path, write_snapshot
+from wardline.sources.policies import load_grants, load_history, snapshot_path, write_snapshot, write_versions
 from wardline.streaming.live import audit_stream, authorize_stream, live_verdicts
 
 _REQUEST = ["stmt_id", "seq", "access", "object_type", *RESOURCE]
@@ -215,6 +215,16 @@ def simple_verdicts(spark, sf_dir):
     return simple(spark, sf_dir).verdicts.select(_VERDICT)
 
 
+def verdicts_as_of(spark, sf_dir):
+    """Each statement judged by the policies that held at its time, from a folder of versions."""
+    folder, events = work_folder(spark, "versions"), table(spark, sf_dir, "events")
+    grants = derive(spark, R.NUMBERED_GRANTS, supplier=table(spark, sf_dir, "supplier"), customer=table(spark, sf_dir, "customer"))
+    write_versions(derive(spark, R.SNAPSHOTS, versions=derive(spark, R.VERSIONS, events=events), grants=grants), folder)
+    versions, history = load_history(spark, folder)
+    judged = Governance(*matrix_log(spark, sf_dir), inventory(spark), history, R.CONFIGURED_EXCLUDES, versions=versions)
+    return judged.verdicts.select(_VERDICT)
+
+
 _AUDITED = [
     "stmt_id", "seq", "col_pos", "user_name", "client_ip", "action", "access", "object_type", "database", "table",
     "udf", "column_name", "allowed",
@@ -406,6 +416,7 @@ QUERIES = {
     "statement_verdicts": statement_verdicts,
     "shuffled_verdicts": shuffled_verdicts,
     "simple_verdicts": simple_verdicts,
+    "verdicts_as_of": verdicts_as_of,
     "stream_verdicts": stream_verdicts,
     "audit_rows": audit_rows,
     "audit_sink": audit_sink,

@@ -5,6 +5,7 @@ request match and nothing in it is narrower than the request; for the "any" toke
 inside the object is enough.
 """
 
+import sys
 from collections.abc import Sequence
 from functools import partial
 from typing import NamedTuple
@@ -24,6 +25,13 @@ _WHO = ["user_name", "token", "level"]
 # A question has names of its own: inside a subquery a name that both sides know is the inner one.
 _ASKING = ["q_user_name", "q_token", "q_level"]
 _QUESTION = [*_ASKING, "q1", "q2", "q3"]
+# Grants with a history hold from one version of the policies to another; a request is asked at one version.
+_VALID, _AT = ["since", "until"], "q_version"
+_FOREVER = 2**62
+
+
+def _question_of(df: DataFrame) -> list[str]:
+    return [*_QUESTION, _AT] if _AT in df.columns else _QUESTION
 
 
 # A pattern as the text to compare with, and the length of the prefix that counts (-1: the whole name).
@@ -59,25 +67,29 @@ def compile_grants(grants: DataFrame) -> DataFrame:
     """Grants as facts, one per token and level (D, T, C, F) of the requests they can answer.
 
     A fact has three keys (database; table or function; column), each a text `k` with a prefix
-    length `n`. Unused keys are the exact empty text.
+    length `n`. Unused keys are the exact empty text. Grants with a history (`since`, `until`) give facts
+    that hold as long.
     """
     udf = "udf" if "udf" in grants.columns else "CAST(NULL AS STRING)"
     patterns = {"db": "coalesce(db, '*')", "tbl": "coalesce(tbl, '*')", "col": "coalesce(col, '*')", "udf": udf}
+    valid = ["coalesce(since, 0L) AS since", f"coalesce(until, {_FOREVER}L) AS until"] if "since" in grants.columns else []
     known = grants.where("user_name IS NOT NULL AND access IS NOT NULL").selectExpr(
         "user_name",
+        *valid,
         f"IF(lower(access) = 'admin', '{ADMIN_TOKEN}', lower(access)) AS token",
         f"{udf} IS NULL AS on_tables",
         *[form.format(sql, name) for name, sql in patterns.items() for form in (_TEXT, _LENGTH)],
     )
     facts = ", ".join(map(_fact, _FACTS.strip().splitlines()))
-    return known.selectExpr("user_name", f"inline(array_compact(array({facts})))")
+    return known.selectExpr("user_name", *(_VALID if valid else []), f"inline(array_compact(array({facts})))")
 
 
 def with_question(reqs: DataFrame) -> DataFrame:
-    """Adds the question a request puts to the grants: who, with which token, on which level and names."""
+    """Adds the question a request puts to the grants: who, with which token, on which level and names, and at which version, if it has one."""
     column = "column_name" if "column_name" in reqs.columns else "column"
     return reqs.select(
         "*",
+        *([F.col("version").alias(_AT)] if "version" in reqs.columns else []),
         F.expr("user_name AS q_user_name"),
         X.access_token().alias("q_token"),
         F.expr("""
@@ -129,7 +141,7 @@ def answer_by_broadcast(questions: DataFrame, facts: DataFrame, hint: bool = Tru
     """Adds `allowed` by hash lookups in broadcast facts; the questions are not moved.
 
     Without the hint the same lookups are joins on equal keys that Spark may shuffle, for streams with
-    facts of any size.
+    facts of any size of which each user has few patterns to try.
 
     Facts on exact names are found by name, facts on an exact table by table, and only those with a
     pattern for database or table are tried in turn.
@@ -137,6 +149,9 @@ def answer_by_broadcast(questions: DataFrame, facts: DataFrame, hint: bool = Tru
     who = [F.col(q).outer() == F.col(c) for q, c in zip(_ASKING, _WHO)]
     same = {i: F.col(f"q{i}").outer() == F.col(f"k{i}") for i in (1, 2, 3)}
     fixed_table, fixed_column = (F.col("n1") == -1) & (F.col("n2") == -1), F.col("n3") == -1
+    if "since" in facts.columns:
+        at = F.col(_AT).outer()
+        who += [F.col("since") <= at, at < F.col("until")]
 
     def some(part, *conditions):
         found = F.broadcast(part) if hint else part
@@ -152,36 +167,52 @@ def answer_by_broadcast(questions: DataFrame, facts: DataFrame, hint: bool = Tru
 
 
 def answer_by_shuffle(questions: DataFrame, facts: DataFrame) -> DataFrame:
-    """Adds `allowed` for grants of any size, by equal keys only.
+    """Adds `allowed` for grants of any size, by a walk down the trie of the facts.
 
-    Requests collapse to distinct questions first. A question is cut to each combination of prefix
-    lengths its user's facts have and looked up as a whole; the answers then go back to the requests.
+    The nodes of the trie are what facts say of a database, then of a table or function, then of a
+    column. Requests collapse to distinct questions first. A question comes to the roots of its user,
+    token and level; at each node it reaches it is cut to the lengths of prefixes that this node's
+    children have, and looked up among them by equal keys. So it meets only children of nodes that
+    hold it, however many patterns its user has elsewhere. The answers then go back to the requests.
     Hot users and questions are left to AQE, which splits what is measured to be large.
     """
-    facts = facts.distinct()
-    distinct = questions.select(*_QUESTION).where("q_level IS NOT NULL").distinct()
-    lengths = facts.select(*_WHO, "n1", "n2", "n3").distinct().withColumnsRenamed(dict(zip(_WHO, _ASKING)))
-    cut = distinct.join(lengths, _ASKING)
+    known = facts.distinct().withColumnsRenamed(dict(zip(_WHO, _ASKING)))
+    asked = _question_of(questions)
+    reached, path = questions.select(*asked).where("q_level IS NOT NULL").distinct(), list(_ASKING)
     for i in (1, 2, 3):
         value, n = F.col(f"q{i}"), F.col(f"n{i}")
-        cut = cut.withColumn(f"k{i}", F.when(n < 0, value).when(F.length(value) >= n, F.left(value, n)))
-    known = facts.withColumnsRenamed(dict(zip(_WHO, _ASKING)))
-    held = cut.join(known, known.columns, "left_semi").select(*_QUESTION).distinct()
-    answered = questions.join(held.withColumn("allowed", F.lit(True)), _QUESTION, "left")
+        # The lengths at a node are bounded by the longest name, whatever the number of its children.
+        nodes = known.groupBy(*path).agg(F.collect_set(f"n{i}").alias("lengths"))
+        cut = F.when(n < 0, value).when(F.length(value) >= n, F.left(value, n))
+        reached = reached.join(nodes, path).withColumn(f"n{i}", F.explode("lengths")).drop("lengths").withColumn(f"k{i}", cut).where(f"k{i} IS NOT NULL")
+        path += [f"k{i}", f"n{i}"]
+    a, b = reached.alias("a"), known.alias("b")
+    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in path]
+    if "since" in facts.columns:
+        same += [F.col("b.since") <= F.col(f"a.{_AT}"), F.col(f"a.{_AT}") < F.col("b.until")]
+    held = a.join(b, same, "left_semi").select(*asked).distinct()
+    answered = questions.join(held.withColumn("allowed", F.lit(True)), asked, "left")
     return answered.withColumn("allowed", F.coalesce("allowed", F.lit(False)))
 
 
 def match_grants(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
     """`reqs` with `allowed`, null where the request has no level to be asked on (a check without a result).
 
-    The grants are measured first; both ways give the same answers.
+    The grants are measured first; both ways give the same answers. A stream cannot walk down the
+    trie, as it may not bring its rows together again: with more patterns to try than the bound it is
+    refused, and `audit_stream` with `load_grants` judges its batches. With a history of grants the requests carry the `version` they are judged at.
     """
-    if broadcastable(grants, **sizes):
-        answer = answer_by_broadcast
+    if ("since" in grants.columns) != ("version" in reqs.columns):
+        raise ValueError("grants with a history need requests with a version, and the other way round")
+    if not reqs.isStreaming:
+        answer = answer_by_broadcast if broadcastable(grants, **sizes) else answer_by_shuffle
+    elif broadcastable(grants, **{**sizes, "limit": sys.maxsize}):
+        answer = partial(answer_by_broadcast, hint=broadcastable(grants, **sizes))
     else:
-        answer = partial(answer_by_broadcast, hint=False) if reqs.isStreaming else answer_by_shuffle
-    answered = answer(with_question(reqs), compile_grants(grants))
-    return answered.withColumn("allowed", F.when(F.col("q_level").isNotNull(), F.col("allowed"))).drop(*_QUESTION)
+        raise ValueError("these grants have too many patterns to be tried by a stream: give them to audit_stream, which judges by batches")
+    questions = with_question(reqs)
+    answered = answer(questions, compile_grants(grants))
+    return answered.withColumn("allowed", F.when(F.col("q_level").isNotNull(), F.col("allowed"))).drop(*_question_of(questions))
 
 
 def on_null(allowed="allowed", verdict: bool = True) -> Column:

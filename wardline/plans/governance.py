@@ -9,12 +9,17 @@ from wardline.functions.expressions import guard_message, show_all_columns
 from wardline.operators.classify import classify_operation
 from wardline.operators.decide import audit_rows, decide, statement_verdict
 from wardline.operators.guards import excluded, excluded_keys, visible_tables
+from wardline.operators.history import as_of
 from wardline.operators.objects import build_objects
 from wardline.operators.requests import build_requests
 
 
 class Governance:
-    """A log, its catalog and the grants; every property of it is a lazy DataFrame."""
+    """A log, its catalog and the grants; every property of it is a lazy DataFrame.
+
+    With `versions`, `grants` is a history (`since`, `until`), and each statement is judged by what held
+    at its time. Listings show what holds now.
+    """
 
     def __init__(
         self,
@@ -28,6 +33,7 @@ class Governance:
         unresolved_with_db: bool = False,
         bucketed: bool = False,
         null_allows: bool = True,
+        versions: DataFrame | None = None,
         **sizes,
     ):
         self.inv, self.grants, self.null_allows, self.sizes = inv, grants, null_allows, sizes
@@ -35,6 +41,8 @@ class Governance:
         self.classified = classify_operation(stmts)
         self.objects = build_objects(self.classified, rels, inv, unresolved_with_db, bucketed)
         self.requests = build_requests(self.objects, show_all_columns(show_columns_option), cluster)
+        if versions is not None:
+            self.requests = as_of(self.requests, versions)
         self._decisions = None
 
     @property
@@ -65,4 +73,5 @@ class Governance:
     def listings(self) -> DataFrame:
         """What SHOW TABLES shows to each user of the database asked about."""
         asking = self.classified.where(F.col("command") == "ShowTablesCommand")
-        return visible_tables(self.inv, self.grants, asking.select("user_name", "db"))
+        held = self.grants.where("until IS NULL") if "until" in self.grants.columns else self.grants
+        return visible_tables(self.inv, held, asking.select("user_name", "db"))

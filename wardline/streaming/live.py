@@ -25,7 +25,8 @@ def read_live(spark: SparkSession, path: str, files_per_trigger: int | None = No
 def authorize_stream(stream_reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
     """Decisions on a stream of requests with fixed grants: a stateless stream-static join.
 
-    Grants of any size will do: what is measured to be too big for a broadcast is joined by shuffle.
+    Grants of any number of bytes will do, as long as each user has few patterns to try; `audit_stream`
+    with `load_grants` takes grants of any kind.
     """
     return decide(stream_reqs, grants, **sizes)
 
@@ -36,14 +37,20 @@ def _start(stream: DataFrame, handle, checkpoint: str, interval: str | None) ->
     return writer.trigger(**trigger).start()
 
 
-def audit_stream(decisions: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL) -> StreamingQuery:
+def audit_stream(
+    decisions: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL,
+    load_grants: Callable[[SparkSession], DataFrame] | None = None, **settings,
+) -> StreamingQuery:
     """Adds audit rows as they come. A repeated batch replaces itself; another checkpoint is another run.
 
-    The decisions of a statement must arrive together, as they do when its requests do.
+    With `load_grants` the stream is one of requests, decided batch by batch with freshly loaded grants
+    of any size. The decisions of a statement must arrive together, as they do when its requests do.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        write_audit(audit_rows(batch), path, batch_id, stream_run_id(batch.sparkSession, checkpoint))
+        spark = batch.sparkSession
+        decided = decide(batch, load_grants(spark), **settings) if load_grants else batch
+        write_audit(audit_rows(decided), path, batch_id, stream_run_id(spark, checkpoint))
 
     return _start(decisions, record, checkpoint, interval)
 
