@@ -25,7 +25,7 @@ SHARE, MOST = 150, 2
 #: Words in a block; output shards.
 BLOCK, SHARDS = 1024, 64
 #: Rows of a source that one task lays one behind the other.
-ROWS_A_BUCKET = 20_000
+ROWS_A_BUCKET = 4096
 #: Nodes of the tree hold a quota for each of so many groups of sources, whose blocks are permuted together.
 STRATA = 1024
 #: Rounds of a permutation.
