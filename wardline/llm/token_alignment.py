@@ -25,8 +25,8 @@ from wardline.llm.tasks import map_columns, most_frequent, read, stored
 CACHED = 250_000
 #: Links of a group up to which they are formed one by one.
 LARGE = 256
-#: Characters of new words that are aligned in one go.
-AT_ONCE = 200_000
+#: Characters of new words that are aligned in one go; the tokenizers are slower on longer texts.
+AT_ONCE = 8_000
 #: The most frequent pairs of ids, whose counts are broadcast; counts of all others come by a join.
 FREQUENT = 1 << 17
 
@@ -94,8 +94,8 @@ class Ends:
             points = np.frombuffer(raw, np.uint8)
             ends = np.append(np.flatnonzero((points & 0xC0) != 0x80), len(raw))[ends]
         pieces = self.b.encode(text, return_type="proto", num_threads=1).pieces
-        b = np.array([p.id for p in pieces], np.int64)
-        ends_b = np.array([p.end for p in pieces], np.int64) + 1
+        b, ends_b = np.array([x for p in pieces for x in (p.id, p.end)], np.int64).reshape(-1, 2).T
+        ends_b = ends_b + 1
         if b"".join([self.bytes_a[i] for i in a.tolist()]) != raw or b"".join([self.bytes_b[i] for i in b.tolist()]) != raw:
             return None
         return a, self._refined(ends, self.size_a[a]), b, self._refined(ends_b, self.size_b[b])
