@@ -18,11 +18,11 @@ from wardline.operators.requests import RESOURCE, fan_out_columns, with_access
 from wardline.plans.governance import Governance
 from wardline.schemas import RELATIONS, STATEMENTS
 from wardline.session import work_folder
-from wardline.sources.audit import write_audit
+from wardline.sources.audit import commit_audit, compact_committed, read_audit, stage_audit, write_audit
 from wardline.sources.inventory import load_inventory
 from wardline.sources.logs import load_log, write_log
 from wardline.sources.policies import load_grants, load_history, snapshot_path, write_snapshot, write_versions
-from wardline.streaming.live import audit_stream, authorize_stream, live_verdicts
+from wardline.streaming.live import audit_open_statements, audit_stream, authorize_stream, live_verdicts
 
 _REQUEST = ["stmt_id", "seq", "access", "object_type", *RESOURCE]
 _OBJECT = ["stmt_id", "side", "ord"]
@@ -303,6 +303,33 @@ def stream_requests(spark, sf_dir):
     return spark.read.parquet(f"{folder}/audit").select(*_AUDITED, "cluster", "day")
 
 
+def stream_audit_in_parts(spark, sf_dir):
+    """Decisions in three batches, each with a part of every statement, then a row that only moves the clock."""
+    folder, decided = work_folder(spark, "parts"), matrix(spark, sf_dir).decisions.withColumn("ts", F.col("ts").cast("timestamp"))
+    decided.withColumn("part", F.pmod(F.xxhash64("stmt_id", "seq", "col_pos"), F.lit(3))).write.partitionBy("part").parquet(f"{folder}/all")
+    for part in range(3):
+        spark.read.schema(decided.schema).parquet(f"{folder}/all/part={part}").coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    end = table(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1000 DAYS")).cast("timestamp").alias("ts"))
+    clock = end.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in decided.schema.fields])
+    clock.coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    stream = spark.readStream.schema(decided.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
+    query = audit_open_statements(stream, f"{folder}/audit", f"{folder}/checkpoint", "500 days", interval=None, write=commit_audit)
+    query.awaitTermination()
+    return read_audit(spark, f"{folder}/audit").select(*_AUDITED, "day")
+
+
+def committed_audit(spark, sf_dir):
+    """An audit table written in batches, one of them twice and one never finished, then compacted; counted through its manifest."""
+    path, audited = work_folder(spark, "committed"), matrix(spark, sf_dir).audit
+    part = lambda k: audited.where(F.col("stmt_id") % 3 == k)
+    # Batch 1 is written with the wrong rows first.
+    for batch, k in ((0, 0), (1, 0), (1, 1), (2, 2)):
+        commit_audit(part(k), path, batch, "run")
+    stage_audit(part(2), path)
+    compact_committed(spark, path)
+    return read_audit(spark, path).groupBy("day", "user_name", "action", "allowed").agg(F.count("*").alias("n"))
+
+
 def checked_paths(spark, sf_dir):
     files = derive(
         spark, R.FILES, supplier=table(spark, sf_dir, "supplier"), nation=table(spark, sf_dir, "nation")
@@ -423,6 +450,8 @@ QUERIES = {
     "stream_audit": stream_audit,
     "stream_policy_change": stream_policy_change,
     "stream_requests": stream_requests,
+    "stream_audit_in_parts": stream_audit_in_parts,
+    "committed_audit": committed_audit,
     "uri_access": checked_paths,
     "visible_tables": listed_tables,
     "show_tables_listings": show_tables_listings,

@@ -248,6 +248,10 @@ def statement_verdict(classified: DataFrame, decisions: DataFrame, keep: Sequenc
     return verdicts.withColumn("allowed", F.col("denied_seq").isNull()).drop("denied_seq")
 
 
+#: Which decisions of a statement are recorded, by its first denied position.
+RECORDED = "denied_seq IS NULL OR (seq <= denied_seq AND denied_seq >= 0)"
+
+
 def audit_rows(decisions: DataFrame) -> DataFrame:
     """Decisions that are recorded: up to the first denied request, all of its columns included.
 
@@ -257,5 +261,4 @@ def audit_rows(decisions: DataFrame) -> DataFrame:
     read the same exchanges of the log, which Spark makes once.
     """
     denied = decisions.where(~F.col("allowed")).groupBy("stmt_id").agg(F.expr("min(seq) AS denied_seq"))
-    recorded = "denied_seq IS NULL OR (seq <= denied_seq AND denied_seq >= 0)"
-    return decisions.join(denied, "stmt_id", "left").where(recorded).drop("denied_seq", "reason")
+    return decisions.join(denied, "stmt_id", "left").where(RECORDED).drop("denied_seq", "reason")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wardline.functions import expressions as X
 from wardline.functions.rules import FILE_SCHEMES
 from wardline.operators.sizing import fits
+from wardline.session import written
 
 # Signs that globs use. Where they are escaped they stand as letters of a private area meanwhile.
 _SIGNS = "\\*?[]{},!^-"
@@ -127,29 +128,46 @@ def _glob_regex(name: Column) -> Column:
     return F.concat(F.lit(r"\A"), F.array_join(F.transform(signs, one), ""), F.lit(r"\z"))
 
 
-def _glob_summaries(globs: DataFrame, file_status: DataFrame) -> DataFrame:
-    """Summaries of what each distinct glob (`path`, and `name` without braces) matches.
+def _tree(file_status: DataFrame, wanted: DataFrame) -> DataFrame:
+    """`parent, name, node` of every folder and file below the folders in `wanted`, each once."""
+    parts = F.split("file", "/")
+    files = file_status.select(_strip(F.col("path")).alias("file")).distinct()
+    # A path that does not lie below a wanted folder gives no rows; the folders are few, one for each glob at most.
+    tops = files.select("file", F.explode(_ancestors(F.col("file"), False)).alias("node"))
+    below = tops.join(F.broadcast(wanted) if fits(wanted) else wanted, "node", "left_semi")
+    highest = below.groupBy("file").agg(F.min(F.length("node")).alias("top"))
+    depth = F.size(F.split(F.expr("left(file, top)"), "/"))
+    step = F.explode(F.transform(F.sequence(depth + 1, F.size(parts)), lambda n: F.struct(F.array_join(F.slice(parts, 1, n - 1), "/").alias("parent"), F.element_at(parts, n).alias("name"))))
+    return highest.select(step.alias("edge")).select("edge.*").distinct().withColumn("node", F.concat_ws("/", "parent", "name"))
 
-    A glob matches only nodes of its own depth below the folder before its first special part. Nodes
-    elsewhere go before anything is grouped; the others meet the glob by equal keys.
+
+def _glob_nodes(globs: DataFrame, file_status: DataFrame) -> DataFrame:
+    """`path, node`: the files and folders that each glob (`path`, and `name` without braces) matches.
+
+    Globs walk down the tree of folders, one part in each step, from the folder before their first
+    special part. A literal part is looked up by equal keys. Only a special part is compared with
+    names, the different names of the one folder it stands in, and once for all globs that have come
+    to this folder with this part.
     """
     parts = F.split("name", "/")
     literal = (F.array_position(F.transform(parts, lambda part: part.rlike(_SPECIAL)), True) - 1).cast("int")
-    keyed = globs.select(
-        "path", _shown(F.array_join(F.slice(parts, F.lit(1), literal), "/")).alias("parent"),
-        literal.alias("parent_depth"), F.size(parts).alias("depth"), _glob_regex(F.col("name")).alias("regex"),
-    )
-    # At most one row per depth of a path, each with at most as many cuts.
-    wanted = keyed.select("parent_depth", "depth").distinct().groupBy("depth").agg(F.collect_set("parent_depth").alias("cuts"))
-    nodes = _below(file_status).withColumn("depth", F.size(F.split("node", "/"))).join(F.broadcast(wanted), "depth")
-    placed = nodes.withColumn("parent_depth", F.explode("cuts")).withColumn(
-        "parent", F.array_join(F.slice(F.split("node", "/"), F.lit(1), F.col("parent_depth")), "/")
-    )
-    place = ["parent", "parent_depth", "depth"]
-    parents = keyed.select(*place).distinct()
-    placed = placed.join(F.broadcast(parents) if fits(parents) else parents, place, "left_semi")
-    met = _summarize(placed, [*place, "node"]).join(keyed, place).where(F.expr("node RLIKE regex"))
-    return _summarize(met, ["path"])
+    keyed = globs.select("path", parts.alias("parts"), literal.alias("done"), _shown(F.array_join(F.slice(parts, F.lit(1), literal), "/")).alias("node"))
+    keyed = written(keyed, "globs")
+    deepest = keyed.select(F.max(F.size("parts") - F.col("done"))).first()[0] or 0
+    tree = written(_tree(file_status, keyed.select("node").distinct()), "tree")
+    matched, walk = None, keyed
+    for _ in range(deepest):
+        at = walk.withColumn("part", F.element_at("parts", F.col("done") + 1))
+        asked = at.select(F.col("node").alias("parent"), "part").distinct()
+        special = F.col("part").rlike(_SPECIAL)
+        exact = asked.where(~special).withColumn("name", _shown(F.col("part"))).join(tree, ["parent", "name"])
+        within = asked.where(special).withColumn("regex", _glob_regex(F.col("part"))).join(tree, "parent").where(F.expr("name RLIKE regex"))
+        steps = exact.select("parent", "part", F.col("node").alias("next")).unionByName(within.select("parent", "part", F.col("node").alias("next")))
+        walk = at.withColumnRenamed("node", "parent").join(steps, ["parent", "part"]).select("path", "parts", (F.col("done") + 1).alias("done"), F.col("next").alias("node"))
+        ended = walk.where("done = size(parts)").select("path", "node")
+        matched = ended if matched is None else matched.unionByName(ended)
+        walk = walk.where("done < size(parts)")
+    return matched.distinct() if matched is not None else keyed.select("path", "node").where(F.lit(False))
 
 
 def _permits(user: Column, action: Column) -> Column:
@@ -168,11 +186,14 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     """
     checked = paths.where(X.in_fs_scheme("path", schemes)).withColumn("uri_action", X.uri_action())
     named = checked.withColumn("given", F.col("path")).withColumn("path", _strip(F.col("path")))
-    wanted = named.where("uri_action <> 'NONE'").select("path").distinct()
+    # Many statements name one path: what follows reads the different ones.
+    wanted = written(named.where("uri_action <> 'NONE'").select("path").distinct(), "paths")
     names = wanted.select("path", F.explode(_names(F.col("path"))).alias("name"))
     special = F.col("name").rlike(_SPECIAL)
 
     literal = names.where(~special).select("path", _strip(_shown(F.col("name"))).alias("node"))
+    matched = written(_glob_nodes(names.where(special), file_status), "matched")
+    literal = literal.unionByName(matched)
     # Parents are those of the path as it is written.
     upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), False)).alias("node"))
     # Many paths share their upper folders, so the nodes they meet are reduced to those first.
@@ -180,8 +201,7 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     exact = literal.join(reached, "node").select("path", *_SUMMARY)
     listed = reached.where(F.col("own").isNotNull()).select("node", "own")
     parents = upwards.join(listed, "node").groupBy("path").agg(F.max_by("own", F.length("node")).alias("parent"))
-    matches = exact.unionByName(_glob_summaries(names.where(special), file_status))
-    matches = _summarize(matches, ["path"]).select("path", F.struct(*_SUMMARY).alias("matched"))
+    matches = _summarize(exact, ["path"]).select("path", F.struct(*_SUMMARY).alias("matched"))
     found = matches.join(parents, "path", "full").select("path", F.coalesce("matched", "parent").alias("found"))
 
     answered = named.join(found, "path", "left").select("*", "found.*").withColumn("path", F.col("given"))

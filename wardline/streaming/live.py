@@ -3,9 +3,10 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.decide import audit_rows, decide
+from wardline.operators.decide import RECORDED, audit_rows, decide
 from wardline.plans.governance import Governance
 from wardline.schemas import LIVE_STATEMENTS
 from wardline.sources.audit import stream_run_id, write_audit
@@ -39,10 +40,12 @@ def _start(stream: DataFrame, handle, checkpoint: str, interval: str | None) ->
 
 def audit_stream(
     decisions: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL,
-    load_grants: Callable[[SparkSession], DataFrame] | None = None, **settings,
+    load_grants: Callable[[SparkSession], DataFrame] | None = None, write: Callable = write_audit, **settings,
 ) -> StreamingQuery:
     """Adds audit rows as they come. A repeated batch replaces itself; another checkpoint is another run.
 
+    `write` is `write_audit`, or `commit_audit` for a table whose readers see whole batches only.
+
     With `load_grants` the stream is one of requests, decided batch by batch with freshly loaded grants
     of any size. The decisions of a statement must arrive together, as they do when its requests do.
     """
@@ -50,11 +53,40 @@ def audit_stream(
     def record(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         decided = decide(batch, load_grants(spark), **settings) if load_grants else batch
-        write_audit(audit_rows(decided), path, batch_id, stream_run_id(spark, checkpoint))
+        write(audit_rows(decided), path, batch_id, stream_run_id(spark, checkpoint))
 
     return _start(decisions, record, checkpoint, interval)
 
 
+def close_statements(decisions: DataFrame, delay: str, at: str = "ts") -> DataFrame:
+    """The audit rows of a stream whose statements come in parts, over several batches and in any order.
+
+    All decisions of a statement have its time (`at`). A statement stays open until the watermark has
+    reached that time, `delay` behind the latest time seen; then the audit is cut after its first
+    denial, whichever batch that came in. State holds the least denied position of each open
+    statement, and its decisions one by one, not as a list. Parts that come later than the delay are
+    dropped, as are decisions without a time, which would never close. The last statements close when
+    later ones, or a row with nothing but a later time, move the watermark.
+    """
+    timed = decisions.withColumn(at, F.col(at).cast("timestamp")).where(F.col(at).isNotNull()).withWatermark(at, delay)
+    denied = timed.where(~F.col("allowed")).groupBy(F.col("stmt_id").alias("denied_stmt"), F.col(at).alias("denied_at")).agg(F.min("seq").alias("denied_seq"))
+    same = (F.col("stmt_id") == F.col("denied_stmt")) & (F.col(at) == F.col("denied_at"))
+    # Names both sides of the join, so that no row is dropped before it has moved the watermark.
+    cut = timed.join(denied, same, "left_outer").where("coalesce(stmt_id, denied_seq) IS NOT NULL").where(RECORDED)
+    return cut.drop("denied_stmt", "denied_at", "denied_seq")
+
+
+def audit_open_statements(
+    decisions: DataFrame, path: str, checkpoint: str, delay: str, interval: str | None = POLL_INTERVAL, write: Callable = write_audit, at: str = "ts",
+) -> StreamingQuery:
+    """Records the audit of statements that come in parts, as they close."""
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        write(batch, path, batch_id, stream_run_id(batch.sparkSession, checkpoint))
+
+    return _start(close_statements(decisions, delay, at), record, checkpoint, interval)
+
+
 def live_verdicts(
     live: DataFrame,
     inv: DataFrame | Callable[[SparkSession], DataFrame],
