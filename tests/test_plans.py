@@ -137,7 +137,7 @@ def test_asked_listings_come_in_first(spark, tables):
 
 
 def test_paths_are_one_lazy_plan(spark):
-    """No job is run for the log and nothing is written while the plan is built."""
+    """What is read again has been written before; the plan itself holds no write, and the log is read once."""
     files = spark.createDataFrame([("hdfs:/a/b/f", "u", "ALL")], "path string, owner string, others_action string")
     paths = spark.createDataFrame([("hdfs:/a/*/f", "LOAD", "u")], "path string, op string, user_name string")
     found = uri_access(paths, files)

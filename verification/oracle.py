@@ -273,13 +273,14 @@ _URI = f"""
 SELECT stmt_id, user_name, op, path, uri_action, allowed,
  CASE WHEN NOT allowed THEN concat('Permission denied: user [', user_name, '] does not have [', uri_action, '] privilege on [', path, ']') END AS message
 FROM (SELECT p.*, CASE WHEN p.uri_action = 'NONE' THEN true
+  WHEN p.rx IS NULL THEN false
   WHEN m.n_matches > 0 THEN m.all_permit
   ELSE coalesce((SELECT arg_max(n.owner = p.user_name OR n.others_action = 'ALL' OR (p.uri_action = 'READ' AND n.others_action = 'READ'), length(n.path))
    FROM files n WHERE starts_with(p.path, concat(n.path, '/'))), false) END AS allowed
  FROM paths p LEFT JOIN (
   SELECT q.path, q.user_name, q.uri_action, count(*) AS n_matches, bool_and(f.owner = q.user_name OR f.others_action = 'ALL' OR (q.uri_action = 'READ' AND f.others_action = 'READ')) AS all_permit
-  FROM (SELECT DISTINCT path, user_name, uri_action FROM paths) q JOIN files f
-   ON regexp_matches(f.path, concat('^', replace(replace(replace(q.path, '.', '[.]'), '*', '[^/]*'), '?', '[^/]'), '(/|$)'))
+  FROM (SELECT DISTINCT path, rx, user_name, uri_action FROM paths) q JOIN files f
+   ON regexp_matches(f.path, concat('^', q.rx, '(/|$)'))
   GROUP BY q.path, q.user_name, q.uri_action
  ) m ON m.path = p.path AND m.user_name = p.user_name AND m.uri_action = p.uri_action)"""
 

@@ -144,21 +144,41 @@ SELECT concat('hdfs://nn/data/tpch/', t.tbl, '/extra') AS path, concat('u', CAST
  CASE n.n_nationkey % 3 WHEN 0 THEN 'NONE' WHEN 1 THEN 'READ' ELSE 'ALL' END AS others_action
 FROM nation n JOIN {TABLES} ON n.n_nationkey = t.i"""
 
-# Paths that operations name: files, folders, patterns, missing ones with and without an existing parent.
+# Paths that operations name: files, folders, globs of all kinds, missing ones with and without an existing parent,
+# and globs that are broken. `rx` says as a regular expression what a path means, for DuckDB alone; null: broken.
+_AT = "'hdfs://nn/data/tpch/', t.tbl"
 PATHS = f"""
-SELECT e.event_id AS stmt_id, concat('u', CAST(e.user_id % 20 AS STRING)) AS user_name,
+SELECT stmt_id, user_name, op, path, CASE WHEN rx = '' THEN replace(replace(replace(path, '.', '[.]'), '*', '[^/]*'), '?', '[^/]') ELSE rx END AS rx
+FROM (SELECT e.event_id AS stmt_id, concat('u', CAST(e.user_id % 20 AS STRING)) AS user_name,
  CASE e.event_id % 5 WHEN 0 THEN 'LOAD' WHEN 1 THEN 'QUERY' WHEN 2 THEN 'CREATETABLE' WHEN 3 THEN 'ALTERTABLE_LOCATION' ELSE 'CREATEVIEW' END AS op,
- CASE CAST(floor(e.event_id / 5) AS BIGINT) % 8
-  WHEN 0 THEN concat('hdfs://nn/data/tpch/', t.tbl, '/day=', CAST(e.user_id % 25 AS STRING))
-  WHEN 1 THEN concat('hdfs://nn/data/tpch/', t.tbl, '/day=', CAST(e.user_id % 25 AS STRING), '/part-', CAST(e.event_id % 100 AS STRING))
-  WHEN 2 THEN concat('hdfs://nn/data/tpch/', t.tbl, '/day=*/part-', CAST(e.event_id % 10 AS STRING), '*')
-  WHEN 3 THEN concat('hdfs://nn/data/tpch/', t.tbl, '/day=', CAST(e.user_id % 10 AS STRING), '?')
-  WHEN 4 THEN concat('hdfs://nn/data/tpch/', t.tbl, '/extra/deep/', CAST(e.event_id AS STRING))
+ CASE CAST(floor(e.event_id / 5) AS BIGINT) % 16
+  WHEN 0 THEN concat({_AT}, '/day=', CAST(e.user_id % 25 AS STRING))
+  WHEN 1 THEN concat({_AT}, '/day=', CAST(e.user_id % 25 AS STRING), '/part-', CAST(e.event_id % 100 AS STRING))
+  WHEN 2 THEN concat({_AT}, '/day=*/part-', CAST(e.event_id % 10 AS STRING), '*')
+  WHEN 3 THEN concat({_AT}, '/day=', CAST(e.user_id % 10 AS STRING), '?')
+  WHEN 4 THEN concat({_AT}, '/extra/deep/', CAST(e.event_id AS STRING))
   WHEN 5 THEN concat('hdfs://nn/data/none/', CAST(e.event_id AS STRING))
   WHEN 6 THEN concat('s3://data/', t.tbl)
-  ELSE concat('hdfs://nn/data/tpch/', t.tbl, '/extra') END AS path
-FROM events e JOIN {TABLES} ON e.user_id % 8 = t.i"""
-
+  WHEN 7 THEN concat({_AT}, '/extra')
+  WHEN 8 THEN concat('hdfs://nn/data/tpch/{{', t.tbl, ',none}}/day=', CAST(e.user_id % 25 AS STRING))
+  WHEN 9 THEN concat('hdfs://nn/data/{{none/x,tpch/', t.tbl, '/day={{1{{0,1}},', CAST(e.user_id % 25 AS STRING), '}}}}/part-*')
+  WHEN 10 THEN concat({_AT}, '/day=[1', CAST(e.user_id % 10 AS STRING), ']/part-[0-4]*')
+  WHEN 11 THEN concat({_AT}, '/day=[!1-', CAST(2 + e.user_id % 7 AS STRING), ']')
+  WHEN 12 THEN concat({_AT}, '/e', chr(92), 'x*')
+  WHEN 13 THEN concat({_AT}, '/ext?a', chr(92), '*')
+  WHEN 14 THEN concat({_AT}, '/extra/{{a,b')
+  ELSE concat({_AT}, '/extra/[ab') END AS path,
+ CASE CAST(floor(e.event_id / 5) AS BIGINT) % 16
+  WHEN 8 THEN concat({_AT}, '/day=', CAST(e.user_id % 25 AS STRING))
+  WHEN 9 THEN concat({_AT}, '/day=(10|11|', CAST(e.user_id % 25 AS STRING), ')/part-[^/]*')
+  WHEN 10 THEN concat({_AT}, '/day=[1', CAST(e.user_id % 10 AS STRING), ']/part-[0-4][^/]*')
+  WHEN 11 THEN concat({_AT}, '/day=[^/1-', CAST(2 + e.user_id % 7 AS STRING), ']')
+  WHEN 12 THEN concat({_AT}, '/ex[^/]*')
+  WHEN 13 THEN concat({_AT}, '/ext[^/]a[*]')
+  WHEN 14 THEN CAST(NULL AS STRING)
+  WHEN 15 THEN CAST(NULL AS STRING)
+  ELSE '' END AS rx
+ FROM events e JOIN {TABLES} ON e.user_id % 8 = t.i) x"""
 
 # Times at which policies change: those of some events, so that a statement may fall on a change.
 VERSIONS = "SELECT CAST(floor(event_id / 499) AS BIGINT) AS ver, ts AS valid_from FROM events WHERE event_id % 499 = 5"

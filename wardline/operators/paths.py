@@ -106,7 +106,9 @@ def _names(path: Column) -> Column:
     braces = F.length(text) - F.length(F.replace(text, F.lit("{"), F.lit("")))
     written = F.when(braces > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(braces, F.lit(1))), F.array(text), opened)).otherwise(F.array(text))
     is_valid = lambda name: ~name.contains("{") & name.rlike(r"(?s)\A(?:[^\[]|\[[^\[\]/]+\])*\z")
-    return F.when(text.isNotNull() & F.forall(written, is_valid), F.array_distinct(written))
+    valid = F.when(text.isNotNull() & F.forall(written, is_valid), F.array_distinct(written))
+    # Most paths are no globs and escape nothing.
+    return F.when(path.rlike(r"[\\\[\]{}*?]"), valid).otherwise(F.array(path))
 
 
 _SPECIAL = r"[*?\[]"
@@ -186,16 +188,17 @@ def uri_access(paths: DataFrame, file_status: DataFrame, schemes=FILE_SCHEMES) -
     """
     checked = paths.where(X.in_fs_scheme("path", schemes)).withColumn("uri_action", X.uri_action())
     named = checked.withColumn("given", F.col("path")).withColumn("path", _strip(F.col("path")))
-    # Many statements name one path: what follows reads the different ones.
-    wanted = written(named.where("uri_action <> 'NONE'").select("path").distinct(), "paths")
-    names = wanted.select("path", F.explode(_names(F.col("path"))).alias("name"))
+    # Many statements name one path: what follows reads the different ones, with their names without braces.
+    wanted = named.where("uri_action <> 'NONE'").select("path").distinct()
+    spelled = written(wanted.select("path", F.explode_outer(_names(F.col("path"))).alias("name")), "paths")
+    names = spelled.where(F.col("name").isNotNull())
     special = F.col("name").rlike(_SPECIAL)
 
     literal = names.where(~special).select("path", _strip(_shown(F.col("name"))).alias("node"))
     matched = written(_glob_nodes(names.where(special), file_status), "matched")
     literal = literal.unionByName(matched)
-    # Parents are those of the path as it is written.
-    upwards = wanted.select("path", F.explode(_ancestors(F.col("path"), False)).alias("node"))
+    # Parents are those of the path as it is written; a path that is no valid glob has none.
+    upwards = names.select("path").distinct().select("path", F.explode(_ancestors(F.col("path"), False)).alias("node"))
     # Many paths share their upper folders, so the nodes they meet are reduced to those first.
     reached = folder_summaries(file_status, literal.select("node").unionByName(upwards.select("node")).distinct())
     exact = literal.join(reached, "node").select("path", *_SUMMARY)
