@@ -243,16 +243,17 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("cls", "comp")
 
 
-def _mixed(lists: DataFrame, labelled: DataFrame) -> DataFrame:
+def _mixed(lists: DataFrame, labelled: DataFrame, met: int) -> DataFrame:
     """The rows of lists whose classes are in several components, with `comp`, and `split` where a list is long.
 
-    All members of a list may make a pair with all; split, each makes a row for each of its next keys.
+    Lists of up to `met` classes are left out, as all their pairs have been looked at. All members of a list may make a pair with all; split, each makes a row for each of its next keys.
     """
     named = lists.join(labelled, "cls")
     ends = named.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), (F.count("*") * F.count("*") / 2 > LONG * F.sum(F.col("n") / 4 + 2)).alias("split")
+        F.min("comp").alias("low"), F.max("comp").alias("high"), (F.count("*") * F.count("*") / 2 > LONG * F.sum(F.col("n") / 4 + 2)).alias("split"),
+        F.count("*").alias("members"),
     )
-    return named.join(ends.where("low < high").select("key", "split"), "key")
+    return named.join(ends.where(f"low < high AND members > {met}").select("key", "split"), "key")
 
 
 #: Sizes of sets with a similarity of 0.8 or more.
@@ -306,7 +307,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     lists = first.select("key", "cls", F.col("key").alias("base"), F.lit(None).cast("long").alias("last"))
     later = None
     for depth in range(1, SPLITS + 2):
-        mixed = stored(_mixed(lists, labelled), "mixed")
+        # The one pair of a list of two has been held against its center; split lists have not.
+        mixed = stored(_mixed(lists, labelled, 2 if depth == 1 else 1), "mixed")
         met = _across(mixed.where(~F.col("split")) if depth <= SPLITS else mixed)
         later = met if later is None else later.unionByName(met)
         if depth > SPLITS or (long := mixed.where("split").drop("comp", "split", "n")).isEmpty():
