@@ -150,6 +150,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which no language is recognised; the others stay as they are."""
-    judged = docs.select("*", predict(docs, fit(docs)).alias("__language"))
+    """Drops the documents in which no language is recognised; the others stay as they are. Where nothing could be learned, all stay."""
+    model = fit(docs)
+    if not model.languages:
+        return docs
+    judged = docs.select("*", predict(docs, model).alias("__language"))
     return judged.where(F.col("__language.lang_pred") != UNKNOWN).select(*docs.columns)
