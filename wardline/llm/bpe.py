@@ -26,7 +26,7 @@ WORDS = 1 << 17
 #: Bytes up to which a word is merged by looking over all its pairs.
 LONG = 100
 #: Different words a task counts before it hands its counts on.
-COUNTED = 200_000
+COUNTED = 150_000
 _NONE = 1 << 60
 
 
@@ -262,22 +262,31 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", w
 
 
 def encoder(vocabulary: Vocabulary, compiled: bytes) -> Cached:
-    """Chunks by the lexicon; what it does not have is cut to pre-tokens, which it may have, or which are merged."""
-    lexicon, merger = mapped(compiled), Merger(vocabulary)
+    """Chunks by the lexicon; what it does not have is cut to pre-tokens, which it may have, or which are merged.
+
+    A chunk comes to its ids in decimal, comma-joined, and to what they decode to. Both are made once
+    for a chunk; texts join them. A chunk that decodes to itself is not held twice.
+    """
+    lexicon, merger, tokens = mapped(compiled), Merger(vocabulary), vocabulary.tokens
+    decimal = [str(i) for i in range(len(tokens))]
+
+    def shown(ids: list[int], chunk: str | None = None) -> tuple[str, str]:
+        back = b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
+        return ",".join(map(decimal.__getitem__, ids)), chunk if back == chunk else back
 
     def look_up(words: list[str]) -> list[list[int] | None]:
         return lexicon.outputs(lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]))
 
-    def encode_new(new: list[str]) -> list[list[int]]:
+    def encode_new(new: list[str]) -> list[tuple[str, str]]:
         out = look_up(new)
         cut = {c: pre_tokens(c) for c, ids in zip(new, out, strict=True) if ids is None}
         tokens = list({t for ts in cut.values() for t in ts})
         known = {t: ids for t, ids in zip(tokens, look_up(tokens), strict=True) if ids is not None}
         unseen = [t for t in tokens if t not in known]
         known.update(zip(unseen, merger.words([t.encode("utf-8", "surrogatepass") for t in unseen]), strict=True))
-        return [ids if ids is not None else [i for t in cut[c] for i in known[t]] for c, ids in zip(new, out, strict=True)]
+        return [shown(ids if ids is not None else [i for t in cut[c] for i in known[t]], c) for c, ids in zip(new, out, strict=True)]
 
-    return Cached(encode_new, vocabulary.added)
+    return Cached(encode_new, vocabulary.added, lambda k: shown([k]))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str = "text", with_ids: bool = False):
@@ -291,18 +300,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str =
     def start():
         v, lexicon = shared.value
         cached = kept(hashlib.sha256(lexicon).hexdigest(), lambda: encoder(v, lexicon))
-        tokens, decimal = v.tokens, [str(i) for i in range(len(v.tokens))]
 
         def step(texts):
             n, hashes, decoded, all_ids = [], [], [], []
-            for chunk_ids in cached.encode([t or "" for t in texts]):
-                ids = list(chain.from_iterable(chunk_ids))
-                n.append(len(ids))
-                hashes.append(hashlib.sha256(",".join(map(decimal.__getitem__, ids)).encode()).hexdigest())
-                back = b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
-                decoded.append(hashlib.sha256(back.encode()).hexdigest())
+            for parts in cached.encode([t or "" for t in texts]):
+                ids = ",".join([p[0] for p in parts])
+                n.append(ids.count(",") + 1 if ids else 0)
+                hashes.append(hashlib.sha256(ids.encode()).hexdigest())
+                decoded.append(hashlib.sha256("".join([p[1] for p in parts]).encode("utf-8", "replace")).hexdigest())
                 if with_ids:
-                    all_ids.append(np.array(ids, np.int32))
+                    all_ids.append(np.fromstring(ids, np.int32, sep=",") if ids else np.zeros(0, np.int32))
             return (n, hashes, decoded, all_ids) if with_ids else (n, hashes, decoded)
 
         return step

@@ -10,7 +10,7 @@ import regex
 
 #: How a byte-level BPE tokenizer of this kind splits a text (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries a Python worker keeps in a cache before it starts afresh.
+#: Entries that a Python worker keeps in a cache, in both halves of it.
 CACHED = 400_000
 
 _kept: dict[str, object] = {}
@@ -106,27 +106,28 @@ def pieces(text: str, added: dict[str, int]) -> list[tuple[str, int | None]]:
 
 
 class Cached:
-    """`encode_new` (a list of chunks to a list of id lists) behind a bounded cache.
+    """`encode_new` (a list of chunks to a list of what each comes to) behind a bounded cache.
 
-    The cache has two halves: when the younger one is full it becomes the older one, and what is asked
-    for again moves back to the younger, so that frequent chunks stay.
+    `special` gives what an added token comes to. The cache has two halves: when the younger one is full
+    it becomes the older one, and what is asked for again moves back to the younger, so that frequent
+    chunks stay.
     """
 
-    def __init__(self, encode_new, added: dict[str, int]):
-        self.encode_new, self.added, self.known, self.older = encode_new, added, {}, {}
+    def __init__(self, encode_new, added: dict[str, int], special=lambda k: [k]):
+        self.encode_new, self.added, self.special, self.known, self.older = encode_new, added, special, {}, {}
 
-    def encode(self, texts: list[str]) -> list[list[list[int]]]:
-        """For each text the ids of each of its chunks."""
+    def encode(self, texts: list[str]) -> list[list]:
+        """For each text what each of its chunks comes to."""
         cut = [[(chunks(p), special) for p, special in pieces(t, self.added)] for t in texts]
         if len(self.known) > CACHED // 2:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
         for c in {c for text in cut for p, _ in text for c in p}.difference(known):
-            if (ids := older.get(c)) is not None:
-                known[c] = ids
+            if (found := older.get(c)) is not None:
+                known[c] = found
             else:
                 new.append(c)
         for at in range(0, len(new), 20_000):
             block = new[at : at + 20_000]
             known.update(zip(block, self.encode_new(block), strict=True))
-        return [list(chain.from_iterable([*map(known.__getitem__, p), *([[special]] if special is not None else [])] for p, special in text)) for text in cut]
+        return [list(chain.from_iterable([*map(known.__getitem__, p), *([self.special(k)] if k is not None else [])] for p, k in text)) for text in cut]
