@@ -1,5 +1,6 @@
 """Order and text of objects, and masks on short values."""
 
+import bisect
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wardline.functions.masking import mask_columns
 from wardline.operators.display import order_objects, show_objects
+from wardline.operators.ranking import ranked
 
 SCHEMA = "obj_type string, db string, name string, part_keys array<string>, columns array<string>, action string"
 
@@ -64,3 +66,24 @@ def test_masks(spark, kind, long, short):
 def test_unknown_masks_are_refused(spark):
     with pytest.raises(ValueError, match="unknown masks"):
         mask_columns(spark.range(1).select(F.lit("a").alias("a")), {"a": "blur"})
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_positions_in_a_global_order(spark, monkeypatch, parts):
+    """Half of the rows are equal: their ranges are split, their rank is one."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        r = random.Random(parts)
+        rows = [(k, r.choice([None, "a", "b", "c"]) if k % 2 else "b", r.choice([None, 1, 2]) if k % 2 else 1) for k in range(2000)]
+        df = spark.createDataFrame(rows, "id long, x string, y int").repartition(5)
+        found = ranked(df, [F.col("x"), F.col("y")], rank="rank").collect()
+        key = lambda x, y: (x is not None, x or "", y is not None, y or 0)
+        order = sorted(key(x, y) for _, x, y in rows)
+        assert sorted(f.position for f in found) == list(range(1, len(rows) + 1))
+        assert [key(f.x, f.y) for f in sorted(found, key=lambda f: f.position)] == order
+        assert all(f["rank"] == bisect.bisect_left(order, key(f.x, f.y)) + 1 for f in found)
+        assert ranked(df.limit(0), [F.col("x")]).collect() == []
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

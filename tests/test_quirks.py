@@ -205,3 +205,11 @@ def test_uris_are_read_on_one_side_and_written_on_the_other(spark):
         "side", "'OTHER' AS action", "'DFS_URI' AS obj_type", "'URI' AS object_type", "'NONE' AS needs", "CAST(NULL AS STRING) AS on_input", "CAST(NULL AS STRING) AS on_output"
     )
     assert {r.side: r.access for r in objs.select("side", access_type().alias("access")).collect()} == {"in": "READ", "out": "WRITE"}
+
+
+def test_names_of_white_space_alone_are_blank(spark):
+    """White space of any script; what keeps words together is no white space."""
+    blank, kept = ["", " ", "\t", "\u2003", "\u3000 \u2028", "\x1c\x1f", "\u1680"], ["\u00a0", "\u2007", "\u202f", " a ", "\u200b", "\x85"]
+    reqs = spark.createDataFrame([(",".join(["x", *blank, *kept]),), (" ",), (None,)], "column string")
+    found = [r.column_name for r in fan_out_columns(reqs).collect()]
+    assert found == ["x", *kept, " ", None]

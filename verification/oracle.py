@@ -198,7 +198,7 @@ FANNED = """
 SELECT *, CAST(0 AS INTEGER) AS col_pos, "column" AS column_name FROM requests WHERE "column" IS NULL OR position(',' IN "column") = 0
 UNION ALL
 SELECT * FROM (SELECT *, CAST(unnest(range(len(string_split("column", ',')))) AS INTEGER) AS col_pos, unnest(string_split("column", ',')) AS column_name
- FROM requests WHERE position(',' IN "column") > 0) WHERE trim(column_name) <> '' """
+ FROM requests WHERE position(',' IN "column") > 0) WHERE regexp_matches(column_name, '[^  ]') """
 
 # ---- decisions ---------------------------------------------------------------------------------
 
@@ -309,6 +309,11 @@ SELECT stmt_id, side, ord, rank() OVER (PARTITION BY user_name, k ORDER BY
   CASE part_keys WHEN '' THEN [] ELSE string_split(part_keys, ',') END NULLS FIRST, CASE columns WHEN '' THEN [] ELSE string_split(columns, ',') END NULLS FIRST) AS position
 FROM (SELECT o.*, s.user_name, s.k FROM objects o JOIN ops s ON s.stmt_id = o.stmt_id WHERE o.reason IS NULL)"""
 
+# No grant speaks of paths: what a check without a result means is a setting.
+_PATH_REQUESTS = """
+SELECT o.stmt_id, d.side, CASE d.side WHEN 'in' THEN 'READ' ELSE 'WRITE' END AS access, true AS allowed, false AS allowed_strictly
+FROM objects o JOIN (VALUES ('in'), ('out')) d(side) ON o.obj_type = 'DFS_URI'"""
+
 _OBJECT_TEXT = """
 SELECT stmt_id, side, ord, concat('Object [type=', obj_type, ', name=', CASE obj_type WHEN 'DATABASE' THEN db WHEN 'TABLE_OR_VIEW' THEN concat(db, '.', name, '[', part_keys, ']')
  WHEN 'FUNCTION' THEN concat(db, '.', name) ELSE '' END, CASE action WHEN 'OTHER' THEN '' ELSE concat(', action=', action) END, ']') AS text
@@ -362,6 +367,8 @@ ORACLES = {
     "settings_guard": _with(("statements", R.STATEMENTS), ("settings", R.SETTINGS)) + f" SELECT stmt_id, user_name, conf_key, NOT ({_EXCLUDED}) AS allowed, CASE WHEN {_EXCLUDED} THEN {_GUARD} END AS message FROM settings",
     "metadata_decisions": _query(MATRIX, _METADATA, "objects"),
     "object_order": _query(MATRIX, _OBJECT_RANK, "objects"),
+    "object_positions": _query(MATRIX, _OBJECT_RANK.replace("PARTITION BY user_name, k ", ""), "objects"),
+    "path_requests": _query(MATRIX, _PATH_REQUESTS, "objects"),
     "object_text": _query(MATRIX, _OBJECT_TEXT, "objects"),
     "masked_customers": f"""SELECT c_custkey, {_MASK.format(c='c_name')} AS c_name, concat({_MASK.format(c='left(c_mktsegment, 4)')}, substr(c_mktsegment, 5)) AS c_mktsegment,
  concat(left(c_phrase, 4), {_MASK.format(c='substr(c_phrase, 5)')}) AS show_first, concat({_MASK.format(c='left(c_phrase, greatest(length(c_phrase) - 4, 0))')}, right(c_phrase, 4)) AS show_last,

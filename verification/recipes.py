@@ -98,14 +98,15 @@ FROM (SELECT event_id, ts, user_id, CAST(floor(event_id / {_N}) AS BIGINT) AS k
  JOIN (VALUES {_COMMAND_VALUES}) AS w(i, command) ON e.k % {_N} = w.i
  JOIN {TABLES} ON (e.k + e.user_id) % 8 = t.i"""
 
-# Up to three relations per statement, of all kinds, some with names that are malformed or lack a database.
+# Up to three relations per statement, of all kinds, some with names that are malformed or lack a database, some with
+# blank column names (a blank, an em space).
 MATRIX_RELATIONS = f"""
 SELECT s.stmt_id, CAST(r.ord AS INT) AS ord,
  CASE (s.k + 3 * r.ord) % 9 WHEN 5 THEN 'connector' WHEN 6 THEN 'unresolved' WHEN 7 THEN 'local'
   WHEN 8 THEN CASE WHEN s.k % 4 = 0 THEN 'path' ELSE 'connector' END ELSE 'catalog' END AS kind,
  CASE WHEN (s.k + r.ord) % 17 <> 16 THEN 'tpch' END AS db, t.tbl,
  CASE WHEN (s.k + r.ord) % 19 = 18 THEN concat('bare.', t.tbl) WHEN (s.k + r.ord) % 19 = 17 THEN 'conn::bare' ELSE concat('conn::tpch.', t.tbl) END AS raw_name,
- CASE (s.k + r.ord) % 4 WHEN 0 THEN t.first_col WHEN 1 THEN concat(t.first_col, ',', t.second_col) WHEN 2 THEN concat(t.second_col, ', ,', t.first_col) ELSE '' END AS projected
+ CASE (s.k + r.ord) % 4 WHEN 0 THEN t.first_col WHEN 1 THEN concat(t.first_col, ',', t.second_col) WHEN 2 THEN concat(t.second_col, ', , ,', t.first_col) ELSE '' END AS projected
 FROM statements s JOIN (VALUES (0,0),(1,0),(1,1),(2,0),(2,1),(2,2),(3,0),(3,1),(3,2)) AS r(m, ord) ON s.k % 4 = r.m
  JOIN {TABLES} ON (s.stmt_id + r.ord) % 8 = t.i"""
 

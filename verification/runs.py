@@ -9,7 +9,8 @@ from verification import recipes as R
 from wardline.functions import expressions as X
 from wardline.functions.masking import mask_columns
 from wardline.operators.classify import classify_operation
-from wardline.operators.decide import denials, match_grants
+from wardline.operators.decide import decide, denials, match_grants
+from wardline.operators.display import object_positions as positions_of
 from wardline.operators.display import rank_objects, show_objects
 from wardline.operators.guards import guard_settings, metadata_decisions, visible_tables
 from wardline.operators.objects import build_objects, expand_command_objects, expand_query_objects
@@ -373,6 +374,21 @@ def object_order(spark, sf_dir):
     return rank_objects(_objects(spark, sf_dir, "k"), ["user_name", "k"]).select(*_OBJECT, "position")
 
 
+def object_positions(spark, sf_dir):
+    return positions_of(_objects(spark, sf_dir)).select(*_OBJECT, "position")
+
+
+def path_requests(spark, sf_dir):
+    """What is asked of paths, as inputs and as outputs, where no grant can answer: allowed, or denied by setting."""
+    given = _objects(spark, sf_dir).where("obj_type = 'DFS_URI'")
+    typed = with_access(given.unionByName(given.withColumn("side", F.lit("out"))))
+    nothing = [F.lit(None).cast("string").alias(c) for c in (*RESOURCE, "reason")]
+    asked = typed.select("stmt_id", "side", F.lit(0).alias("seq"), F.col("needed").alias("access"), "object_type", "user_name", *nothing)
+    loose, strict = (decide(asked, mixed_grants(spark, sf_dir), null_allows) for null_allows in (True, False))
+    strictly = strict.select("stmt_id", "side", F.col("allowed").alias("allowed_strictly"))
+    return loose.select("stmt_id", "side", "access", "allowed").join(strictly, ["stmt_id", "side"])
+
+
 def object_text(spark, sf_dir):
     return show_objects(_objects(spark, sf_dir)).select(*_OBJECT, "text")
 
@@ -458,6 +474,8 @@ QUERIES = {
     "settings_guard": settings_guard,
     "metadata_decisions": metadata_checks,
     "object_order": object_order,
+    "object_positions": object_positions,
+    "path_requests": path_requests,
     "object_text": object_text,
     "masked_customers": masked_customers,
     "bulk_decisions": partial(_bulk, {}, plain_grants),

@@ -115,13 +115,16 @@ def type_ordinal(obj_type="obj_type") -> Column:
     return F.expr(f"CASE {obj_type} {cases} END")
 
 
-def object_sort_keys() -> list[Column]:
-    """Total order of objects: type, database, name, partition keys, columns; the action does not count.
+def object_keys() -> list[Column]:
+    """What the total order of objects goes by: type, database, name, partition keys, columns; the action does not count.
 
     Spark compares arrays element by element and puts the shorter one first.
     """
-    keys = [type_ordinal(), *map(F.col, ("db", "name", "part_keys", "columns"))]
-    return [key.asc_nulls_first() for key in keys]
+    return [type_ordinal(), *map(F.col, ("db", "name", "part_keys", "columns"))]
+
+
+def object_sort_keys() -> list[Column]:
+    return [key.asc_nulls_first() for key in object_keys()]
 
 
 def render_object(obj_type="obj_type", db="db", name="name", part_keys="part_keys", action="action") -> Column:

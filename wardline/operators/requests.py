@@ -16,6 +16,11 @@ _POSITION = "IF(side = 'out', 4294967296L, 0L) + ord"
 _REJECTED_POSITION = "ord - 1099511627776L"
 
 
+# A sign that is no white space: neither a separator of Unicode (but for those that do not break) nor one of the
+# control characters that count as white space (fixed values).
+_INK = r"[^\p{Z}\x09-\x0D\x1C-\x1F]|[\u00A0\u2007\u202F]"
+
+
 def with_access(objs: DataFrame, show_all: bool = False) -> DataFrame:
     """Adds `object_type` and `needed`, the access each object needs; the rules are a fixed table."""
     rules = access_rules(objs.sparkSession, show_all)
@@ -63,9 +68,10 @@ def fan_out_columns(reqs: DataFrame) -> DataFrame:
     """One row per column: a joined list is split at its commas and loses its blank names.
 
     Adds `column_name` and `col_pos`. The list stays in `column`, where messages show it. A request
-    with one name stays as it is, and one with blank names only leaves nothing to check.
+    with one name stays as it is, and one with blank names only leaves nothing to check. Blank is what
+    has no sign but white space of any script.
     """
     several = "coalesce(contains(column, ','), false)"
     names = f"IF({several}, split(column, ','), array(column))"
     fanned = reqs.selectExpr("*", f"posexplode({names}) AS (col_pos, column_name)")
-    return fanned.where(rf"NOT {several} OR column_name RLIKE r'[^\s]'")
+    return fanned.where(rf"NOT {several} OR column_name RLIKE r'{_INK}'")
