@@ -1,12 +1,13 @@
 """Plans that must hold at scale: few exchanges, filters at the scan, hot keys split."""
 
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from wardline.operators.decide import answer_by_broadcast, compile_grants, decide, with_question
-from wardline.operators.guards import visible_tables
+from wardline.operators.guards import number_tables, unfold, visible_ranges, visible_tables
 from wardline.operators.objects import route_relations
 from wardline.operators.paths import uri_access
 from wardline.operators.sizing import fits, lookup, planned_bytes
@@ -142,3 +143,17 @@ def test_paths_are_one_lazy_plan(spark):
     paths = spark.createDataFrame([("hdfs:/a/*/f", "LOAD", "u")], "path string, op string, user_name string")
     found = uri_access(paths, files)
     assert "InsertIntoHadoopFsRelationCommand" not in _plan(found) and [r.allowed for r in found.collect()] == [True]
+
+
+def test_ranges_unfold_to_the_listing(spark, tables):
+    r = random.Random(9)
+    inv = tables.inventory(*[{"db": r.choice("ab"), "tbl": r.choice([None, "t", "tt", "u", "\u00e9"]) and r.choice("tu\u00e9") * r.randrange(1, 4) + str(r.randrange(30))} for _ in range(200)])
+    pattern = lambda: r.choice(["*", "t*", "tt*", "u1*", "\u00e9*", "t1", "u2", "none"])
+    grants = tables.grants(*[{"user_name": u, "db": r.choice(["a", "b", "*", "a*"]), "tbl": pattern(), "col": r.choice(["*", "x"]), "access": "select"} for u in ("ann", "bob", "eve") for _ in range(6 if u != "eve" else 1)])
+    numbered = number_tables(inv)
+    for asked in (spark.createDataFrame([("ann",), ("eve",)], "user_name string"), spark.createDataFrame([("ann", "a"), ("bob", "b")], "user_name string, db string")):
+        ranges = visible_ranges(numbered, grants, asked)
+        wanted = sorted(map(tuple, visible_tables(inv, grants, asked).collect()))
+        assert wanted and sorted(map(tuple, unfold(ranges, numbered).collect())) == wanted
+        spans = sorted(map(tuple, ranges.collect()))
+        assert all(a[:2] != b[:2] or a[3] + 1 < b[2] for a, b in zip(spans, spans[1:]))

@@ -292,6 +292,12 @@ SELECT DISTINCT u.user_name, i.db, i.tbl FROM (SELECT DISTINCT db, tbl FROM list
  JOIN grants g ON g.udf IS NULL AND {_pm('g.db', 'i.db')} AND {_pm("coalesce(g.tbl, '*')", 'i.tbl')}
  JOIN (SELECT DISTINCT user_name FROM statements WHERE command = 'ShowTablesCommand') u ON u.user_name = g.user_name"""
 
+_RANGES = f"""
+SELECT user_name, db, min(number) AS first, max(number) AS last FROM (
+ SELECT v.user_name, v.db, n.number, n.number - row_number() OVER (PARTITION BY v.user_name, v.db ORDER BY n.number) AS run FROM ({_VISIBLE}) v
+ JOIN (SELECT db, tbl, row_number() OVER (ORDER BY db, tbl) AS number FROM (SELECT DISTINCT db, tbl FROM listing WHERE tbl IS NOT NULL)) n ON n.db = v.db AND n.tbl = v.tbl)
+GROUP BY user_name, db, run"""
+
 _LISTED = f"""
 SELECT DISTINCT a.user_name, i.db, i.tbl FROM asked a JOIN (SELECT DISTINCT db, tbl FROM listing WHERE tbl IS NOT NULL) i ON i.db = a.db
  JOIN grants g ON g.user_name = a.user_name AND g.udf IS NULL AND {_pm('g.db', 'i.db')} AND {_pm("coalesce(g.tbl, '*')", 'i.tbl')}"""
@@ -363,6 +369,7 @@ ORACLES = {
     "committed_audit": _query(MATRIX, "SELECT day, user_name, action, allowed, count(*) AS n FROM audit GROUP BY day, user_name, action, allowed", "audit"),
     "uri_access": _with(("files", R.FILES), ("paths", _PATHS_CHECKED)) + _URI,
     "visible_tables": _with(("statements", R.STATEMENTS), ("listing", R.LISTING), ("grants", R.MIXED_GRANTS)) + _VISIBLE,
+    "visible_ranges": _with(("statements", R.STATEMENTS), ("listing", R.LISTING), ("grants", R.MIXED_GRANTS)) + _RANGES,
     "show_tables_listings": _with(("statements", R.STATEMENTS), ("listing", R.LISTING), ("grants", R.MIXED_GRANTS), ("asked", R.ASKED_LISTINGS)) + _LISTED,
     "settings_guard": _with(("statements", R.STATEMENTS), ("settings", R.SETTINGS)) + f" SELECT stmt_id, user_name, conf_key, NOT ({_EXCLUDED}) AS allowed, CASE WHEN {_EXCLUDED} THEN {_GUARD} END AS message FROM settings",
     "metadata_decisions": _query(MATRIX, _METADATA, "objects"),

@@ -12,7 +12,7 @@ from wardline.operators.classify import classify_operation
 from wardline.operators.decide import decide, denials, match_grants
 from wardline.operators.display import object_positions as positions_of
 from wardline.operators.display import rank_objects, show_objects
-from wardline.operators.guards import guard_settings, metadata_decisions, visible_tables
+from wardline.operators.guards import guard_settings, metadata_decisions, number_tables, visible_ranges, visible_tables
 from wardline.operators.objects import build_objects, expand_command_objects, expand_query_objects
 from wardline.operators.paths import uri_access
 from wardline.operators.requests import RESOURCE, fan_out_columns, with_access
@@ -346,6 +346,14 @@ def listed_tables(spark, sf_dir):
     return visible_tables(listing, mixed_grants(spark, sf_dir), asking.select("user_name"))
 
 
+def listed_ranges(spark, sf_dir):
+    """The same as ranges of the tables in order."""
+    stmts, _ = simple_log(spark, sf_dir)
+    asking = stmts.where(F.col("command") == "ShowTablesCommand")
+    numbered = number_tables(derive(spark, R.LISTING, part=table(spark, sf_dir, "part")))
+    return visible_ranges(numbered, mixed_grants(spark, sf_dir), asking.select("user_name"))
+
+
 def show_tables_listings(spark, sf_dir):
     """What SHOW TABLES shows: the tables of the database each user asks about."""
     stmts = derive(spark, R.STATEMENTS, events=table(spark, sf_dir, "events"))
@@ -470,6 +478,7 @@ QUERIES = {
     "committed_audit": committed_audit,
     "uri_access": checked_paths,
     "visible_tables": listed_tables,
+    "visible_ranges": listed_ranges,
     "show_tables_listings": show_tables_listings,
     "settings_guard": settings_guard,
     "metadata_decisions": metadata_checks,
