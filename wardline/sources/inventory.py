@@ -1,6 +1,7 @@
 """The catalog inventory: tables, their columns, their partition columns."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardline.schemas import INVENTORY
 
@@ -11,10 +12,14 @@ def load_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def session_inventory(spark: SparkSession, db: str) -> DataFrame:
-    """The inventory of one database of the session's own catalog. Reads metadata only."""
-    rows = []
-    for table in spark.catalog.listTables(db):
-        columns = spark.catalog.listColumns(f"`{db}`.`{table.name}`" if not table.isTemporary else table.name)
-        parts = [c.name for c in columns if c.isPartition]
-        rows.append((None if table.isTemporary else db, table.name, [c.name for c in columns], parts))
-    return spark.createDataFrame([r for r in rows if r[0]], INVENTORY)
+    """The inventory of one database of the session's own catalog, by one listing. Reads metadata only."""
+    listing = spark.sql(f"SHOW TABLE EXTENDED IN `{db}` LIKE '*'").where("NOT isTemporary AND namespace <> ''")
+    # What a listing says of a table: its schema as a tree, a line for each column, and its partition columns in quotes.
+    columns = F.regexp_extract_all("information", F.lit(r"(?m)^ \|-- (.*): [^:]+ \(nullable = (?:true|false)\)$"), F.lit(1))
+    parts = F.regexp_extract("information", r"(?m)^Partition Columns: \[(.*)\]$", 1)
+    names = F.transform(F.regexp_extract_all(parts, F.lit(r"`((?:[^`]|``)*)`"), F.lit(1)), lambda n: F.replace(n, F.lit("``"), F.lit("`")))
+    # A view may hold text that looks like a schema; its own comes last.
+    own = F.regexp_extract("information", r"(?s)(?:.*\n)?(Schema: root\n.*)\z", 1)
+    listing = listing.withColumn("tree", own).withColumn("partitioned", names).withColumn("information", F.col("tree"))
+    found = listing.select(F.lit(db).alias("db"), F.col("tableName").alias("tbl"), columns.alias("columns"), F.col("partitioned").alias("part_cols"))
+    return spark.createDataFrame(found.collect(), INVENTORY)
