@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardline.operators import history
 from wardline.operators.decide import match_grants
+from wardline.operators.delta import changed_grants, touched_statements
 from wardline.operators.history import as_of, grant_history, number_versions
 from wardline.plans.governance import Governance
 from wardline.sources.policies import load_history, save_version, write_versions
@@ -84,3 +85,26 @@ def test_a_history_needs_versions(spark, tables):
     reqs = spark.createDataFrame([("ann", "SELECT", "TABLE", "d", "t", None, None)], "user_name string, access string, object_type string, database string, table string, udf string, column string")
     with pytest.raises(ValueError, match="version"):
         match_grants(reqs, tables.grants().withColumns({"since": F.lit(1), "until": F.lit(None).cast("long")}))
+
+
+def test_only_what_a_change_speaks_of_is_judged_again(spark, tables):
+    r = random.Random(13)
+    pattern = lambda: {"user_name": r.choice(["ann", "bob", "eve"]), "db": r.choice(["d", "d*"]), "tbl": r.choice(["t*", "t1", "t2", "*", "u"]), "col": r.choice(["*", "a", None]), "access": r.choice(["select", "drop"])}
+    rows = [pattern() for _ in range(14)]
+    stmts = tables.statements(*[{"command": r.choice(["Query", "DropTableCommand", "SetCommand"]), "user_name": r.choice(["ann", "bob", "eve"]), "tbl": r.choice(["t1", "t2", "u"])} for _ in range(120)])
+    rels = tables.relations(*[{"stmt_id": k, "tbl": r.choice(["t1", "t2", "u"]), "projected": [r.choice("ab")]} for k in range(120)])
+    before, after = tables.grants(*rows[:10], rows[0]), tables.grants(*rows[2:12], rows[3])
+    inv = tables.inventory()
+    old = Governance(stmts, rels, inv, before).verdicts
+    # What is carried over is told by its message.
+    marked = old.withColumn("message", F.concat(F.lit("kept"), F.coalesce("message", F.lit(""))))
+    for sizes in ({}, {"limit": 0}):
+        now = Governance(stmts, rels, inv, after, **sizes)
+        wanted = {x.stmt_id: x for x in now.verdicts.collect()}
+        found = now.verdicts_after(marked, before).collect()
+        again = {x.stmt_id for x in touched_statements(now.requests, before, after, **sizes).collect()}
+        assert len(found) == 120 and 0 < len(again) < 120
+        for x in found:
+            assert x.allowed == wanted[x.stmt_id].allowed
+            assert x.message == (wanted[x.stmt_id].message if x.stmt_id in again else "kept" + (wanted[x.stmt_id].message or ""))
+    assert changed_grants(before, before).collect() == [] and changed_grants(before, tables.grants(*rows[:10])).collect() == []

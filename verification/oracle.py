@@ -365,6 +365,7 @@ ORACLES = {
     "stream_audit": _query(MATRIX, "SELECT * FROM audit", "audit"),
     "stream_policy_change": f"SELECT * FROM ({_query(MATRIX, 'SELECT * FROM verdicts', 'verdicts')}) WHERE stmt_id % 2 = 0 UNION ALL SELECT * FROM ({_query(_LATER, 'SELECT * FROM verdicts', 'verdicts')}) WHERE stmt_id % 2 = 1",
     "stream_requests": _query(MATRIX, "SELECT *, '' AS cluster FROM audit", "audit"),
+    "verdicts_after_change": _query([(n, R.GRANTS_AFTER if n == "grants" else sql) for n, sql in MATRIX], "SELECT * FROM verdicts", "verdicts"),
     "stream_audit_in_parts": _query(MATRIX, "SELECT * FROM audit", "audit"),
     "committed_audit": _query(MATRIX, "SELECT day, user_name, action, allowed, count(*) AS n FROM audit GROUP BY day, user_name, action, allowed", "audit"),
     "uri_access": _with(("files", R.FILES), ("paths", _PATHS_CHECKED)) + _URI,

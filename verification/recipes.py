@@ -190,3 +190,7 @@ SELECT *, CAST(substr(user_name, 2) AS BIGINT) + length(concat_ws('/', db, tbl,
 SNAPSHOTS = """
 SELECT g.user_name, g.db, g.tbl, g.col, g.udf, g.access, v.valid_from
 FROM versions v JOIN (VALUES (0,1),(0,2),(1,0),(1,1),(2,0),(2,2)) AS h(m, r) ON v.ver % 3 = h.m JOIN grants g ON g.gid % 3 = h.r"""
+
+# Grants before and after a change that drops some and adds some.
+GRANTS_BEFORE = f"SELECT user_name, db, tbl, col, udf, access FROM ({NUMBERED_GRANTS}) n WHERE gid % 11 <> 3"
+GRANTS_AFTER = f"SELECT user_name, db, tbl, col, udf, access FROM ({NUMBERED_GRANTS}) n WHERE gid % 11 <> 5"

@@ -18,7 +18,7 @@ from wardline.operators.paths import uri_access
 from wardline.operators.requests import RESOURCE, fan_out_columns, with_access
 from wardline.plans.governance import Governance
 from wardline.schemas import RELATIONS, STATEMENTS
-from wardline.session import work_folder
+from wardline.session import work_folder, written
 from wardline.sources.audit import commit_audit, compact_committed, read_audit, stage_audit, write_audit
 from wardline.sources.inventory import load_inventory
 from wardline.sources.logs import load_log, write_log
@@ -226,6 +226,15 @@ def verdicts_as_of(spark, sf_dir):
     return judged.verdicts.select(_VERDICT)
 
 
+def verdicts_after_change(spark, sf_dir):
+    """Verdicts kept from before a change of the grants, and judged again where the change can matter."""
+    tables = {name: table(spark, sf_dir, name) for name in ("supplier", "customer")}
+    before, after = (derive(spark, sql, **tables) for sql in (R.GRANTS_BEFORE, R.GRANTS_AFTER))
+    log, inv = matrix_log(spark, sf_dir), inventory(spark)
+    kept = written(Governance(*log, inv, before, R.CONFIGURED_EXCLUDES).verdicts, "verdicts")
+    return Governance(*log, inv, after, R.CONFIGURED_EXCLUDES).verdicts_after(kept, before).select(_VERDICT)
+
+
 _AUDITED = [
     "stmt_id", "seq", "col_pos", "user_name", "client_ip", "action", "access", "object_type", "database", "table",
     "udf", "column_name", "allowed",
@@ -468,6 +477,7 @@ QUERIES = {
     "shuffled_verdicts": shuffled_verdicts,
     "simple_verdicts": simple_verdicts,
     "verdicts_as_of": verdicts_as_of,
+    "verdicts_after_change": verdicts_after_change,
     "stream_verdicts": stream_verdicts,
     "audit_rows": audit_rows,
     "audit_sink": audit_sink,

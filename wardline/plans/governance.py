@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from wardline.functions.expressions import guard_message, show_all_columns
 from wardline.operators.classify import classify_operation
 from wardline.operators.decide import audit_rows, decide, statement_verdict
+from wardline.operators.delta import touched_statements
 from wardline.operators.guards import excluded, excluded_keys, visible_tables
 from wardline.operators.history import as_of
 from wardline.operators.objects import build_objects
 from wardline.operators.requests import build_requests
+from wardline.operators.sizing import fits
+from wardline.session import written
 
 
 class Governance:
@@ -58,9 +61,24 @@ class Governance:
     @property
     def verdicts(self) -> DataFrame:
         """`stmt_id, user_name, op, allowed, message`; SET statements are judged by the settings guard."""
+        return self._judged(self.classified, self.decisions)
+
+    def verdicts_after(self, verdicts: DataFrame, before: DataFrame) -> DataFrame:
+        """The verdicts under these grants, from those under the grants `before`.
+
+        Only statements that a changed grant speaks of are judged again; what was said of all others is
+        carried over. `verdicts` must be of this log.
+        """
+        touched = written(touched_statements(self.requests, before, self.grants, **self.sizes), "touched")
+        few = F.broadcast(touched) if fits(touched) else touched
+        again = decide(self.requests.join(few, "stmt_id", "left_semi"), self.grants, self.null_allows, **self.sizes)
+        judged = self._judged(self.classified.join(few, "stmt_id", "left_semi"), again)
+        return verdicts.join(few, "stmt_id", "left_anti").unionByName(judged)
+
+    def _judged(self, classified: DataFrame, decisions: DataFrame) -> DataFrame:
         guarded = (F.col("command") == "SetCommand") & excluded(F.col("conf_key"), self.patterns)
-        noted = self.classified.withColumn("guard_message", F.when(F.coalesce(guarded, F.lit(False)), guard_message()))
-        judged = statement_verdict(noted, self.decisions, keep=["guard_message"])
+        noted = classified.withColumn("guard_message", F.when(F.coalesce(guarded, F.lit(False)), guard_message()))
+        judged = statement_verdict(noted, decisions, keep=["guard_message"])
         return judged.select(
             "stmt_id",
             "user_name",
