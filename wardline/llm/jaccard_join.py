@@ -300,8 +300,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         star = star.join(_small(sizes.select(F.col("cls").alias(end), F.col("n").alias(f"{end}_n"))), end)
     star = stored(star.where(_SIZES).select("a", "b"), "star")
     sets = stored(_sets(classes, docs, key, text, wanted), "sets")
-    edges = stored(_proven(star, sets), "links")
+    # Each class is held against one center first. What that brings together need not meet again.
+    nearest = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star")
+    edges = stored(_proven(nearest, sets), "links")
     labels = components(edges)
+    apart = star.join(nearest, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        apart = apart.join(_small(labels.select(F.col("cls").alias(end), F.col("comp").alias(f"{end}_comp"))), end, "left")
+    apart = apart.where("coalesce(a_comp, a) <> coalesce(b_comp, b)").select("a", "b")
+    further = stored(_proven(apart, sets), "links")
+    if not further.isEmpty():
+        edges = edges.unionByName(further)
+        labels = components(edges)
 
     labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
     lists = first.select("key", "cls", F.col("key").alias("base"), F.lit(None).cast("long").alias("last"))
