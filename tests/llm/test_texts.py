@@ -162,3 +162,9 @@ def test_training_takes_all_words_until_it_settles(spark):
     assert np.isclose(before, like, rtol=1e-5)
     gain = hidden_markov.baum_welch(made, after, share)[1] - before
     assert gain <= 1.1 * hidden_markov.SETTLED * abs(before)
+
+
+def test_language_stage_without_labels_keeps_all(spark):
+    rows = [(k, t, None) for k, (_, t) in enumerate(r[:2] for r in odd_texts())]
+    kept = language_id.stage(spark, documents(spark, rows, more=True), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in rows]
