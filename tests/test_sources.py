@@ -13,7 +13,7 @@ from wardline.sources.audit import compact_audit, write_audit
 from wardline.sources.inventory import load_inventory, session_inventory
 from wardline.sources.logs import load_bucketed_log, load_log, save_bucketed_log, split_live, write_log
 from wardline.sources.policies import load_grants, snapshot_path
-from wardline.streaming.live import audit_stream, authorize_stream, live_verdicts, read_live
+from wardline.streaming.live import audit_requests, audit_stream, authorize_stream, live_verdicts, read_live
 
 POLICY = {"policy": "p", "resources": {"database": ["d"], "table": ["t", "s*"]}, "items": [{"users": ["ann", "bob"], "accesses": ["select"]}]}
 FUNCTION = {"policy": "f", "resources": {"database": ["d"], "udf": ["f*"]}, "items": [{"users": ["ann"], "accesses": ["drop", "create"]}]}
@@ -188,3 +188,15 @@ def test_a_stream_with_many_patterns_is_judged_by_batches(spark, tables, tmp_pat
     query.awaitTermination()
     found = spark.read.parquet(str(tmp_path / "audit")).select("stmt_id", "allowed").collect()
     assert sorted(map(tuple, found)) == [(k, k * 500 < 10_000) for k in range(40)]
+
+
+def test_requests_are_judged_under_any_number_of_patterns(spark, tables, tmp_path):
+    stmts, rels = tables.statements(*[{"command": "Query"}] * 6), tables.relations(*[{"stmt_id": k, "tbl": f"t{k * 100}_x", "projected": ["a"]} for k in range(6)])
+    requests = _governance(tables, stmts, rels).requests
+    requests.write.parquet(str(tmp_path / "requests"))
+    stream = spark.readStream.schema(requests.schema).parquet(str(tmp_path / "requests"))
+    for n in (150, 400):
+        grants = tables.grants(*[{"db": "d", "tbl": f"t{k}_*", "access": "select"} for k in range(n)])
+        audit_requests(stream, grants, str(tmp_path / f"audit{n}"), str(tmp_path / f"checkpoint{n}"), interval=None).awaitTermination()
+        found = spark.read.parquet(str(tmp_path / f"audit{n}")).select("stmt_id", "allowed").collect()
+        assert sorted(map(tuple, found)) == [(k, k * 100 < n) for k in range(6)]

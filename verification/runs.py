@@ -23,7 +23,7 @@ from wardline.sources.audit import commit_audit, compact_committed, read_audit,
 from wardline.sources.inventory import load_inventory
 from wardline.sources.logs import load_log, write_log
 from wardline.sources.policies import load_grants, load_history, snapshot_path, write_snapshot, write_versions
-from wardline.streaming.live import audit_open_statements, audit_stream, authorize_stream, live_verdicts
+from wardline.streaming.live import audit_open_statements, audit_requests, live_verdicts
 
 _REQUEST = ["stmt_id", "seq", "access", "object_type", *RESOURCE]
 _OBJECT = ["stmt_id", "side", "ord"]
@@ -308,8 +308,7 @@ def stream_requests(spark, sf_dir):
     folder, judged = work_folder(spark, "requests"), matrix(spark, sf_dir)
     judged.requests.write.parquet(f"{folder}/requests")
     stream = spark.readStream.schema(judged.requests.schema).parquet(f"{folder}/requests")
-    decided = authorize_stream(stream, mixed_grants(spark, sf_dir))
-    audit_stream(decided, f"{folder}/audit", f"{folder}/checkpoint", interval=None).awaitTermination()
+    audit_requests(stream, mixed_grants(spark, sf_dir), f"{folder}/audit", f"{folder}/checkpoint", interval=None).awaitTermination()
     return spark.read.parquet(f"{folder}/audit").select(*_AUDITED, "cluster", "day")
 
 

@@ -131,6 +131,11 @@ def broadcastable(grants: DataFrame, limit: int = BROADCAST_BYTES, tries: int =
     return size.bytes <= limit and size.tries <= tries
 
 
+def triable(grants: DataFrame, **sizes) -> bool:
+    """Whether a stream can try the grants: they may be of any size, but each user has few patterns."""
+    return broadcastable(grants, **{**sizes, "limit": sys.maxsize})
+
+
 def _held(number: int) -> Column:
     """Whether a name of the outer question matches the key of a fact."""
     wanted, text, length = F.col(f"q{number}").outer(), F.col(f"k{number}"), F.col(f"n{number}")
@@ -206,7 +211,7 @@ def match_grants(reqs: DataFrame, grants: DataFrame, **sizes) -> DataFrame:
         raise ValueError("grants with a history need requests with a version, and the other way round")
     if not reqs.isStreaming:
         answer = answer_by_broadcast if broadcastable(grants, **sizes) else answer_by_shuffle
-    elif broadcastable(grants, **{**sizes, "limit": sys.maxsize}):
+    elif triable(grants, **sizes):
         answer = partial(answer_by_broadcast, hint=broadcastable(grants, **sizes))
     else:
         raise ValueError("these grants have too many patterns to be tried by a stream: give them to audit_stream, which judges by batches")

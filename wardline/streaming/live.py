@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wardline.operators.decide import RECORDED, audit_rows, decide
+from wardline.operators.decide import RECORDED, audit_rows, decide, triable
 from wardline.plans.governance import Governance
 from wardline.schemas import LIVE_STATEMENTS
 from wardline.sources.audit import stream_run_id, write_audit
@@ -58,6 +58,19 @@ def audit_stream(
     return _start(decisions, record, checkpoint, interval)
 
 
+def audit_requests(
+    stream_reqs: DataFrame, grants: DataFrame, path: str, checkpoint: str, interval: str | None = POLL_INTERVAL, write: Callable = write_audit, **sizes,
+) -> StreamingQuery:
+    """Decides a stream of requests with fixed grants of any kind, and records the audit as they come.
+
+    Grants that a stream can try are joined with it. With more patterns than that each batch is
+    brought together and walks down the trie of the grants; both give the same decisions.
+    """
+    if triable(grants, **sizes):
+        return audit_stream(authorize_stream(stream_reqs, grants, **sizes), path, checkpoint, interval, write=write)
+    return audit_stream(stream_reqs, path, checkpoint, interval, load_grants=lambda _: grants, write=write, **sizes)
+
+
 def close_statements(decisions: DataFrame, delay: str, at: str = "ts") -> DataFrame:
     """The audit rows of a stream whose statements come in parts, over several batches and in any order.
 
