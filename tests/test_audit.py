@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from verification import runs
 from wardline.operators.decide import audit_rows
 from wardline.plans.governance import Governance
+from wardline.session import written
 from wardline.sources.audit import commit_audit, committed, compact_committed, read_audit, stage_audit, unused_attempts
 from wardline.streaming.live import audit_open_statements
 
@@ -92,3 +94,37 @@ def test_statements_close_behind_the_watermark(spark, tables, tmp_path):
     add(spark.range(1).select(*nothing))
     got = add(spark.range(1).select(*nothing))
     assert got == _rows(wanted.where("stmt_id < 11"))
+
+
+def test_parts_are_written_once_and_read_alone(spark):
+    rows = spark.createDataFrame([(k, k % 3 if k < 8 else None) for k in range(9)], "stmt_id long, part long")
+    held = written(rows, "parts", "part")
+    one = held.where("part = 1").drop("part")
+    assert sorted(r.stmt_id for r in one.collect()) == [1, 4, 7]
+    assert "PartitionFilters: [isnotnull(part" in one._jdf.queryExecution().toString()
+    assert held.where("part = 5").count() == 0 and sorted(map(str, held.collect())) == sorted(map(str, rows.collect()))
+    assert written(rows.where("false"), "parts", "part").where("part = 1").count() == 0
+
+
+def test_a_committed_audit_is_made_once(spark, monkeypatch, tmp_path):
+    made = []
+    audit = runs.Governance.audit.fget
+
+    def counted(self):
+        number = spark.sparkContext.accumulator(0)
+        made.append(number)
+
+        def seen(batches):
+            number.add(1)
+            yield from batches
+
+        rows = audit(self).coalesce(1)
+        return rows.mapInArrow(seen, rows.schema)
+
+    monkeypatch.setattr(runs.Governance, "audit", property(counted))
+    rows = [(k, START + timedelta(hours=k), k % 7, "view", 1.0, "") for k in range(40)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, "a", 2)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(1, "a", 2)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    assert runs.committed_audit(spark, str(tmp_path)).count() > 0
+    assert [m.value for m in made] == [1]

@@ -32,8 +32,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` written to a new folder below the shared one and read again: cuts the lineage, and fixes what a rerun could change."""
+def written(df: DataFrame, purpose: str, *parts: str) -> DataFrame:
+    """`df` written to a new folder below the shared one and read again: cuts the lineage, and fixes what a rerun could change.
+
+    A filter on the columns `parts` reads only the files of these parts.
+    """
     folder = work_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
+    df.write.partitionBy(*parts).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
