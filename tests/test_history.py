@@ -108,3 +108,17 @@ def test_only_what_a_change_speaks_of_is_judged_again(spark, tables):
             assert x.allowed == wanted[x.stmt_id].allowed
             assert x.message == (wanted[x.stmt_id].message if x.stmt_id in again else "kept" + (wanted[x.stmt_id].message or ""))
     assert changed_grants(before, before).collect() == [] and changed_grants(before, tables.grants(*rows[:10])).collect() == []
+
+
+def test_other_grants_are_asked_the_same_stored_requests(spark, tables):
+    stmts = tables.statements({"command": "Query"}, {"command": "Query", "user_name": "bob"}, {"command": "DropTableCommand"})
+    rels, inv = tables.relations({"tbl": "t1", "projected": ["a"]}, {"stmt_id": 1, "tbl": "t2", "projected": ["a", "b"]}), tables.inventory()
+    before, after = tables.grants({"db": "d", "tbl": "t1", "access": "select"}), tables.grants(*[{"user_name": "bob", "db": "d", "access": "select"}] * 3)
+    for sizes in ({}, {"limit": 0}):
+        then = Governance(stmts, rels, inv, before, **sizes).stored()
+        now = then.under(after)
+        assert now.requests is then.requests and len(now.requests.inputFiles()) > 0
+        wanted = {g: sorted(Governance(stmts, rels, inv, x, **sizes).verdicts.collect()) for g, x in (("before", before), ("after", after))}
+        assert sorted(then.verdicts.collect()) == wanted["before"] != wanted["after"] == sorted(now.verdicts.collect())
+        assert sorted(now.verdicts_after(then.verdicts, before).collect()) == wanted["after"]
+        assert now.requests is then.requests
