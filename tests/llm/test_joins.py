@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import random
 import zlib
 
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.data import documents, odd_texts, prose
 from wardline.llm import bpe, decontamination, jaccard_join, sharding, token_files, url_filters
-from wardline.llm.chunks import load_vocabulary, tokenizer_path
+from wardline.llm.chunks import PATTERN, byte_letters, chunks, load_vocabulary, tokenizer_path
 
 
 def shingles(text):
@@ -210,6 +211,52 @@ def test_bpe(spark):
         assert row.e.decoded_sha256 == hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+ODD_SIGNS = [*"ab  \n\n\t'sreé²½Ⅷ中\U0001f642_1.,- \xa0\x85\x1c|#<\0ÿþ", " the", "'ll", "́"]
+
+
+def odd_words(seed, n, most=40):
+    r = random.Random(seed)
+    return sorted({"".join(r.choice(ODD_SIGNS) for _ in range(r.randrange(1, most))) for _ in range(n)})
+
+
+def test_chunks_are_cut_with_the_tokenizers_bounds():
+    import regex
+
+    cuts = lambda parts: set(itertools.accumulate(map(len, parts)))
+    for text in ["", " ", "\n", "a b", "a\nb c.", "a\n b", "a  b", "a\0b c", "\0", "a\xa0b", "é b\n\nc", *odd_words(3, 300)]:
+        assert "".join(chunks(text)) == text and cuts(chunks(text)) <= cuts(regex.findall(PATTERN, text))
+
+
+@pytest.mark.parametrize("merged", [False, True])
+def test_chunks_go_through_the_library_together(monkeypatch, merged):
+    """One call for many chunks; if a merge has the byte that stands between them, one for each pre-token."""
+    import tokenizers
+
+    source = json.loads(load_vocabulary(tokenizer_path()).text)
+    if merged:
+        mark = {b: c for c, b in byte_letters().items()}[0xFF]
+        source["model"]["vocab"][mark * 2] = max(source["model"]["vocab"].values()) + 1
+        source["model"]["merges"].append([mark, mark])
+    source, calls = json.dumps(source), []
+
+    class Counted:
+        from_str = Tokenizer.from_str
+
+        def __init__(self, model):
+            self.real = Tokenizer(model)
+
+        def encode_batch_fast(self, *args, **more):
+            calls.append(1)
+            return self.real.encode_batch_fast(*args, **more)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    new = sorted({c for w in odd_words(4, 400) for c in chunks(w)})
+    got = token_files.library_encoder(source, {}).encode_new(new)
+    plain = Tokenizer.from_str(source)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(c, add_special_tokens=False).ids for c in new]
+    assert len(calls) == (0 if merged else -(-len(new) // token_files.TOGETHER))
+
+
 def test_lexicon():
     v = load_vocabulary(tokenizer_path())
     words = {w.encode(): bpe.merge_chunk(w, v) for w in ("tap", "taps", "top", "tops", " top", "stops", "é", "ta")}

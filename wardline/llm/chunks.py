@@ -67,30 +67,23 @@ def load_vocabulary(path: str) -> Vocabulary:
 
 def _plain(text: str) -> bool:
     """Whether all white space is one blank between two words or one line end between two lines."""
-    parts = text.split()
-    gaps = len(parts) - 1
-    return gaps >= 0 and len(text) == sum(map(len, parts)) + gaps and text.count(" ") + text.count("\n") == gaps
+    return text != "" and " ".join(text.split()) == text.replace("\n", " ")
 
 
 def chunks(text: str) -> list[str]:
     """`text` in pieces that are encoded each on its own: words with the blank before them, and line ends.
 
-    Texts with any other white space are cut by the full pattern.
+    Texts with any other white space, or with the mark of the cuts, are cut by the full pattern.
     """
-    if not _plain(text):
+    if "\0" in text or not _plain(text):
         return regex.findall(PATTERN, text)
-    out: list[str] = []
-    for k, line in enumerate(text.split("\n")):
-        if k:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out += [" " + w for w in rest]
-    return out
+    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
 
 def pre_tokens(chunk: str) -> list[str]:
     """What the pattern finds in a chunk; the common form, letters and then some punctuation, without it."""
+    if (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
+        return [chunk]
     stem = chunk.rstrip(".,;:!?|*#$%&")
     if stem.lstrip(" ").isalpha() and stem.count(" ") <= 1:
         return [stem, chunk[len(stem) :]] if len(stem) < len(chunk) else [stem]
@@ -122,7 +115,7 @@ class Cached:
         if len(self.known) > CACHED // 2:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
-        for c in {c for text in cut for p, _ in text for c in p}.difference(known):
+        for c in set().union(*[p for text in cut for p, _ in text]).difference(known):
             if (found := older.get(c)) is not None:
                 known[c] = found
             else:
@@ -130,4 +123,10 @@ class Cached:
         for at in range(0, len(new), 20_000):
             block = new[at : at + 20_000]
             known.update(zip(block, self.encode_new(block), strict=True))
-        return [list(chain.from_iterable([*map(known.__getitem__, p), *([self.special(k)] if k is not None else [])] for p, k in text)) for text in cut]
+        found = known.__getitem__
+        return [
+            list(map(found, text[0][0]))
+            if len(text) == 1
+            else list(chain.from_iterable([*map(found, p), *([self.special(k)] if k is not None else [])] for p, k in text))
+            for text in cut
+        ]

@@ -11,9 +11,10 @@ are in order of (bucket, number), and documents lie in it in ascending order of
 """
 
 import hashlib
+import json
+import os
 import struct
 import zlib
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -31,6 +32,8 @@ BLOCK = 1 << 15
 #: A segment is closed with the document that brings it to so many ids.
 SEGMENT = 1 << 20
 END = 2
+#: Chunks that go through the model of the library together.
+TOGETHER = 100
 
 _P, _W32 = np.uint64(PRECISION), np.uint64(32)
 _LOW, _SLOTS, _LEAST = np.uint64(0xFFFFFFFF), np.uint64((1 << PRECISION) - 1), np.uint64(1 << 31)
@@ -54,6 +57,15 @@ def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return symbols.astype(np.uint32), share.astype(np.uint64)
 
 
+def _numbers(symbols: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The place of each id among the sorted symbols that it is one of; by a table, if that is not much larger than the ids."""
+    if not len(ids) or int(symbols[-1]) > 4 * len(ids) + (1 << PRECISION):
+        return np.searchsorted(symbols, ids).astype(np.int64)
+    table = np.zeros(int(symbols[-1]) + 1, np.int64)
+    table[symbols] = np.arange(len(symbols))
+    return table[ids]
+
+
 def _encode_blocks(rows: np.ndarray, freq: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
     """`rows`: blocks x steps x lanes of symbol numbers. The states after all, and each block's words in decoding order."""
     blocks, steps, lanes = rows.shape
@@ -90,7 +102,7 @@ def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """The file of `ids`, which belong to documents of `lengths`. A pure function of both."""
     symbols, freq = frequencies(ids)
     start = np.concatenate(([0], np.cumsum(freq)[:-1])).astype(np.uint64) if len(freq) else freq
-    numbers = np.searchsorted(symbols, ids).astype(np.int64)
+    numbers = _numbers(symbols, ids)
     directory, words = [], []
     whole = len(numbers) // BLOCK * BLOCK
     for part, steps in ((numbers[:whole], BLOCK // LANES), (numbers[whole:], -(-(len(numbers) - whole) // LANES))):
@@ -153,20 +165,42 @@ def read_segment(raw: bytes, only: int | None = None) -> Segment:
 
 
 def library_encoder(source: str, added: dict[str, int]) -> Cached:
-    """Chunks by the tokenizers library: each pre-token that a worker has not met goes through its model."""
+    """Chunks by the tokenizers library, as the bytes of their ids: those that a worker has not met go through its model.
+
+    Many go at a time, with a byte between pre-tokens and another between chunks that no UTF-8 has.
+    No merge reaches across a byte that is in no merge; if a tokenizer has one, its pre-tokens go one by one.
+    """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
     from tokenizers import Tokenizer
 
+    file, letters = json.loads(source)["model"], {b: ord(c) for c, b in byte_letters().items()}
+    ends = [chr(letters[b]) for b in (0xFF, 0xFE)]
+    apart = all(e in file["vocab"] for e in ends) and not any(e in part for pair in file["merges"] for part in pair for e in ends)
     model = Tokenizer.from_str(source).model
-    letters = {b: ord(c) for c, b in byte_letters().items()}
+    # The model alone: the text is cut already.
+    whole, (chunk_end, token_end) = Tokenizer(model), (file["vocab"].get(e) for e in ends)
+
+    def lettered(text: str) -> str:
+        return text.encode("utf-8", "surrogateescape").decode("latin-1").translate(letters)
+
+    def one_by_one(cut: list[list[str]]) -> list[bytes]:
+        known = {t: [x.id for x in model.tokenize(lettered(t))] for t in {t for ts in cut for t in ts}}
+        return [np.array([i for t in ts for i in known[t]], "<u4").tobytes() for ts in cut]
 
-    def encode_new(new: list[str]) -> list[list[int]]:
-        cut = [pre_tokens(c) for c in new]
-        known = {}
-        for token in {t for ts in cut for t in ts}:
-            known[token] = [t.id for t in model.tokenize(token.encode().decode("latin-1").translate(letters))]
-        return [known[ts[0]] if len(ts) == 1 else [i for t in ts for i in known[t]] for ts in cut]
+    def encode_new(new: list[str]) -> list[bytes]:
+        if not apart:
+            return one_by_one([pre_tokens(c) for c in new])
+        out = []
+        for at in range(0, len(new), TOGETHER):
+            # Escaped, these two become the bytes 0xFE and 0xFF.
+            text = "\udcff".join(["\udcfe".join(pre_tokens(c)) for c in new[at : at + TOGETHER]])
+            ids = np.array(whole.encode_batch_fast([lettered(text)], add_special_tokens=False)[0].ids, "<u4")
+            ids = ids[ids != token_end]
+            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == chunk_end)).tolist()
+            out += [raw[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)], strict=True)]
+        return out
 
-    return Cached(encode_new, added)
+    return Cached(encode_new, added, lambda k: np.array([k], "<u4").tobytes())
 
 
 def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -186,6 +220,7 @@ def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str =
         source, added = shared.value
         bucket = TaskContext.get().partitionId()
         cached = kept(hashlib.sha256(source.encode()).hexdigest(), lambda: library_encoder(source, added))
+        end = np.array([END], "<u4").tobytes()
         keys, arrays, seen = [], [], {"number": 0, "before": 0, "held": 0}
 
         def closed():
@@ -200,9 +235,9 @@ def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             if columns is None:
                 return [[x] for x in closed()] if keys else None
             rows = []
-            for k, chunk_ids in zip(columns[0], cached.encode([t or "" for t in columns[1]]), strict=True):
+            for k, parts in zip(columns[0], cached.encode([t or "" for t in columns[1]]), strict=True):
                 keys.append(k)
-                arrays.append(np.fromiter(chain(chain.from_iterable(chunk_ids), (END,)), np.uint32))
+                arrays.append(np.frombuffer(b"".join((*parts, end)), "<u4"))
                 seen["held"] += len(arrays[-1])
                 if seen["held"] >= SEGMENT:
                     rows.append(closed())
