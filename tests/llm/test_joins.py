@@ -257,6 +257,29 @@ def test_chunks_go_through_the_library_together(monkeypatch, merged):
     assert len(calls) == (0 if merged else -(-len(new) // token_files.TOGETHER))
 
 
+def test_merger_looks_up_what_words_hold(monkeypatch):
+    """A long word beside short ones does not widen their rows; the ids are those of single words."""
+    v, looked, rank = load_vocabulary(tokenizer_path()), [], bpe.Merger._rank
+    monkeypatch.setattr(bpe.Merger, "_rank", lambda self, a, b: looked.append(a.size) or rank(self, a, b))
+    raw = [w.encode() for w in odd_words(5, 800)] + [b"ab", b"a", b"e" * 32, b"e" * 33, b"e" * 200, b""]
+    merger = bpe.Merger(v)
+    assert merger.words(raw) == [bpe.merge_word(w, v) for w in raw]
+    looked.clear()
+    short = [f"x{k}".encode() for k in range(1000)] + [b"e" * 32]
+    merger.words(short)
+    assert max(looked) <= 6 * len(short)
+
+
+def test_chunks_that_do_not_decode_to_themselves():
+    """Whole chunks are compared at once; one odd chunk among them changes no other."""
+    v = load_vocabulary(tokenizer_path())
+    cached = bpe.encoder(v, bpe.Lexicon.compile({}))
+    new = [" the", "\ud800x", "é", " zzq."]
+    got = cached.encode_new(new)
+    assert got == [cached.encode_new([c])[0] for c in new]
+    assert [b for _, b in got] == [" the", "\ufffd\ufffd\ufffdx", "é", " zzq."]
+
+
 def test_lexicon():
     v = load_vocabulary(tokenizer_path())
     words = {w.encode(): bpe.merge_chunk(w, v) for w in ("tap", "taps", "top", "tops", " top", "stops", "é", "ta")}

@@ -73,14 +73,21 @@ def merge_chunk(chunk: str, v: Vocabulary) -> list[int]:
 
 
 class Merger:
-    """Merges many words at a time: a row of ids for each word, one merge in every row in each round."""
+    """Merges many words at a time: a row of places for each word, one merge in every row in each round.
+
+    Places stay where they are; each knows the ones before and after it that still hold an id.
+    """
 
     WIDTH = 32
+    #: Words up to each of these lengths share an array.
+    WIDTHS = (6, 9, 13, 20, WIDTH)
 
     def __init__(self, v: Vocabulary):
         self.v, self.pairs = v, np.array(sorted(v.merges), np.int64)
         self.merge = np.array([v.merges[k] for k in self.pairs.tolist()], np.int64)
         self.bytes_ = np.array(v.bytes_, np.int64)
+        #: ranks of all pairs of bytes, as left << 8 | right
+        self.first = self._rank(np.repeat(self.bytes_, 256), np.tile(self.bytes_, 256)) if len(self.pairs) else None
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         want = left << 20 | right
@@ -89,35 +96,53 @@ class Merger:
 
     def words(self, raw: list[bytes]) -> list[list[int]]:
         out: list[list[int]] = [[]] * len(raw)
-        short = [k for k, w in enumerate(raw) if 0 < len(w) <= self.WIDTH] if len(self.pairs) else []
-        for k in set(range(len(raw))).difference(short):
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        if not len(self.pairs):
+            return [merge_word(w, self.v) for w in raw]
+        for k in np.flatnonzero(sizes > self.WIDTH).tolist():
             out[k] = merge_word(raw[k], self.v)
-        if not short:
-            return out
-        who, size = np.array(short), np.array([len(raw[k]) for k in short])
-        ids = np.full((len(short), int(size.max()) + 1), -1, np.int64)
-        ids[np.arange(ids.shape[1]) < size[:, None]] = self.bytes_[np.frombuffer(b"".join(raw[k] for k in short), np.uint8)]
-        ranks, place = self._rank(ids[:, :-1], ids[:, 1:]), np.arange(ids.shape[1])
+        for least, most in zip((0, *self.WIDTHS), self.WIDTHS, strict=False):
+            who = np.flatnonzero((sizes > least) & (sizes <= most)).tolist()
+            if who:
+                for k, ids in zip(who, self._merged([raw[k] for k in who], sizes[who]), strict=True):
+                    out[k] = ids
+        return out
+
+    def _merged(self, raw: list[bytes], size: np.ndarray) -> list[list[int]]:
+        """The ids of words that are not empty. Arrays are flat, a row has one place more than its longest word."""
+        n, width = len(raw), int(size.max()) + 1
+        place = np.arange(width)
+        rows = np.full((n, width), -1, np.int64)
+        flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.int64)
+        rows[place < size[:, None]] = self.bytes_[flat]
+        ranks, inside = np.full((n, width), _NONE, np.int64), np.ones(len(flat), bool)
+        inside[np.cumsum(size) - 1] = False
+        ranks[place < size[:, None] - 1] = self.first[(flat[:-1] << 8 | flat[1:])[inside[:-1]]]
+        ids, rank = rows.reshape(-1), ranks.reshape(-1)
+        after = np.arange(1, n * width + 1)
+        before = np.arange(-1, n * width - 1)
+        before[::width] = -1
+        alive = np.arange(n)
         while True:
-            at = ranks.argmin(axis=1)
-            merge = ranks[np.arange(len(ranks)), at]
-            done = merge == _NONE
-            for k, row, n in zip(who[done].tolist(), ids[done].tolist(), (ids[done] >= 0).sum(axis=1).tolist(), strict=True):
-                out[k] = row[:n]
-            if done.all():
-                return out
-            who, ids, ranks, at, merge = who[~done], ids[~done], ranks[~done], at[~done], merge[~done]
-            # What lies behind the merged pair moves up by one.
-            source = np.minimum(place + (place > at[:, None]), len(place) - 1)
-            ids = np.take_along_axis(ids, source, axis=1)
-            ids[:, -1] = -1
-            rows = np.arange(len(ids))
-            ids[rows, at] = merge & 0xFFFFF
-            ranks = np.take_along_axis(ranks, np.minimum(source[:, :-1], ranks.shape[1] - 1), axis=1)
-            ranks[:, -1] = _NONE
-            ranks[rows, at] = self._rank(ids[rows, at], ids[rows, at + 1])
-            inner = at > 0
-            ranks[rows[inner], at[inner] - 1] = self._rank(ids[rows[inner], at[inner] - 1], ids[rows[inner], at[inner]])
+            best = ranks[alive].argmin(axis=1)
+            at = alive * width + best
+            merge = rank[at]
+            more = merge != _NONE
+            alive, at, merge = alive[more], at[more], merge[more]
+            if not len(alive):
+                break
+            right = after[at]
+            behind = after[right]
+            ids[at], ids[right], rank[right] = merge & 0xFFFFF, -1, _NONE
+            after[at], before[behind] = behind, at
+            rank[at] = self._rank(ids[at], ids[behind])
+            left = before[at]
+            inner = left >= 0
+            left, at = left[inner], at[inner]
+            rank[left] = self._rank(ids[left], ids[at])
+        kept = rows >= 0
+        flat, ends = rows[kept].tolist(), np.cumsum(kept.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 class Lexicon:
@@ -269,24 +294,42 @@ def encoder(vocabulary: Vocabulary, compiled: bytes) -> Cached:
     """
     lexicon, merger, tokens = mapped(compiled), Merger(vocabulary), vocabulary.tokens
     decimal = [str(i) for i in range(len(tokens))]
+    lengths = np.array([len(t) for t in tokens], np.int64)
+
+    def listed(ids: list[int]) -> str:
+        return ",".join(map(decimal.__getitem__, ids))
+
+    def decoded(ids: list[int]) -> str:
+        return b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
 
-    def shown(ids: list[int], chunk: str | None = None) -> tuple[str, str]:
-        back = b"".join(map(tokens.__getitem__, ids)).decode("utf-8", "replace")
-        return ",".join(map(decimal.__getitem__, ids)), chunk if back == chunk else back
+    def themselves(raw: list[bytes], ids: list[list[int]]) -> bool:
+        """Whether the ids of each chunk decode to it: all of them to all chunks, and each to as many bytes."""
+        flat = list(chain.from_iterable(ids))
+        whole = b"".join(raw)
+        if b"".join(map(tokens.__getitem__, flat)) != whole or whole.decode("utf-8", "replace").encode() != whole:
+            return False
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        return np.array_equal(np.cumsum(lengths[flat])[ends - 1], np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))))
 
-    def look_up(words: list[str]) -> list[list[int] | None]:
-        return lexicon.outputs(lexicon.find([w.encode("utf-8", "surrogatepass") for w in words]))
+    def look_up(raw: list[bytes]) -> list[list[int] | None]:
+        return lexicon.outputs(lexicon.find(raw))
 
     def encode_new(new: list[str]) -> list[tuple[str, str]]:
-        out = look_up(new)
-        cut = {c: pre_tokens(c) for c, ids in zip(new, out, strict=True) if ids is None}
-        tokens = list({t for ts in cut.values() for t in ts})
-        known = {t: ids for t, ids in zip(tokens, look_up(tokens), strict=True) if ids is not None}
-        unseen = [t for t in tokens if t not in known]
-        known.update(zip(unseen, merger.words([t.encode("utf-8", "surrogatepass") for t in unseen]), strict=True))
-        return [shown(ids if ids is not None else [i for t in cut[c] for i in known[t]], c) for c, ids in zip(new, out, strict=True)]
-
-    return Cached(encode_new, vocabulary.added, lambda k: shown([k]))
+        raw = [w.encode("utf-8", "surrogatepass") for w in new]
+        out = look_up(raw)
+        cut = {k: pre_tokens(new[k]) for k, ids in enumerate(out) if ids is None}
+        parts = {t: t.encode("utf-8", "surrogatepass") for ts in cut.values() for t in ts}
+        known = dict(zip(parts, look_up(list(parts.values())), strict=True))
+        unseen = [t for t, ids in known.items() if ids is None]
+        known.update(zip(unseen, merger.words([parts[t] for t in unseen]), strict=True))
+        for k, ts in cut.items():
+            out[k] = known[ts[0]] if len(ts) == 1 else [i for t in ts for i in known[t]]
+        if themselves(raw, out):
+            return list(zip(map(listed, out), new, strict=True))
+        back = map(decoded, out)
+        return [(listed(ids), c if b == c else b) for ids, b, c in zip(out, back, new, strict=True)]
+
+    return Cached(encode_new, vocabulary.added, lambda k: (listed([k]), decoded([k])))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str = "text", with_ids: bool = False):
