@@ -135,6 +135,45 @@ def test_parities_never_refuse_a_link():
             assert jaccard_join.may_link(len(a), parity(a), len(b), parity(b))
 
 
+def test_pairs_of_a_tile():
+    """As many pairs as `may_link` allows one by one, between sides and within one."""
+    r = np.random.default_rng(7)
+    base, rows = np.unique(r.integers(0, 1 << 63, 140, dtype=np.uint64)), []
+    for k in range(60):
+        kept = r.permutation(base)[: r.integers(25, 141)]
+        s = np.unique(np.concatenate((kept, r.integers(0, 1 << 63, r.integers(0, 9), dtype=np.uint64))))
+        places = 1 << max(6, (2 * len(s)).bit_length())
+        odd = np.bincount((s >> np.uint64(9)).astype(np.int64) & (places - 1), minlength=places).astype(np.uint8) & 1
+        rows.append((k % 3 == 0, k, len(s), k % 7, np.packbits(odd).tobytes()))
+    for tile in (rows, [(True, *x[1:]) for x in rows], rows[:1]):
+        want = {(x[1], y[1]) for x in tile for y in tile if x[1] < y[1] and x[3] != y[3] and jaccard_join.may_link(x[2], x[4], y[2], y[4])}
+        want = {(a, b) for a, b in want if len({t[0] for t in tile}) == 1 or tile[a][0] != tile[b][0]}
+        got = jaccard_join.near_pairs(tile)
+        assert set(got) == want and len(got) == len(want) and (len(want) > 5 or len(tile) == 1)
+
+
+def test_related_texts_make_no_more_rows_than_keys(spark, monkeypatch):
+    """Texts that share most blocks, but too few for a link, fill many long lists with the same classes."""
+    shared, rows = prose(77, 84).split(), []
+    for k in range(60):
+        words = list(shared)
+        for at in range(k % 4, 84, 14):
+            words[at] = f"own{k}x{at}"
+        rows.append((k, " ".join(words)))
+    sizes, stored = [], jaccard_join.stored
+
+    def counted(df, purpose):
+        out = stored(df, purpose)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(documents(spark, rows)).collect()}
+    assert got == brute_components(rows)
+    keys = sum(len(b) for _, x in rows for b in jaccard_join.block_lists(jaccard_join.shingle_set(x, jaccard_join._Hashes())))
+    assert max(sizes) <= keys
+
+
 def test_lookup_table():
     shards = [f"s{k}" for k in range(7)]
     table = sharding.lookup_table(shards, 503)

@@ -11,9 +11,11 @@ a similarity of 0.8 or more are found, by keys that such pairs must share:
 
 Where light ends is chosen by cost. Keys only propose; every link is proven on the sets. Within a
 list, all are first held against one; only classes that are then in different components meet again,
-and long lists are split by a further common key before. So copies never meet all copies.
+by small parities in blocks, and long lists are cut into tiles before. So copies never meet all copies.
 """
 
+from collections.abc import Callable
+
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +27,12 @@ SHINGLE = 5
 #: A set may be light up to this size, and is always light up to TINY: smaller sets have too few
 #: blocks for 1 + SPLITS common ones, but four common shingles.
 LIGHT, TINY = 64, 7
-#: A list that is not all of one component is split by a further key where its pairs would be more
-#: than so many times the rows of the split.
-LONG = 1.0
-#: Further keys that a list may be split by.
-SPLITS = 2
+#: Shingles of all sets of a list, in units of TILE, from which on it is cut into tiles.
+LONG, TILE = 1.0, 1 << 22
+#: Common keys that sets have to spare.
+SPLITS = 0
+#: Words of parities that are compared at a time.
+_AT_A_TIME = 1 << 18
 #: Rows of a few numbers up to which a side is broadcast, by count: for pairs and sets, and for keys
 #: (two numbers, some 64 MB). Beyond it, joins shuffle.
 BROADCAST_ROWS, BROADCAST_KEYS = 200_000, 1_500_000
@@ -65,7 +68,7 @@ def least_overlap(n: int) -> int:
 
 
 def light_items(s: np.ndarray) -> list[int]:
-    """The first shingles in hash order, enough for subsets of up to 2 + SPLITS."""
+    """The first shingles in hash order, enough for subsets of 2 + SPLITS."""
     return s[: len(s) - least_overlap(len(s)) + 2 + SPLITS].view(np.int64).tolist()
 
 
@@ -203,29 +206,65 @@ def links_of(a: bytes, b: bytes) -> bool:
     return 100 * both >= 80 * (len(x) + len(y) - both)
 
 
-def _proven(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs `a, b` of classes that are similar: first by parities, what remains by the sets."""
+def near_pairs(tile: list[tuple[bool, int, int, int, bytes]]) -> list[tuple[int, int]]:
+    """The pairs `a < b` of a tile that sizes and parities allow, as `may_link` does, of different components.
 
-    def sieve(test):
-        def start():
-            def step(columns):
-                kept = [r[:2] for r in zip(*columns, strict=True) if test(*r[2:])]
-                return list(zip(*kept, strict=True)) if kept else None
+    The rows are `side, cls, n, comp, parity`. Rows of either side meet those of the other; if all are of one side, all meet.
+    """
+    out, one = [], len({r[0] for r in tile}) == 1
+    side, cls, n, comp = (np.array(c) for c in list(zip(*tile, strict=True))[:4])
+    length = np.array([len(r[4]) for r in tile])
+    # Sizes that may link are so near that lengths are equal or one is half the other.
+    for size in np.unique(length).tolist():
+        own, longer = np.flatnonzero(length == size), np.flatnonzero(length == 2 * size)
+        words_ = np.frombuffer(b"".join([tile[k][4] for k in own]), np.uint64).reshape(-1, size // 8)
+        halves = np.frombuffer(b"".join([tile[k][4] for k in longer]), np.uint64).reshape(-1, size // 4)
+        half = size // 8
+        for others, parity in ((own, words_), (longer, halves[:, :half] ^ halves[:, half:])):
+            step = max(1, _AT_A_TIME // max(1, parity.size))
+            for at in range(0, len(own) if len(others) else 0, step):
+                some = own[at : at + step]
+                differ = np.bitwise_count(words_[at : at + step, None] ^ parity).sum(axis=2, dtype=np.int64)
+                low, high = np.minimum(n[some, None], n[others]), np.maximum(n[some, None], n[others])
+                fits = (9 * differ <= low + high) & (5 * low >= 4 * high) & (comp[some, None] != comp[others])
+                if not one:
+                    fits &= side[some, None] != side[others]
+                i, j = np.nonzero(fits)
+                x, y = cls[some[i]], cls[others[j]]
+                out += zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)
+    return list(set(out))
+
+
+def _sieved(pairs: DataFrame, test: Callable) -> DataFrame:
+    """The pairs `a, b` whose fields pass."""
 
-            return step
+    def start():
+        def step(columns):
+            kept = [r[:2] for r in zip(*columns, strict=True) if test(*r[2:])]
+            return list(zip(*kept, strict=True)) if kept else None
 
-        return start
+        return step
 
-    def laid(pairs, fields):
-        """The pairs with the fields of both ends; pairs are few numbers, so they move to the sets where they can."""
-        pairs = stored(pairs, "pairs")
-        ends = pairs.select(F.col("b").alias("cls")).distinct()
-        of_a = sets.join(_small(pairs), sets["cls"] == pairs["a"]).select("a", "b", *[F.col(f).alias(f"a_{f}") for f in fields])
-        of_b = sets.join(_small(ends), "cls", "left_semi").select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in fields])
-        return of_a.join(of_b, "b").select("a", "b", *[f"a_{f}" for f in fields], *[f"b_{f}" for f in fields])
+    return map_columns(pairs, "a long, b long", start)
 
-    possible = map_columns(laid(pairs, ["n", "parity"]), "a long, b long", sieve(may_link))
-    return map_columns(laid(possible, ["items"]), "a long, b long", sieve(links_of))
+
+def _laid(pairs: DataFrame, sets: DataFrame, fields: list[str]) -> DataFrame:
+    """The pairs with the fields of both ends; pairs are few numbers, so they move to the sets where they can."""
+    pairs = stored(pairs, "pairs")
+    ends = pairs.select(F.col("b").alias("cls")).distinct()
+    of_a = sets.join(_small(pairs), sets["cls"] == pairs["a"]).select("a", "b", *[F.col(f).alias(f"a_{f}") for f in fields])
+    of_b = sets.join(_small(ends), "cls", "left_semi").select(F.col("cls").alias("b"), *[F.col(f).alias(f"b_{f}") for f in fields])
+    return of_a.join(of_b, "b").select("a", "b", *[f"a_{f}" for f in fields], *[f"b_{f}" for f in fields])
+
+
+def _possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that sizes and parities allow to be similar."""
+    return _sieved(_laid(pairs, sets, ["n", "parity"]), may_link)
+
+
+def _proven(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs `a, b` of classes that are similar, by the sets."""
+    return _sieved(_laid(pairs, sets, ["items"]), links_of)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -243,42 +282,56 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("cls", "comp")
 
 
-def _mixed(lists: DataFrame, labelled: DataFrame, met: int) -> DataFrame:
-    """The rows of lists whose classes are in several components, with `comp`, and `split` where a list is long.
+def _mixed(members: DataFrame, labelled: DataFrame) -> DataFrame:
+    """`key, cls, n, comp, tiles` of the lists whose classes are in several components, with the number of parts a list is cut to.
 
-    Lists of up to `met` classes are left out, as all their pairs have been looked at. All members of a list may make a pair with all; split, each makes a row for each of its next keys.
+    Lists of two are left out, as their one pair has been held against its center.
     """
-    named = lists.join(labelled, "cls")
+    named = members.select("key", "cls").join(labelled, "cls")
     ends = named.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), (F.count("*") * F.count("*") / 2 > LONG * F.sum(F.col("n") / 4 + 2)).alias("split"),
-        F.count("*").alias("members"),
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("members"),
+        F.least(F.count("*"), F.ceil(F.sum("n") / max(1.0, LONG * TILE))).alias("tiles"),
     )
-    return named.join(ends.where(f"low < high AND members > {met}").select("key", "split"), "key")
+    return named.join(ends.where("low < high AND members > 2").select("key", "tiles"), "key")
 
 
 #: Sizes of sets with a similarity of 0.8 or more.
 _SIZES = "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"
 
 
-def _across(mixed: DataFrame) -> DataFrame:
-    """The pairs of classes of a list that are in different components and of sizes that may link."""
-    a = mixed.select("key", F.col("cls").alias("a"), F.col("comp").alias("a_comp"), F.col("n").alias("a_n"))
-    b = mixed.select("key", F.col("cls").alias("b"), F.col("comp").alias("b_comp"), F.col("n").alias("b_n"))
-    return a.join(b, "key").where(f"a < b AND a_comp <> b_comp AND {_SIZES}").select("a", "b").distinct()
+def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs of classes of a list that are in different components and that sizes and parities allow.
 
+    A tile is a pair of parts of a list; each part meets each part, itself included, in one of them. A task holds one tile.
+    """
 
-def _split(long: DataFrame, prefixes: DataFrame, depth: int) -> DataFrame:
-    """`key, cls` of long lists by a further common key: similar sets share one more among their next keys.
+    def start():
+        held, now = [], [None]
 
-    `prefixes` has the light items and blocks of each class, `base` the first key of a list.
-    """
-    more = F.expr(
-        f"concat(IF(exists(light, x -> array_contains(light, x ^ base)), filter(slice(light, 1, n - CAST(ceil(0.8 * n) AS INT) + 2 + {depth}), "
-        "x -> NOT array_contains(light, x ^ base)), CAST(array() AS array<bigint>)), "
-        f"flatten(transform(filter(blocks, b -> array_contains(b, base)), b -> filter(slice(b, 1, CAST(floor(n / 4) AS INT) + 1 + {depth}), k -> k <> base))))"
-    )
-    wide = long.join(prefixes, "cls").select("cls", "base", "last", "key", F.explode(more).alias("next")).where("last IS NULL OR next <> last")
-    return wide.select(F.xxhash64("key", "next").alias("key"), "cls", "base", F.col("next").alias("last"))
+        def met():
+            pairs = near_pairs(held) if len(held) > 1 else []
+            held.clear()
+            return pairs
+
+        def step(columns):
+            if columns is None:
+                out = met()
+            else:
+                out = []
+                for row in zip(*columns, strict=True):
+                    if row[:3] != now[0]:
+                        out += met()
+                        now[0] = row[:3]
+                    held.append(row[3:])
+            return list(zip(*out, strict=True)) if out else None
+
+        return step
+
+    parts = mixed.withColumn("part", F.pmod(F.xxhash64("cls"), F.col("tiles"))).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    placed = parts.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "cls", "n", "comp")
+    rows = placed.join(sets.select("cls", "parity"), "cls").select("key", "low", "high", (F.col("part") == F.col("low")).alias("side"), "cls", "n", "comp", "parity")
+    tiles = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return map_columns(tiles, "a long, b long", start, finish=True).distinct()
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,31 +355,19 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     sets = stored(_sets(classes, docs, key, text, wanted), "sets")
     # Each class is held against one center first. What that brings together need not meet again.
     nearest = stored(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "star")
-    edges = stored(_proven(nearest, sets), "links")
+    edges = stored(_proven(_possible(nearest, sets), sets), "links")
     labels = components(edges)
     apart = star.join(nearest, ["a", "b"], "left_anti")
     for end in ("a", "b"):
         apart = apart.join(_small(labels.select(F.col("cls").alias(end), F.col("comp").alias(f"{end}_comp"))), end, "left")
     apart = apart.where("coalesce(a_comp, a) <> coalesce(b_comp, b)").select("a", "b")
-    further = stored(_proven(apart, sets), "links")
+    further = stored(_proven(_possible(apart, sets), sets), "links")
     if not further.isEmpty():
         edges = edges.unionByName(further)
         labels = components(edges)
 
     labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
-    lists = first.select("key", "cls", F.col("key").alias("base"), F.lit(None).cast("long").alias("last"))
-    later = None
-    for depth in range(1, SPLITS + 2):
-        # The one pair of a list of two has been held against its center; split lists have not.
-        mixed = stored(_mixed(lists, labelled, 2 if depth == 1 else 1), "mixed")
-        met = _across(mixed.where(~F.col("split")) if depth <= SPLITS else mixed)
-        later = met if later is None else later.unionByName(met)
-        if depth > SPLITS or (long := mixed.where("split").drop("comp", "split", "n")).isEmpty():
-            break
-        of_long = long.select("cls").distinct()
-        prefixes = classes.select("cls", "n", "light", "blocks").join(_small(of_long), "cls", "left_semi").dropDuplicates(["cls"])
-        lists = stored(_split(long, prefixes, depth), "split")
-    later = later.distinct().join(star, ["a", "b"], "left_anti")
+    later = _across(stored(_mixed(first, labelled), "mixed"), sets).join(star, ["a", "b"], "left_anti")
     more = stored(_proven(later, sets), "links")
     if not more.isEmpty():
         labels = components(edges.unionByName(more))
