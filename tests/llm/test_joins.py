@@ -296,6 +296,37 @@ def test_chunks_go_through_the_library_together(monkeypatch, merged):
     assert len(calls) == (0 if merged else -(-len(new) // token_files.TOGETHER))
 
 
+def test_known_words_are_not_encoded_again(monkeypatch):
+    """Behind a known word only the punctuation is new, in either half of the cache; the ids are the library's."""
+    import tokenizers
+
+    class Counted:
+        from_str = Tokenizer.from_str
+
+        def __init__(self, model):
+            self.real = Tokenizer(model)
+
+        def encode_batch_fast(self, *args, **more):
+            calls.append(1)
+            return self.real.encode_batch_fast(*args, **more)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    monkeypatch.setattr(token_files, "ENDS", 2)
+    source, calls = load_vocabulary(tokenizer_path()).text, []
+    plain, cached = Tokenizer.from_str(source), token_files.library_encoder(source, {})
+    words = ["ab", " zqx", " \u00e9t\u00e9", " The"]
+    cached.encode_new(words)
+    cached.known.update(zip(words[:2], cached.encode_new(words[:2]), strict=True))
+    cached.older.update(zip(words[2:], cached.encode_new(words[2:]), strict=True))
+    calls.clear()
+    new = [w + e for w in words for e in (".", ",", "!?", "...", ";")]
+    got = cached.encode_new([*new, " other.", *new])
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [plain.encode(c, add_special_tokens=False).ids for c in [*new, " other.", *new]]
+    assert len(calls) == 1
+    text = ["ab zqx, \u00e9t\u00e9. The; ab.", "", " The"]
+    assert [np.frombuffer(b"".join(x), "<u4").tolist() for x in cached.encode(text)] == [plain.encode(t, add_special_tokens=False).ids for t in text]
+
+
 def test_merger_looks_up_what_words_hold(monkeypatch):
     """A long word beside short ones does not widen their rows; the ids are those of single words."""
     v, looked, rank = load_vocabulary(tokenizer_path()), [], bpe.Merger._rank

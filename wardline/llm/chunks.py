@@ -65,9 +65,13 @@ def load_vocabulary(path: str) -> Vocabulary:
     return Vocabulary(text, tokens, merges, [by_byte[b] for b in range(256)], added)
 
 
+#: All white space but blanks and line ends, and what of those is not one alone.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"] + ["  ", " \n", "\n ", "\n\n"]
+
+
 def _plain(text: str) -> bool:
     """Whether all white space is one blank between two words or one line end between two lines."""
-    return text != "" and " ".join(text.split()) == text.replace("\n", " ")
+    return text != "" and not (text[0].isspace() or text[-1].isspace()) and not any(map(text.__contains__, _OTHER_SPACE))
 
 
 def chunks(text: str) -> list[str]:
@@ -106,13 +110,13 @@ class Cached:
     chunks stay.
     """
 
-    def __init__(self, encode_new, added: dict[str, int], special=lambda k: [k]):
-        self.encode_new, self.added, self.special, self.known, self.older = encode_new, added, special, {}, {}
+    def __init__(self, encode_new, added: dict[str, int], special=lambda k: [k], most: int | None = None):
+        self.encode_new, self.added, self.special, self.most, self.known, self.older = encode_new, added, special, most, {}, {}
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text what each of its chunks comes to."""
         cut = [[(chunks(p), special) for p, special in pieces(t, self.added)] for t in texts]
-        if len(self.known) > CACHED // 2:
+        if len(self.known) > (self.most or CACHED) // 2:
             self.known, self.older = {}, self.known
         known, older, new = self.known, self.older, []
         for c in set().union(*[p for text in cut for p, _ in text]).difference(known):

@@ -34,6 +34,8 @@ SEGMENT = 1 << 20
 END = 2
 #: Chunks that go through the model of the library together.
 TOGETHER = 100
+#: Chunks that a worker keeps, with the bytes of their ids (some 250 bytes each), and ends of chunks.
+KNOWN, ENDS = 1600000, 10_000
 
 _P, _W32 = np.uint64(PRECISION), np.uint64(32)
 _LOW, _SLOTS, _LEAST = np.uint64(0xFFFFFFFF), np.uint64((1 << PRECISION) - 1), np.uint64(1 << 31)
@@ -169,6 +171,7 @@ def library_encoder(source: str, added: dict[str, int]) -> Cached:
 
     Many go at a time, with a byte between pre-tokens and another between chunks that no UTF-8 has.
     No merge reaches across a byte that is in no merge; if a tokenizer has one, its pre-tokens go one by one.
+    A new chunk that is a known word and punctuation is put together from both.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has a core
     from tokenizers import Tokenizer
@@ -187,20 +190,51 @@ def library_encoder(source: str, added: dict[str, int]) -> Cached:
         known = {t: [x.id for x in model.tokenize(lettered(t))] for t in {t for ts in cut for t in ts}}
         return [np.array([i for t in ts for i in known[t]], "<u4").tobytes() for ts in cut]
 
+    ends_known: dict[str, bytes] = {}
+
+    def end_of(token: str) -> bytes:
+        if len(ends_known) > ENDS:
+            ends_known.clear()
+        ends_known[token] = ids = one_by_one([[token]])[0]
+        return ids
+
     def encode_new(new: list[str]) -> list[bytes]:
+        cut = list(map(pre_tokens, new))
         if not apart:
-            return one_by_one([pre_tokens(c) for c in new])
+            return one_by_one(cut)
+        # A word that is known without the punctuation behind it need not go again.
+        known, older, out, left, places, words = cached.known, cached.older, [], [], [], []
+        for k, ts in enumerate(cut):
+            end = b""
+            if len(ts) == 2:
+                end = ends_known.get(ts[1]) or end_of(ts[1])
+                if ids := known.get(ts[0]) or older.get(ts[0]):
+                    out.append(ids + end)
+                    continue
+                words.append(k)
+                ts = ts[:1]
+            left.append(ts)
+            places.append(k)
+            out.append(end)
+        for k, ids in zip(places, together(left), strict=True):
+            out[k] = ids + out[k]
+        # Words that were met with punctuation only are kept alone as well.
+        known.update((cut[k][0], out[k][: -len(ends_known.get(cut[k][1]) or end_of(cut[k][1]))]) for k in words)
+        return out
+
+    def together(cut: list[list[str]]) -> list[bytes]:
         out = []
-        for at in range(0, len(new), TOGETHER):
+        for at in range(0, len(cut), TOGETHER):
             # Escaped, these two become the bytes 0xFE and 0xFF.
-            text = "\udcff".join(["\udcfe".join(pre_tokens(c)) for c in new[at : at + TOGETHER]])
+            text = "\udcff".join(["\udcfe".join(ts) for ts in cut[at : at + TOGETHER]])
             ids = np.array(whole.encode_batch_fast([lettered(text)], add_special_tokens=False)[0].ids, "<u4")
             ids = ids[ids != token_end]
             raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == chunk_end)).tolist()
             out += [raw[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(raw)], strict=True)]
         return out
 
-    return Cached(encode_new, added, lambda k: np.array([k], "<u4").tobytes())
+    cached = Cached(encode_new, added, lambda k: np.array([k], "<u4").tobytes(), KNOWN)
+    return cached
 
 
 def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -237,7 +271,8 @@ def token_segments(docs: DataFrame, path: str, key: str = "doc_id", text: str =
             rows = []
             for k, parts in zip(columns[0], cached.encode([t or "" for t in columns[1]]), strict=True):
                 keys.append(k)
-                arrays.append(np.frombuffer(b"".join((*parts, end)), "<u4"))
+                parts.append(end)
+                arrays.append(np.frombuffer(b"".join(parts), "<u4"))
                 seen["held"] += len(arrays[-1])
                 if seen["held"] >= SEGMENT:
                     rows.append(closed())
