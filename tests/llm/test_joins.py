@@ -150,6 +150,17 @@ def test_pairs_of_a_tile():
         want = {(a, b) for a, b in want if len({t[0] for t in tile}) == 1 or tile[a][0] != tile[b][0]}
         got = jaccard_join.near_pairs(tile)
         assert set(got) == want and len(got) == len(want) and (len(want) > 5 or len(tile) == 1)
+        few = jaccard_join.near_pairs(tile, forest=True)
+        of = {x[1]: x[3] for x in tile}
+
+        def joined(pairs):
+            names = {c: c for c in of.values()}
+            for a, b in pairs:
+                old, new = names[of[a]], names[of[b]]
+                names = {c: new if x == old else x for c, x in names.items()}
+            return {frozenset(c for c in names if names[c] == x) for x in names.values()}
+
+        assert set(few) <= want and joined(few) == joined(want) and len(few) < max(2, len(tile))
 
 
 def test_related_texts_make_no_more_rows_than_keys(spark, monkeypatch):

@@ -206,10 +206,11 @@ def links_of(a: bytes, b: bytes) -> bool:
     return 100 * both >= 80 * (len(x) + len(y) - both)
 
 
-def near_pairs(tile: list[tuple[bool, int, int, int, bytes]]) -> list[tuple[int, int]]:
+def near_pairs(tile: list[tuple[bool, int, int, int, bytes]], forest: bool = False) -> list[tuple[int, int]]:
     """The pairs `a < b` of a tile that sizes and parities allow, as `may_link` does, of different components.
 
     The rows are `side, cls, n, comp, parity`. Rows of either side meet those of the other; if all are of one side, all meet.
+    With `forest` only as many pairs as bring together all components that any pairs bring together, so fewer than rows.
     """
     out, one = [], len({r[0] for r in tile}) == 1
     side, cls, n, comp = (np.array(c) for c in list(zip(*tile, strict=True))[:4])
@@ -230,9 +231,14 @@ def near_pairs(tile: list[tuple[bool, int, int, int, bytes]]) -> list[tuple[int,
                 if not one:
                     fits &= side[some, None] != side[others]
                 i, j = np.nonzero(fits)
-                x, y = cls[some[i]], cls[others[j]]
-                out += zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist(), strict=True)
-    return list(set(out))
+                i, j = some[i], others[j]
+                while forest and len(i):
+                    out.append((int(cls[i[0]]), int(cls[j[0]])))
+                    comp[comp == comp[i[0]]] = comp[j[0]]
+                    apart = comp[i] != comp[j]
+                    i, j = i[apart], j[apart]
+                out += zip(cls[i].tolist(), cls[j].tolist(), strict=True)
+    return list({(min(p), max(p)) for p in out})
 
 
 def _sieved(pairs: DataFrame, test: Callable) -> DataFrame:
@@ -299,8 +305,8 @@ def _mixed(members: DataFrame, labelled: DataFrame) -> DataFrame:
 _SIZES = "5 * least(a_n, b_n) >= 4 * greatest(a_n, b_n)"
 
 
-def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs of classes of a list that are in different components and that sizes and parities allow.
+def _across(mixed: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
+    """The pairs of classes of a list that are in different components and that sizes and parities allow; with `forest` few of them.
 
     A tile is a pair of parts of a list; each part meets each part, itself included, in one of them. A task holds one tile.
     """
@@ -309,7 +315,7 @@ def _across(mixed: DataFrame, sets: DataFrame) -> DataFrame:
         held, now = [], [None]
 
         def met():
-            pairs = near_pairs(held) if len(held) > 1 else []
+            pairs = near_pairs(held, forest) if len(held) > 1 else []
             held.clear()
             return pairs
 
@@ -366,11 +372,16 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         edges = edges.unionByName(further)
         labels = components(edges)
 
-    labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
-    later = _across(stored(_mixed(first, labelled), "mixed"), sets).join(star, ["a", "b"], "left_anti")
-    more = stored(_proven(later, sets), "links")
-    if not more.isEmpty():
-        labels = components(edges.unionByName(more))
+    # Of the pairs across components first few in each list, so that groups with many links come together; then all that are left.
+    for forest in (True, False):
+        labelled = stored(sizes.join(labels, "cls", "left").select("cls", "n", F.coalesce("comp", "cls").alias("comp")), "labelled")
+        later = _across(stored(_mixed(first, labelled), "mixed"), sets, forest).join(star, ["a", "b"], "left_anti")
+        later = stored(later, "later")
+        more = stored(_proven(later, sets), "links")
+        star = star.unionByName(later)
+        if not more.isEmpty():
+            edges = edges.unionByName(more)
+            labels = components(edges)
 
     least = classes.where(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("id").alias("least"))
     named = least.join(labels, "cls", "left").select("cls", F.coalesce("comp", "cls").alias("comp"), "least")
