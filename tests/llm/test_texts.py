@@ -144,6 +144,33 @@ def test_forward_recursion_is_exact():
     assert hidden_markov.log_likelihoods(rows, after).sum() >= before
 
 
+def test_passes_hold_words_only_and_count_as_plain_recursions_do():
+    import numpy as np
+
+    r = np.random.default_rng(7)
+    model = hidden_markov.Model(*(hidden_markov._normal(r.random(s)) for s in ((3,), (3, 3), (3, 6))))
+    rows, firsts = [r.integers(0, 6, n) for n in (4, 1, 40, 4, 1, 17)], [True, True, False, True, False, False]
+    steps = hidden_markov.steps_of(rows)
+    assert len(steps.seen) == sum(map(len, rows)) and steps.at[-1] == len(steps.seen)  # nothing is filled up
+    overall = np.linalg.matrix_power(model.move, 64).mean(axis=0)
+    starts, moves, counts, like = np.zeros(3), np.zeros((3, 3)), np.zeros((3, 6)), 0.0
+    for row, first in zip(rows, firsts, strict=True):
+        alpha, beta = [(model.start if first else overall) * model.emit[:, row[0]]], [np.ones(3)]
+        for c in row[1:]:
+            alpha.append(alpha[-1] @ model.move * model.emit[:, c])
+        for c in row[:0:-1]:
+            beta.insert(0, model.move @ (model.emit[:, c] * beta[0]))
+        p = alpha[-1].sum()
+        like += np.log10(p) - (0 if first else np.log10(alpha[0].sum()))
+        starts += alpha[0] * beta[0] / p * first
+        for t, c in enumerate(row):
+            counts[:, c] += alpha[t] * beta[t] / p * (first or t > 0)
+            if t:
+                moves += np.outer(alpha[t - 1], model.emit[:, c] * beta[t]) * model.move / p
+    got = hidden_markov.expected_counts(rows, firsts, model)
+    assert all(np.allclose(x, y, rtol=1e-4) for x, y in zip(got, (starts, moves, counts, like), strict=True))
+
+
 def test_training_takes_all_words_until_it_settles(spark):
     import numpy as np
 

@@ -13,6 +13,7 @@ a sequence comes exactly from the forward recursion, scaled in each step.
 
 import zlib
 from collections import Counter
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -31,7 +32,7 @@ WINDOW = 512
 #: The likelihood has settled if a pass raises its logarithm by at most this part.
 SETTLED = 1e-4
 #: Words whose forward recursion runs at the same time, and different words counted before they are handed on.
-TOGETHER, COUNTED = 600_000, 200_000
+TOGETHER, COUNTED = 2_000_000, 200_000
 
 _SEED = 20_001
 _END = ""
@@ -69,8 +70,11 @@ def word_counts(docs: DataFrame, text: str) -> DataFrame:
 class Words(NamedTuple):
     """What tasks know of words: a bounded part of the counts, and the sums of every class."""
 
-    #: word to (class, count); classes of their own come first, then the tails
-    at_hand: dict[bytes, tuple[int, int]]
+    #: word to its place in the next two; the last place is that of no word
+    at_hand: dict[bytes, int]
+    #: classes and counts; classes of their own come first, then the tails
+    classes: np.ndarray
+    counts: np.ndarray
     own: int
     total: int
     different: int
@@ -83,7 +87,9 @@ def gather_words(counts: DataFrame) -> Words:
     sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     top = sorted(most_frequent(counts, AT_HAND).collect(), key=lambda r: (r["word"] != _END, -r["n"], r["word"]))
     own = min(OWN_CLASSES, len(top))
-    at_hand = {r["word"].encode(): (k if k < own else own + r["tail"], r["n"]) for k, r in enumerate(top)}
+    at_hand = {r["word"].encode(): k for k, r in enumerate(top)}
+    classes = np.array([*(k if k < own else own + r["tail"] for k, r in enumerate(top)), 0], np.int32)
+    held = np.array([*(r["n"] for r in top), 0], np.int64)
     n_class, v_class = np.zeros(own + TAILS), np.zeros(own + TAILS)
     for r in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
         n_class[own + r["tail"]], v_class[own + r["tail"]] = r["n"], r["v"]
@@ -91,13 +97,21 @@ def gather_words(counts: DataFrame) -> Words:
         n_class[k], v_class[k] = r["n"], 1
         n_class[own + r["tail"]] -= r["n"]
         v_class[own + r["tail"]] -= 1
-    return Words(at_hand, own, sums["n"] or 0, sums["v"], n_class, v_class)
+    return Words(at_hand, classes, held, own, sums["n"] or 0, sums["v"], n_class, v_class)
+
+
+def looked_up(tokens: list[bytes], known: Words) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Classes of tokens; the places of those that are at hand; and the others, as often as they occur."""
+    at = np.fromiter(map(known.at_hand.get, tokens, repeat(-1)), np.int64, len(tokens))
+    ids, missing = known.classes[at], np.flatnonzero(at < 0)
+    others = [tokens[k] for k in missing.tolist()]
+    ids[missing] = [known.own + tail_class(x) for x in others]
+    return ids, at[at >= 0], others
 
 
 def class_ids(w: list[bytes], known: Words) -> np.ndarray:
     """Classes of the words of a text and of its end."""
-    get, own = known.at_hand.get, known.own
-    return np.array([hit[0] if (hit := get(x)) else own + tail_class(x) for x in (*w, b"")], np.int32)
+    return looked_up([*w, b""], known)[0]
 
 
 class Model(NamedTuple):
@@ -115,47 +129,67 @@ def model_of(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.nd
     return Model(_normal(start + 0.1), _normal(move + 0.1), _normal(emit + share * (1.0 + 0.001 * emit.sum(axis=1, keepdims=True))))
 
 
+class Steps(NamedTuple):
+    """Sequences side by side, the longest first: what all have at a step lies together."""
+
+    #: the sequences in this order; where each step begins, and the last ends
+    order: np.ndarray
+    at: list[int]
+    #: the classes, step by step
+    seen: np.ndarray
+
+
+def steps_of(rows: list[np.ndarray]) -> Steps:
+    size = np.fromiter(map(len, rows), np.int64, len(rows))
+    order = np.argsort(-size, kind="stable")
+    size = size[order]
+    at = np.concatenate(([0], np.cumsum(np.searchsorted(-size, -np.arange(int(size[0])))))).astype(np.int64)
+    flat = np.concatenate([rows[k] for k in order.tolist()])
+    step = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+    seen = np.empty_like(flat)
+    seen[at[step] + np.repeat(np.arange(len(rows)), size)] = flat
+    return Steps(order, at.tolist(), seen)
+
+
 def expected_counts(rows: list[np.ndarray], firsts: list[bool], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Baum-Welch: expected starts, moves and emissions of sequences of classes, and their log likelihood.
 
     A sequence that continues a text starts as states are spread overall, and with the last word of
-    the one before: that word is counted there, the move from it here.
+    the one before: that word is counted there, the move from it here. Arrays have a row for each state.
     """
-    order = np.argsort([-len(r) for r in rows], kind="stable")
-    size = np.array([len(rows[k]) for k in order])
-    n, steps, states = len(rows), int(size[0]), len(model.start)
-    seen = np.zeros((steps, n), np.int64)
-    for j, k in enumerate(order):
-        seen[: size[j], j] = rows[k]
+    order, at, seen = steps_of(rows)
+    n, states = len(rows), len(model.start)
     overall = np.linalg.matrix_power(model.move, 64).mean(axis=0)
-    first = np.array([firsts[k] for k in order])
-    emit, move = np.ascontiguousarray(model.emit.T, np.float32), model.move.astype(np.float32)
-    alive = np.array([int(np.searchsorted(-size, -t)) for t in range(steps)])  # sequences of more than t words
-    alpha, scale = np.zeros((steps, n, states), np.float32), np.ones((steps, n), np.float32)
-    now = np.where(first[:, None], model.start, overall).astype(np.float32)
-    for t in range(steps):
-        a = alive[t]
-        now = (now[:a] if t == 0 else now[:a] @ move) * emit[seen[t, :a]]
-        scale[t, :a] = now.sum(axis=1)
-        now /= scale[t, :a, None]
-        alpha[t, :a] = now
-    starts, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((states, model.emit.shape[1]))
-    beta = np.ones((n, states), np.float32)
-    gamma = np.zeros_like(alpha)
-    for t in range(steps - 1, -1, -1):
-        a = alive[t]
-        gamma[t, :a] = alpha[t, :a] * beta[:a]
-        if t:
-            onward = emit[seen[t, :a]] * beta[:a] / scale[t, :a, None]
-            moves += alpha[t - 1, :a].T @ onward
-            beta[:a] = onward @ move.T
-    starts += gamma[0][first].sum(axis=0)
-    inside = np.arange(steps)[:, None] < size
-    inside[0] &= first
-    flat, weight = seen[inside], gamma[inside].astype(np.float64)
-    for k in range(states):
-        counts[k] = np.bincount(flat, weight[:, k], model.emit.shape[1])
-    return starts, moves * model.move, counts, float(np.log10(scale[inside].astype(np.float64)).sum())
+    first = np.array(firsts, bool)[order]
+    move = model.move.astype(np.float32)
+    back = np.ascontiguousarray(move.T)
+    emit = np.empty((states, len(seen)), np.float32)
+    for row, by_class in zip(emit, model.emit.astype(np.float32), strict=True):
+        np.take(by_class, seen, out=row, mode="clip")
+    alpha, scale = np.empty_like(emit), np.empty(len(seen), np.float32)
+    now = np.where(first, model.start[:, None], overall[:, None]).astype(np.float32)
+    for t, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+        to = alpha[:, a:b]
+        np.multiply(back @ now[:, : b - a] if t else now, emit[:, a:b], out=to)
+        np.add.reduce(to, axis=0, out=scale[a:b])
+        to /= scale[a:b]
+        now = to
+    # Behind a step, alpha becomes the probabilities of the states, and emit what lies between it and the step before.
+    moves, beta = np.zeros((states, states)), np.ones((states, n), np.float32)
+    for t in range(len(at) - 2, 0, -1):
+        a, b = at[t], at[t + 1]
+        alpha[:, a:b] *= beta[:, : b - a]
+        onward = emit[:, a:b]
+        onward *= beta[:, : b - a]
+        onward /= scale[a:b]
+        moves += alpha[:, at[t - 1] : at[t - 1] + b - a] @ onward.T
+        np.matmul(move, onward, out=beta[:, : b - a])
+    alpha[:, :n] *= beta
+    starts = alpha[:, :n][:, first].sum(axis=1, dtype=np.float64)
+    alpha[:, :n][:, ~first] = 0
+    scale[:n][~first] = 1
+    counts = np.array([np.bincount(seen, weight, model.emit.shape[1]) for weight in alpha])
+    return starts, moves * model.move, counts, float(np.log10(scale, dtype=np.float64).sum())
 
 
 def _first_model(share: np.ndarray) -> Model:
@@ -210,14 +244,14 @@ def baum_welch(sequences: DataFrame, model: Model, share: np.ndarray) -> tuple[M
                 return None
             flat = np.concatenate([np.ravel(x) for x in sums])
             at = np.flatnonzero(flat)
-            return at.tolist(), flat[at].tolist()
+            return at, flat[at]
 
         return step
 
     counted = map_columns(sequences, "cell int, n double", start, finish=True).groupBy("cell").agg(F.sum("n").alias("n"))
     flat = np.zeros(STATES + STATES * STATES + STATES * n_class + 1)
-    for r in counted.collect():
-        flat[r["cell"]] = r["n"]
+    summed = counted.toArrow()
+    flat[summed["cell"].to_numpy()] = summed["n"].to_numpy()
     starts, moves, emits = np.split(flat[:-1], [STATES, STATES + STATES * STATES])
     return model_of(starts, moves.reshape(STATES, STATES), emits.reshape(STATES, n_class), share), float(flat[-1])
 
@@ -238,21 +272,17 @@ def train(docs: DataFrame, text: str, counts: DataFrame) -> tuple[Words, Model]:
 
 def log_likelihoods(rows: list[np.ndarray], model: Model) -> np.ndarray:
     """log10 of the probability of each sequence: the forward recursion over all at a time, the longest first."""
-    order = np.argsort([-len(r) for r in rows], kind="stable")
-    size = np.array([len(rows[k]) for k in order])
-    flat, begins = np.concatenate([rows[k] for k in order]), np.cumsum(size) - size
-    emit, out = np.ascontiguousarray(model.emit.T), np.zeros(len(rows))
-    now, alive = np.tile(model.start, (len(rows), 1)), len(rows)
-    for t in range(int(size[0])):
-        while size[alive - 1] <= t:
-            alive -= 1
-        now = now[:alive] * emit[flat[begins[:alive] + t]]
-        scale = now.sum(axis=1)
-        out[:alive] += np.log10(scale)
-        now = (now / scale[:, None]) @ model.move
-    final = np.empty(len(rows))
-    final[order] = out
-    return final
+    order, at, seen = steps_of(rows)
+    back, scale = np.ascontiguousarray(model.move.T), np.empty(len(seen))
+    now = np.tile(model.start[:, None], len(rows))
+    for t, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+        now = (back @ now[:, : b - a] if t else now) * model.emit[:, seen[a:b]]
+        np.add.reduce(now, axis=0, out=scale[a:b])
+        now /= scale[a:b]
+    np.log10(scale, out=scale)
+    out = np.empty(len(rows))
+    out[order] = np.bincount(np.arange(len(seen)) - np.repeat(at[:-1], np.diff(at)), scale, len(rows))
+    return out
 
 
 def score(docs: DataFrame, known: Words, model: Model, counts: DataFrame, key: str, text: str, extra: list) -> DataFrame:
@@ -267,19 +297,15 @@ def score(docs: DataFrame, known: Words, model: Model, counts: DataFrame, key: s
         w, m = shared.value
         floor = np.log10(w.total + w.different + 1)
         in_class = np.log10(w.n_class + w.v_class + 1)
+        logs = np.log10(w.counts + 1.0)
         held: list[tuple] = []
         size = [0]
 
         def flush():
             if not held:
                 return None
-            rows = []
-            for (row, toks, ids), like in zip(held, log_likelihoods([h[2] for h in held], m), strict=True):
-                hits = [w.at_hand.get(x) for x in toks]
-                seen = np.array([h[1] for h in hits if h], np.float64)
-                logs = float(np.log10(seen + 1).sum())
-                rare = Counter(x for x, h in zip(toks, hits, strict=True) if not h)
-                rows.append((*row, len(toks), len(seen), logs - len(toks) * floor, logs + float(like) - float(in_class[ids].sum()), [{"word": k.decode(), "times": n} for k, n in rare.items()]))
+            likes = log_likelihoods([h[0] for h in held], m).tolist()
+            rows = [(*row, n, known, log - n * floor, log + like - within, word, times) for (_, row, n, known, log, within, word, times), like in zip(held, likes, strict=True)]
             held.clear()
             size[0] = 0
             return list(zip(*rows, strict=True))
@@ -289,20 +315,21 @@ def score(docs: DataFrame, known: Words, model: Model, counts: DataFrame, key: s
                 return flush()
             *row, texts = columns
             for r, x in zip(zip(*row, strict=True), texts, strict=True):
-                toks = words(x)
-                held.append((r, [*toks, b""], class_ids(toks, w)))
-                size[0] += len(toks) + 1
+                ids, at, others = looked_up([*words(x), b""], w)
+                rare = Counter(others)
+                held.append((ids, r, len(ids), len(at), float(logs[at].sum()), float(in_class[ids].sum()), [k.decode() for k in rare], list(rare.values())))
+                size[0] += len(ids)
             return flush() if size[0] > TOGETHER else None
 
         return step
 
     picked = docs.select(F.xxhash64(F.col(key), F.col(text)).alias("row"), F.col(key).alias("key"), *extra, F.col(text).alias("text"))
     head = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1])
-    made = map_columns(picked, f"{head}, n_tokens long, n_known long, base double, score double, rare array<struct<word: string, times: long>>", start, finish=True)
+    made = map_columns(picked, f"{head}, n_tokens long, n_known long, base double, score double, word array<string>, times array<long>", start, finish=True)
     # A row for each document itself (its word is one that no text has), and one for each rare word.
     group = picked.columns[:-1]
     itself = F.struct(F.concat(F.lit(" "), F.col("row").cast("string")).alias("word"), F.lit(None).cast("long").alias("times"))
-    apart = made.select(*group, "n_tokens", "n_known", "base", "score", F.explode(F.concat(F.array(itself), "rare")).alias("r")).select(*group, "n_tokens", "n_known", "base", "score", "r.*")
+    apart = made.select(*group, "n_tokens", "n_known", "base", "score", F.explode(F.concat(F.array(itself), F.arrays_zip("word", "times"))).alias("r")).select(*group, "n_tokens", "n_known", "base", "score", "r.*")
     met = apart.join(counts.select("word", "n"), "word", "left")
     own, log = F.col("times").isNull(), F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)
     summed = met.groupBy(*group).agg(
