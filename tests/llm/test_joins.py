@@ -261,6 +261,18 @@ def test_bpe(spark):
         assert row.e.decoded_sha256 == hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_token_ids_leave_the_worker_a_few_texts_at_a_time(spark, monkeypatch):
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    rows = [(k, prose(k, 40)) for k in range(50)] + [(100 + k, t) for k, (_, t) in enumerate(odd_texts())] + [(None, "no key"), (1, prose(1, 40))]
+    monkeypatch.setattr(bpe, "KNOWN_WITH_IDS", 8)  # so that chunks leave the cache as well
+    out = bpe.stage(spark, documents(spark, rows), "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan  # that holds whole batches of ids, of 10,000 texts
+    want = [(k, ids := tokenizer.encode(t or "", add_special_tokens=False).ids, hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()) for k, t in rows]
+    got = [(r.doc_id, list(r.ids), r.ids_sha256) for r in out.collect() if r.n_tokens == len(r.ids)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 ODD_SIGNS = [*"ab  \n\n\t'sreé²½Ⅷ中\U0001f642_1.,- \xa0\x85\x1c|#<\0ÿþ", " the", "'ll", "́"]
 
 

@@ -27,6 +27,8 @@ WORDS = 1 << 17
 LONG = 100
 #: Different words a task counts before it hands its counts on.
 COUNTED = 150_000
+#: Chunks kept by a worker that also makes the ids themselves, which are large.
+KNOWN_WITH_IDS = 150_000
 _NONE = 1 << 60
 
 
@@ -286,7 +288,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", w
     return Lexicon.compile({r["word"].encode(): merge_chunk(r["word"], vocabulary) for r in top})
 
 
-def encoder(vocabulary: Vocabulary, compiled: bytes) -> Cached:
+def encoder(vocabulary: Vocabulary, compiled: bytes, most: int | None = None) -> Cached:
     """Chunks by the lexicon; what it does not have is cut to pre-tokens, which it may have, or which are merged.
 
     A chunk comes to its ids in decimal, comma-joined, and to what they decode to. Both are made once
@@ -329,20 +331,17 @@ def encoder(vocabulary: Vocabulary, compiled: bytes) -> Cached:
         back = map(decoded, out)
         return [(listed(ids), c if b == c else b) for ids, b, c in zip(out, back, new, strict=True)]
 
-    return Cached(encode_new, vocabulary.added, lambda k: (listed([k]), decoded([k])))
+    return Cached(encode_new, vocabulary.added, lambda k: (listed([k]), decoded([k])), most)
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str = "text", with_ids: bool = False):
-    """A struct of `n_tokens, ids_sha256, decoded_sha256` (and `ids`) for each text.
-
-    The text is encoded, and its ids are decoded again. A null text counts as empty: no ids, and the
-    hashes of nothing. Equal texts have equal results.
-    """
+def _encoding(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, with_ids: bool):
+    """For tasks: a function from texts to the lists of the fields that `encode` names."""
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, compiled))
 
     def start():
         v, lexicon = shared.value
-        cached = kept(hashlib.sha256(lexicon).hexdigest(), lambda: encoder(v, lexicon))
+        most = KNOWN_WITH_IDS if with_ids else None
+        cached = kept(f"{hashlib.sha256(lexicon).hexdigest()} {most}", lambda: encoder(v, lexicon, most))
 
         def step(texts):
             n, hashes, decoded, all_ids = [], [], [], []
@@ -357,8 +356,31 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str =
 
         return step
 
-    schema = "n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return struct_udf(schema, start)(F.col(text))
+    return start
+
+
+_FIELDS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, text: str = "text"):
+    """A struct of `n_tokens, ids_sha256, decoded_sha256` for each text.
+
+    The text is encoded, and its ids are decoded again. A null text counts as empty: no ids, and the
+    hashes of nothing. Equal texts have equal results.
+    """
+    return struct_udf(_FIELDS, _encoding(docs, vocabulary, compiled, False))(F.col(text))
+
+
+def encode_with_ids(docs: DataFrame, vocabulary: Vocabulary, compiled: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """`<key>`, the same fields and `ids` for each row. Ids leave the worker a few texts at a time."""
+    encoding = _encoding(docs, vocabulary, compiled, True)
+
+    def start():
+        step = encoding()
+        return lambda columns: (columns[0], *step(columns[1]))
+
+    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, {_FIELDS}, ids array<int>"
+    return map_columns(docs.select(key, text), schema, start)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,5 +392,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, with the hashes of the ids and of what they decode to."""
     vocabulary = load_vocabulary(tokenizer_path())
-    out = docs.select("doc_id", encode(docs, vocabulary, build_lexicon(docs, vocabulary), with_ids=True).alias("e"))
-    return out.select("doc_id", "e.n_tokens", "e.ids", "e.ids_sha256", "e.decoded_sha256")
+    out = encode_with_ids(docs, vocabulary, build_lexicon(docs, vocabulary))
+    return out.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
