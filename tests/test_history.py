@@ -122,3 +122,38 @@ def test_other_grants_are_asked_the_same_stored_requests(spark, tables):
         assert sorted(then.verdicts.collect()) == wanted["before"] != wanted["after"] == sorted(now.verdicts.collect())
         assert sorted(now.verdicts_after(then.verdicts, before).collect()) == wanted["after"]
         assert now.requests is then.requests
+
+
+def test_packed_versions_hold_every_snapshot(spark, tables, tmp_path):
+    r, folder = random.Random(5), str(tmp_path / "versions")
+    times = [START + timedelta(hours=k) for k in range(520)]
+    # Users whose grant stands always, in every other version, in two of three, in one stretch, and at random; one repeats.
+    stands = {"ann": lambda k: True, "bob": lambda k: k % 2 == 0, "cat": lambda k: k % 3 != 1, "dan": lambda k: 200 <= k < 300, "eve": lambda k: r.random() < 0.5}
+    held = {u: {k for k in range(520) if f(k)} for u, f in stands.items()}
+    schema = "user_name string, db string, tbl string, col string, udf string, access string, valid_from timestamp"
+    listed = [(u, "d", "t*", None, None, "select", times[k]) for u, ks in held.items() for k in ks for _ in range(2 if u == "ann" else 1)]
+    write_versions(spark.createDataFrame(listed, schema).repartition(3), folder, spark.createDataFrame([(t,) for t in [*times, times[-1] + timedelta(1)]], "valid_from timestamp"))
+    # A line for each grant and block of versions, not for each version: 5 grants, at most 3 blocks.
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").parquet(f"{folder}/packed/policies").count()
+    assert lines <= 15 and not list((tmp_path / "versions").glob("valid_from_us=*"))
+
+    def check():
+        versions, grants = load_history(spark, folder)
+        number = {x.valid_from: x.version for x in versions.collect()}
+        assert sorted(number) == times and versions.where("valid_to IS NULL").count() == 1
+        asked = [(u, number[times[k]], k, "SELECT", "TABLE", "d", "t1") for u in held for k in r.sample(range(520), 60) + [0, 255, 256, 257, 518, 519]]
+        reqs = spark.createDataFrame(asked, "user_name string, version long, k long, access string, object_type string, database string, table string").withColumns({c: F.lit(None).cast("string") for c in ("udf", "column")})
+        for sizes in ({}, {"limit": 0}):
+            wrong = [x for x in match_grants(reqs, grants, **sizes).collect() if x.allowed != (x.k in held[x.user_name])]
+            assert wrong == [], sizes
+        assert {x.user_name for x in grants.where("until IS NULL").collect()} == {u for u in held if 519 in held[u]}
+
+    check()
+    # Written again, in a pack and alone, versions replace what they were.
+    write_versions(spark.createDataFrame([("dan", "d", "t*", None, None, "select", t) for t in times[250:260]], schema), folder)
+    save_version(tables.grants({"user_name": "bob", "db": "d", "tbl": "t*", "access": "select"}), folder, times[255])
+    for u in held:
+        held[u] = held[u] - set(range(250, 260)) | {"dan": set(range(250, 260)) - {255}, "bob": {255}}.get(u, set())
+    check()
+    with pytest.raises(Exception, match="not given"):
+        write_versions(spark.createDataFrame(listed[:1], schema), folder, spark.createDataFrame([(times[1] + timedelta(1),)], "valid_from timestamp").where("false"))
