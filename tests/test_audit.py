@@ -1,6 +1,8 @@
 """Audit tables with a manifest, and statements that come in parts."""
 
+import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from wardline.operators.decide import audit_rows
 from wardline.plans.governance import Governance
 from wardline.session import written
 from wardline.sources.audit import commit_audit, committed, compact_committed, read_audit, stage_audit, unused_attempts
+from wardline.streaming import live
 from wardline.streaming.live import audit_open_statements
 
 START = datetime(2024, 1, 1)
@@ -96,6 +99,33 @@ def test_statements_close_behind_the_watermark(spark, tables, tmp_path):
     assert got == _rows(wanted.where("stmt_id < 11"))
 
 
+@pytest.mark.parametrize("in_memory", [True, False])
+def test_parts_of_several_files_are_one_batch(spark, monkeypatch, tmp_path, in_memory):
+    queries, start = [], live._start
+    monkeypatch.setattr(live, "_start", lambda *args: queries.append(start(*args)) or queries[0])
+    monkeypatch.setattr(live, "open_rows_fit", lambda spark, rows: in_memory)
+    monkeypatch.setattr(runs, "_ROWS_PER_FILE", 8)
+    rows = [(k, START + timedelta(hours=k), k % 7, "view", 1.0, "") for k in range(120)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(1, "a", 2)], "s_suppkey long, s_name string, s_nationkey int").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.createDataFrame([(k, "a", k % 5) for k in range(40)], "c_custkey long, c_name string, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    found = runs.stream_audit_in_parts(spark, str(tmp_path))
+    wanted = runs.matrix(spark, str(tmp_path)).audit
+    assert _rows(found) == _rows(wanted) and len(_rows(found)) > 0
+    # Three parts of several files each, the clock alone, and what it closes.
+    state = f"{found.inputFiles()[0].split('/audit/')[0].removeprefix('file:').replace('///', '/')}"
+    names = sorted(Path(state, "log").glob("*.parquet"))
+    seen = [json.loads(p.json)["numInputRows"] for p in queries[0].recentProgress]
+    assert len(names) > 4 and len(names) % 3 == 1 and seen[3:] == [1, 0] and min(seen[:3]) > 8
+    kept = {f.suffix for f in Path(state, "checkpoint", "state").rglob("*") if f.is_file()}
+    assert (".delta" in kept, ".zip" in kept) == ((True, False) if in_memory else (False, True))
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_open_rows_fit_in_memory(spark):
+    assert live.open_rows_fit(spark, 1000) and not live.open_rows_fit(spark, 10**10)
+
+
 def test_parts_are_written_once_and_read_alone(spark):
     rows = spark.createDataFrame([(k, k % 3 if k < 8 else None) for k in range(9)], "stmt_id long, part long")
     held = written(rows, "parts", "part")

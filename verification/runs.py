@@ -315,17 +315,24 @@ def stream_requests(spark, sf_dir):
     return spark.read.parquet(f"{folder}/audit").select(*_AUDITED, "cluster", "day")
 
 
+#: Rows of a file of a live log, at least, where it has several.
+_ROWS_PER_FILE = 50_000
+
+
 def stream_audit_in_parts(spark, sf_dir):
     """Decisions in three batches, each with a part of every statement, then a row that only moves the clock."""
     folder, decided = work_folder(spark, "parts"), matrix(spark, sf_dir).decisions.withColumn("ts", F.col("ts").cast("timestamp"))
     decided.withColumn("part", F.pmod(F.xxhash64("stmt_id", "seq", "col_pos"), F.lit(3))).write.partitionBy("part").parquet(f"{folder}/all")
+    # Each part is as many files, and a batch is as many as a part has; so many rows to a file that none is empty.
+    least, rows = spark.read.parquet(f"{folder}/all").groupBy("part").count().agg(F.min("count"), F.sum("count")).first()
+    files = max(1, (least or 0) // _ROWS_PER_FILE)
     for part in range(3):
-        spark.read.schema(decided.schema).parquet(f"{folder}/all/part={part}").coalesce(1).write.mode("append").parquet(f"{folder}/log")
+        spark.read.schema(decided.schema).parquet(f"{folder}/all/part={part}").repartition(files).write.mode("append").parquet(f"{folder}/log")
     end = table(spark, sf_dir, "events").agg((F.max("ts") + F.expr("INTERVAL 1000 DAYS")).cast("timestamp").alias("ts"))
     clock = end.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in decided.schema.fields])
     clock.coalesce(1).write.mode("append").parquet(f"{folder}/log")
-    stream = spark.readStream.schema(decided.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
-    query = audit_open_statements(stream, f"{folder}/audit", f"{folder}/checkpoint", "500 days", interval=None, write=commit_audit)
+    stream = spark.readStream.schema(decided.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/log")
+    query = audit_open_statements(stream, f"{folder}/audit", f"{folder}/checkpoint", "500 days", interval=None, write=commit_audit, open_rows=rows)
     query.awaitTermination()
     return read_audit(spark, f"{folder}/audit").select(*_AUDITED, "day")
 

@@ -1,6 +1,7 @@
 """The same checks on a live log with Structured Streaming."""
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,15 +90,53 @@ def close_statements(decisions: DataFrame, delay: str, at: str = "ts") -> DataFr
     return cut.drop("denied_stmt", "denied_at", "denied_seq")
 
 
+#: Bytes that a decision of an open statement takes in a state store in memory (measured: 850), and the store beyond memory.
+_OPEN_ROW = 900
+_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+}
+
+
+def open_rows_fit(spark: SparkSession, rows: int) -> bool:
+    """Whether the decisions of open statements can lie in the memory that the executors have for data."""
+    memory = spark._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    total = 0
+    while memory.hasNext():
+        total += memory.next()._1()
+    return rows * _OPEN_ROW <= total
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]):
+    """Settings for what is started inside; a stream keeps those it was started with."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def audit_open_statements(
     decisions: DataFrame, path: str, checkpoint: str, delay: str, interval: str | None = POLL_INTERVAL, write: Callable = write_audit, at: str = "ts",
+    open_rows: int | None = None,
 ) -> StreamingQuery:
-    """Records the audit of statements that come in parts, as they close."""
+    """Records the audit of statements that come in parts, as they close.
+
+    With more `open_rows` than memory holds (the most decisions that are open at a time, if that is
+    known), a new stream keeps them in RocksDB: slower, but of bounded memory. A stream that is started
+    again stays with the store of its checkpoint.
+    """
 
     def record(batch: DataFrame, batch_id: int) -> None:
         write(batch, path, batch_id, stream_run_id(batch.sparkSession, checkpoint))
 
-    return _start(close_statements(decisions, delay, at), record, checkpoint, interval)
+    spark = decisions.sparkSession
+    with _settings(spark, {} if open_rows is None or open_rows_fit(spark, open_rows) else _ON_DISK):
+        return _start(close_statements(decisions, delay, at), record, checkpoint, interval)
 
 
 def live_verdicts(
